@@ -174,3 +174,228 @@ SELECT customer_id, CAST(min(order_timestamp) AS DATE) AS first_order_date,
        sum(total_amount) > 1000000 AS is_high_value,
        CAST(count(CASE WHEN is_fraud THEN 1 END) AS INTEGER) AS fraud_orders
 FROM stg WHERE customer_id IS NOT NULL GROUP BY customer_id"""
+
+
+# --- stream-shaped orders (F1) --------------------------------------------------
+
+_F1_HIT = f"(amount > {F1_RULE.amount_threshold} AND customer_tenure_days < {F1_RULE.tenure_days})"
+
+F1_CTE = f"""
+f1 AS (
+  SELECT 'ord-' || CAST(event_id AS VARCHAR) AS order_id,
+         'cust-' || CAST(user_id AS VARCHAR) AS customer_id,
+         CAST(value AS DOUBLE) AS amount, 'USD' AS currency, event_type AS product_category,
+         CAST(json_extract(props, '$.k') AS INTEGER) AS customer_tenure_days,
+         CAST(NULL AS VARCHAR) AS customer_email, CAST(NULL AS VARCHAR) AS customer_country,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp", 'order_created' AS event_type,
+         ts AS kafka_timestamp, ts AS event_time
+  FROM events
+),
+clean AS (
+  SELECT * FROM f1
+  WHERE amount > 0 AND customer_tenure_days >= 0 AND event_time IS NOT NULL
+    AND order_id IS NOT NULL AND customer_id IS NOT NULL
+),
+flagged AS (
+  SELECT *, coalesce({_F1_HIT}, false) AS is_fraud,
+         CASE WHEN {_F1_HIT} THEN '{_reason(F1_RULE)}' END AS fraud_reason
+  FROM clean
+),
+lake AS (
+  SELECT *, CAST(year(event_time) AS INTEGER) AS year, CAST(month(event_time) AS INTEGER) AS month,
+         CAST(day(event_time) AS INTEGER) AS day
+  FROM flagged WHERE NOT is_fraud
+)"""
+
+EVENT_COLS = ("order_id, customer_id, amount, currency, product_category, customer_tenure_days, "
+              "customer_email, customer_country, \"timestamp\", event_type")
+
+SQL["decode_orders"] = f"WITH {F1_CTE} SELECT * FROM f1"
+SQL["validate_orders"] = f"WITH {F1_CTE} SELECT * FROM clean"
+SQL["flag_fraud"] = f"WITH {F1_CTE} SELECT * FROM flagged"
+SQL["fraud_orders"] = f"WITH {F1_CTE} SELECT * FROM flagged WHERE is_fraud"
+SQL["valid_orders"] = f"WITH {F1_CTE} SELECT * FROM flagged WHERE NOT is_fraud"
+
+SQL["fraud_alert_json"] = f"""WITH {F1_CTE}
+SELECT {EVENT_COLS}, date_trunc('millisecond', kafka_timestamp) AS kafka_timestamp,
+       date_trunc('millisecond', event_time) AS event_time, is_fraud, fraud_reason
+FROM flagged WHERE is_fraud"""
+
+SQL["keyed_order_json"] = f"WITH {F1_CTE} SELECT customer_id AS key, {EVENT_COLS} FROM f1"
+
+_WINDOW_SUM = "sum(CAST(amount AS DECIMAL(38,10)))"
+_WINDOW_SQL = f"""WITH {F1_CTE}
+SELECT time_bucket(INTERVAL '5 minutes', event_time) AS window_start,
+       time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' AS window_end,
+       product_category,
+       CAST({_WINDOW_SUM} AS DOUBLE) AS total_revenue, count(*) AS order_count,
+       CAST({_WINDOW_SUM} AS DOUBLE) / NULLIF(count(amount), 0) AS avg_order_value
+FROM clean GROUP BY time_bucket(INTERVAL '5 minutes', event_time), product_category"""
+SQL["window_revenue"] = _WINDOW_SQL
+SQL["stream_window_revenue"] = _WINDOW_SQL
+
+SQL["conform_columns"] = f"""WITH {F1_CTE}
+SELECT order_id, customer_id, CAST(NULL AS VARCHAR) AS product_id, CAST(NULL AS VARCHAR) AS product_name,
+       product_category AS category, CAST(NULL AS DOUBLE) AS price, CAST(NULL AS INTEGER) AS quantity,
+       CAST(CAST(amount AS DECIMAL(12,2)) AS DOUBLE) AS amount, event_time AS order_timestamp,
+       customer_tenure_days AS customer_age_days, is_fraud, fraud_reason,
+       CAST(year(event_time) AS INTEGER) AS year, CAST(month(event_time) AS INTEGER) AS month,
+       CAST(day(event_time) AS INTEGER) AS day, CAST(NULL AS VARCHAR) AS source_file
+FROM flagged"""
+
+SQL["scan_parquet_valid"] = f"WITH {F1_CTE} SELECT * FROM lake"
+SQL["stream_valid_parquet"] = f"WITH {F1_CTE} SELECT * FROM lake"
+SQL["partition_counts"] = f"""WITH {F1_CTE}
+SELECT year, month, day, count(*) AS order_count FROM lake GROUP BY year, month, day"""
+SQL["partition_pruned_scan"] = f"""WITH {F1_CTE}
+SELECT * FROM lake WHERE event_time >= TIMESTAMP '2024-01-10 00:00:00' AND event_time < TIMESTAMP '2024-01-20 00:00:00'"""
+
+# --- warehouse load (F2) -----------------------------------------------------------
+
+RAW_COLS = ("order_id, customer_id, product_id, product_name, category, CAST(price AS DOUBLE) AS price, "
+            "quantity, CAST(amount AS DOUBLE) AS amount, order_timestamp, customer_age_days, is_fraud, "
+            "fraud_reason, year, month, day, loaded_at, source_file")
+STG_COLS = ("order_id, customer_id, product_id, quantity, CAST(price AS DOUBLE) AS price, "
+            "CAST(total_amount AS DOUBLE) AS total_amount, order_timestamp, customer_age_days, is_fraud, "
+            "processed_time, order_date, order_hour, order_day_of_week")
+
+_GATE = ("NULLIF(concat_ws(',', "
+         "CASE WHEN order_id IS NULL THEN 'order_id_not_null' END, "
+         "CASE WHEN customer_id IS NULL THEN 'customer_id_not_null' END, "
+         "CASE WHEN product_id IS NULL THEN 'product_id_not_null' END, "
+         "CASE WHEN order_timestamp IS NULL THEN 'order_timestamp_not_null' END, "
+         "CASE WHEN NOT coalesce(price >= 0, true) THEN 'price_non_negative' END, "
+         "CASE WHEN NOT coalesce(quantity > 0, true) THEN 'quantity_positive' END, "
+         "CASE WHEN NOT coalesce(amount >= 0, true) THEN 'amount_non_negative' END, "
+         "CASE WHEN NOT coalesce(customer_age_days >= 0, true) THEN 'age_non_negative' END), '')")
+
+SQL["constraint_gate"] = f"""WITH {RAW_CTE}
+SELECT {RAW_COLS}, {_GATE} AS violations, {_GATE} IS NULL AS passed FROM raw"""
+
+SQL["insert_if_absent"] = f"""WITH {RAW_CTE}
+SELECT {RAW_COLS} FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY order_id
+    ORDER BY loaded_at NULLS FIRST, source_file NULLS FIRST, product_id NULLS FIRST, amount NULLS FIRST,
+             quantity NULLS FIRST, customer_id NULLS FIRST, product_name NULLS FIRST, category NULLS FIRST,
+             price NULLS FIRST, order_timestamp NULLS FIRST, customer_age_days NULLS FIRST,
+             is_fraud NULLS FIRST, fraud_reason NULLS FIRST, year NULLS FIRST, month NULLS FIRST,
+             day NULLS FIRST) AS rn
+  FROM raw WHERE order_id IS NOT NULL) t
+WHERE rn = 1"""
+
+# --- quality and profiles -------------------------------------------------------------
+
+_FN = f"(amount > {F2_RULE.amount_threshold} AND customer_age_days < {F2_RULE.tenure_days} AND is_fraud = FALSE)"
+_FP = f"((amount <= {F2_RULE.amount_threshold} OR customer_age_days >= {F2_RULE.tenure_days}) AND is_fraud = TRUE)"
+_NULLS = ("count(*) FILTER (WHERE order_id IS NULL)", "count(*) FILTER (WHERE customer_id IS NULL)",
+          "count(*) FILTER (WHERE amount IS NULL)", "count(*) FILTER (WHERE order_timestamp IS NULL)")
+_NULL_SUM = " + ".join(_NULLS)
+_EMPTY_PARTS = ("(CASE WHEN count(DISTINCT year) = 0 THEN 1 ELSE 0 END + CASE WHEN count(DISTINCT month) = 0 "
+                "THEN 1 ELSE 0 END + CASE WHEN count(DISTINCT day) = 0 THEN 1 ELSE 0 END)")
+_S_FN = f"(total_amount > {F2_RULE.amount_threshold} AND customer_age_days < {F2_RULE.tenure_days} AND is_fraud = FALSE)"
+_S_FP = f"(total_amount <= {F2_RULE.amount_threshold} AND customer_age_days >= {F2_RULE.tenure_days} AND is_fraud = TRUE)"
+
+_CHECK_BODIES = {
+    "check_row_counts": "SELECT count(*) AS row_count, count(*) > 0 AS passed, "
+                        "CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) AS n_failed FROM raw",
+    "check_nulls": f"SELECT {_NULLS[0]} AS null_order_id, {_NULLS[1]} AS null_customer_id, "
+                   f"{_NULLS[2]} AS null_amount, {_NULLS[3]} AS null_timestamp, ({_NULL_SUM}) = 0 AS passed, "
+                   f"CAST({_NULL_SUM} AS BIGINT) AS n_failed FROM raw",
+    "check_ranges": "SELECT CAST(min(amount) AS DOUBLE) AS min_amount, CAST(max(amount) AS DOUBLE) AS max_amount, "
+                    "min(order_timestamp) AS min_date, max(order_timestamp) AS max_date, "
+                    "count(*) FILTER (WHERE amount < 0) AS negative_count, "
+                    "count(*) FILTER (WHERE amount < 0) = 0 AS passed, "
+                    "CAST(count(*) FILTER (WHERE amount < 0) AS BIGINT) AS n_failed FROM raw",
+    "check_fraud_logic": f"SELECT count(*) FILTER (WHERE {_FN}) AS false_negatives, "
+                         f"count(*) FILTER (WHERE {_FP}) AS false_positives, "
+                         f"count(*) FILTER (WHERE {_FN}) + count(*) FILTER (WHERE {_FP}) = 0 AS passed, "
+                         f"CAST(count(*) FILTER (WHERE {_FN}) + count(*) FILTER (WHERE {_FP}) AS BIGINT) AS n_failed "
+                         f"FROM raw",
+    "check_partitions": f"SELECT count(DISTINCT year) AS years, count(DISTINCT month) AS months, "
+                        f"count(DISTINCT day) AS days, {_EMPTY_PARTS} = 0 AS passed, "
+                        f"CAST({_EMPTY_PARTS} AS BIGINT) AS n_failed FROM raw",
+}
+for _name, _body in _CHECK_BODIES.items():
+    SQL[_name] = f"WITH {RAW_CTE} {_body}"
+
+SQL["check_duplicates"] = f"""WITH {RAW_CTE}
+SELECT order_id, count(*) AS cnt FROM raw GROUP BY order_id HAVING count(*) > 1"""
+
+SQL["test_unique"] = f"""WITH {STG_CTE}
+SELECT order_id AS unique_field, count(*) AS n_records FROM stg
+WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1"""
+
+SQL["test_not_null"] = f"WITH {RAW_CTE} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {RAW_COLS} FROM raw WHERE {c} IS NULL"
+    for c in ("order_id", "customer_id", "amount", "order_timestamp"))
+
+SQL["test_accepted_range"] = f"""WITH {STG_CTE}
+SELECT {STG_COLS} FROM stg WHERE NOT (total_amount >= 0 AND total_amount <= 10000)"""
+
+SQL["check_volume"] = f"WITH {STG_CTE} SELECT count(*) AS row_count FROM stg HAVING count(*) < 100"
+
+SQL["test_fraud_accuracy"] = f"""WITH {STG_CTE}
+SELECT order_id, CAST(total_amount AS DOUBLE) AS total_amount, customer_age_days, is_fraud
+FROM stg WHERE {_S_FN} OR {_S_FP}"""
+
+SQL["test_freshness"] = f"""WITH {STG_CTE}
+SELECT {STG_COLS} FROM stg
+WHERE NOT (processed_time BETWEEN TIMESTAMP '1998-12-31 23:30:00' AND TIMESTAMP '1999-01-01 00:30:00')"""
+
+_ACCEPTED = "'electronics', 'clothing', 'books', 'home', 'sports'"
+_F1_EVENT_CTE = F1_CTE
+
+SQL["test_accepted_values"] = f"""WITH {F1_CTE}
+SELECT {EVENT_COLS} FROM f1 WHERE product_category NOT IN ({_ACCEPTED})"""
+
+SQL["test_category_range"] = f"""WITH {F1_CTE},
+ranges(_cat, _lo, _hi) AS (VALUES ('electronics', 50.0, 2000.0), ('clothing', 20.0, 300.0),
+                                 ('books', 10.0, 50.0), ('home', 30.0, 500.0), ('sports', 25.0, 400.0)),
+j AS (
+  SELECT {EVENT_COLS},
+         CASE WHEN r._cat IS NULL THEN 'unknown_category'
+              WHEN NOT (amount BETWEEN r._lo AND r._hi) THEN 'out_of_range' END AS violation
+  FROM f1 LEFT JOIN ranges r ON f1.product_category = r._cat
+)
+SELECT * FROM j WHERE violation IS NOT NULL"""
+
+
+def _summary_row(name: str, body: str, report: bool) -> str:
+    if report:
+        return f"SELECT '{name}' AS \"check\", passed, n_failed, CAST(NULL AS VARCHAR) AS error FROM ({body}) s"
+    return (f"SELECT '{name}' AS \"check\", count(*) = 0 AS passed, count(*) AS n_failed, "
+            f"CAST(NULL AS VARCHAR) AS error FROM ({body}) s")
+
+
+_SUMMARY_PARTS = [_summary_row(n, _CHECK_BODIES[n], True) for n in
+                  ("check_row_counts", "check_nulls")] + [
+    _summary_row("check_duplicates", "SELECT order_id FROM raw GROUP BY order_id HAVING count(*) > 1", False),
+    _summary_row("check_ranges", _CHECK_BODIES["check_ranges"], True),
+    _summary_row("check_fraud_logic", _CHECK_BODIES["check_fraud_logic"], True),
+    _summary_row("check_partitions", _CHECK_BODIES["check_partitions"], True),
+    _summary_row("test_unique_order_id", "SELECT order_id FROM stg WHERE order_id IS NOT NULL "
+                                         "GROUP BY order_id HAVING count(*) > 1", False),
+    _summary_row("test_not_null_order_id", " UNION ALL ".join(
+        f"SELECT order_id FROM stg WHERE {c} IS NULL" for c in ("order_id", "total_amount", "order_date")), False),
+    _summary_row("test_accepted_range_total_amount",
+                 "SELECT order_id FROM stg WHERE NOT (total_amount >= 0 AND total_amount <= 10000)", False),
+    _summary_row("test_fraud_accuracy", f"SELECT order_id FROM stg WHERE {_S_FN} OR {_S_FP}", False),
+    _summary_row("check_volume", "SELECT count(*) AS row_count FROM stg HAVING count(*) < 100", False),
+]
+SQL["quality_summary"] = f"WITH {STG_CTE} " + " UNION ALL ".join(_SUMMARY_PARTS)
+
+SQL["order_totals"] = f"""WITH {RAW_CTE}
+SELECT count(*) AS total_rows, count(DISTINCT order_id) AS distinct_orders,
+       count(DISTINCT customer_id) AS distinct_customers,
+       count(*) FILTER (WHERE is_fraud) AS fraud_orders,
+       CAST(sum(amount) AS DOUBLE) AS total_revenue,
+       {money_avg_2('sum(amount)', 'count(amount)')} AS avg_order_value,
+       CAST(min(order_timestamp) AS DATE) AS earliest, CAST(max(order_timestamp) AS DATE) AS latest
+FROM raw"""
+
+SQL["category_counts"] = f"WITH {RAW_CTE} SELECT category, count(*) AS order_count FROM raw GROUP BY category"
+
+SQL["latest_orders"] = f"""WITH {RAW_CTE}
+SELECT order_id, category, product_name, CAST(amount AS DOUBLE) AS amount, is_fraud, order_timestamp
+FROM raw ORDER BY order_timestamp DESC, order_id, product_id, amount LIMIT 5"""

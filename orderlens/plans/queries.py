@@ -72,3 +72,242 @@ def q_daily_revenue_contract(spark, sf_dir):
 @register("customer_metrics_contract")
 def q_customer_metrics_contract(spark, sf_dir):
     return marts.customer_metrics_contract(_stg(spark, sf_dir), HIGH_VALUE_THRESHOLD)
+
+
+# --- stream-shaped orders (F1) ------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from orderlens.operators import conform, load, profile, quality, rules  # noqa: E402
+from orderlens.operators.decode import decode_orders  # noqa: E402
+from orderlens.operators.validate import validate_orders  # noqa: E402
+from orderlens.plans import order_flow  # noqa: E402
+from orderlens.schemas import ORDER_EVENT  # noqa: E402
+from orderlens.sinks import writers  # noqa: E402
+from orderlens.streaming.windows import window_revenue  # noqa: E402
+
+F1_RULE = fixtures.F1_RULE
+F2_RULE = fixtures.F2_RULE
+# Fixed values of the registered queries: time range of the pruned scan,
+# freshness reference time (30 minutes after the fixture's load time).
+RANGE_START = _dt.datetime(2024, 1, 10)
+RANGE_END = _dt.datetime(2024, 1, 20)
+FRESHNESS_AS_OF = _dt.datetime(1999, 1, 1, 0, 30)
+
+
+def _records(spark, sf_dir):
+    return order_flow.f1_records(spark, sf_dir)
+
+
+@register("decode_orders")
+def q_decode_orders(spark, sf_dir):
+    return decode_orders(_records(spark, sf_dir))
+
+
+@register("validate_orders")
+def q_validate_orders(spark, sf_dir):
+    return validate_orders(decode_orders(_records(spark, sf_dir)))
+
+
+@register("flag_fraud")
+def q_flag_fraud(spark, sf_dir):
+    return order_flow.flagged_orders(_records(spark, sf_dir), F1_RULE)
+
+
+@register("fraud_orders")
+def q_fraud_orders(spark, sf_dir):
+    return rules.fraud_orders(order_flow.flagged_orders(_records(spark, sf_dir), F1_RULE))
+
+
+@register("valid_orders")
+def q_valid_orders(spark, sf_dir):
+    return rules.valid_orders(order_flow.flagged_orders(_records(spark, sf_dir), F1_RULE))
+
+
+@register("fraud_alert_json")
+def q_fraud_alert_json(spark, sf_dir):
+    """Alert payloads, re-parsed: JSON text is compared through its fields."""
+    fraud = order_flow.alert_rows(_records(spark, sf_dir), F1_RULE)
+    payload = writers.alert_payload(fraud)
+    return payload.select(F.from_json("value", fraud.schema).alias("a")).select("a.*")
+
+
+@register("keyed_order_json")
+def q_keyed_order_json(spark, sf_dir):
+    """Keyed publish payloads (key = customer_id), value re-parsed."""
+    keyed = writers.keyed_payload(fixtures.order_events(spark, sf_dir))
+    return keyed.select("key", F.from_json("value", ORDER_EVENT).alias("v")).select("key", "v.*")
+
+
+@register("window_revenue")
+def q_window_revenue(spark, sf_dir):
+    return window_revenue(order_flow.clean_orders(_records(spark, sf_dir)))
+
+
+@register("conform_columns")
+def q_conform_columns(spark, sf_dir):
+    """Flagged stream orders (fraud and valid) in the 16 load columns of raw.orders."""
+    return conform.to_warehouse(order_flow.flagged_orders(_records(spark, sf_dir), F1_RULE))
+
+
+# --- warehouse load (F2) --------------------------------------------------------
+
+@register("constraint_gate")
+def q_constraint_gate(spark, sf_dir):
+    return load.constraint_gate(fixtures.raw_orders(spark, sf_dir))
+
+
+@register("insert_if_absent")
+def q_insert_if_absent(spark, sf_dir):
+    """Load raw orders twice into a fresh table: the second load adds nothing."""
+    from orderlens.session import scratch_path
+
+    target = scratch_path(spark, "raw_orders_target")
+    batch = fixtures.raw_orders(spark, sf_dir)
+    load.insert_if_absent(spark, batch, target)
+    load.insert_if_absent(spark, batch, target)
+    return spark.read.parquet(target)
+
+
+def _lake(spark, sf_dir):
+    """Valid F1 orders written as a year/month/day Parquet lake, then scanned."""
+    from orderlens.session import scratch_path
+    from orderlens.sources.files import scan_valid
+
+    path = scratch_path(spark, "lake_valid")
+    writers.write_partitioned(order_flow.lake_rows(_records(spark, sf_dir), F1_RULE), path)
+    return scan_valid(spark, path)
+
+
+@register("scan_parquet_valid")
+def q_scan_parquet_valid(spark, sf_dir):
+    return _lake(spark, sf_dir)
+
+
+@register("partition_counts")
+def q_partition_counts(spark, sf_dir):
+    return _lake(spark, sf_dir).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("order_count"))
+
+
+@register("partition_pruned_scan")
+def q_partition_pruned_scan(spark, sf_dir):
+    from orderlens.sources.files import scan_range
+
+    return scan_range(_lake(spark, sf_dir), RANGE_START, RANGE_END)
+
+
+# --- quality and profiles ---------------------------------------------------------
+
+def _raw(spark, sf_dir):
+    return fixtures.raw_orders(spark, sf_dir)
+
+
+@register("check_row_counts")
+def q_check_row_counts(spark, sf_dir):
+    return quality.check_row_counts(_raw(spark, sf_dir))
+
+
+@register("check_nulls")
+def q_check_nulls(spark, sf_dir):
+    return quality.check_nulls(_raw(spark, sf_dir))
+
+
+@register("check_duplicates")
+def q_check_duplicates(spark, sf_dir):
+    return quality.check_duplicates(_raw(spark, sf_dir))
+
+
+@register("check_ranges")
+def q_check_ranges(spark, sf_dir):
+    return quality.check_ranges(_raw(spark, sf_dir))
+
+
+@register("check_fraud_logic")
+def q_check_fraud_logic(spark, sf_dir):
+    return quality.check_fraud_logic(_raw(spark, sf_dir), F2_RULE)
+
+
+@register("check_partitions")
+def q_check_partitions(spark, sf_dir):
+    return quality.check_partitions(_raw(spark, sf_dir))
+
+
+@register("test_unique")
+def q_test_unique(spark, sf_dir):
+    return quality.test_unique(_stg(spark, sf_dir), "order_id")
+
+
+@register("test_not_null")
+def q_test_not_null(spark, sf_dir):
+    return quality.test_not_null(_raw(spark, sf_dir), ["order_id", "customer_id", "amount", "order_timestamp"])
+
+
+@register("test_accepted_range")
+def q_test_accepted_range(spark, sf_dir):
+    return quality.test_accepted_range(_stg(spark, sf_dir), "total_amount", 0, 10000)
+
+
+@register("check_volume")
+def q_check_volume(spark, sf_dir):
+    return quality.check_volume(_stg(spark, sf_dir), 100)
+
+
+@register("test_fraud_accuracy")
+def q_test_fraud_accuracy(spark, sf_dir):
+    return quality.test_fraud_accuracy(_stg(spark, sf_dir), F2_RULE)
+
+
+@register("test_freshness")
+def q_test_freshness(spark, sf_dir):
+    return quality.test_freshness(_stg(spark, sf_dir), FRESHNESS_AS_OF)
+
+
+@register("test_accepted_values")
+def q_test_accepted_values(spark, sf_dir):
+    return quality.test_accepted_values(fixtures.order_events(spark, sf_dir), "product_category")
+
+
+@register("test_category_range")
+def q_test_category_range(spark, sf_dir):
+    return quality.test_category_range(fixtures.order_events(spark, sf_dir))
+
+
+def warehouse_checks(spark, sf_dir) -> dict:
+    """The verification suite over raw.orders and the staging models."""
+    raw = _raw(spark, sf_dir)
+    stg = _stg(spark, sf_dir)
+    return {
+        "check_row_counts": lambda: quality.check_row_counts(raw),
+        "check_nulls": lambda: quality.check_nulls(raw),
+        "check_duplicates": lambda: quality.check_duplicates(raw),
+        "check_ranges": lambda: quality.check_ranges(raw),
+        "check_fraud_logic": lambda: quality.check_fraud_logic(raw, F2_RULE),
+        "check_partitions": lambda: quality.check_partitions(raw),
+        "test_unique_order_id": lambda: quality.test_unique(stg, "order_id"),
+        "test_not_null_order_id": lambda: quality.test_not_null(stg, ["order_id", "total_amount", "order_date"]),
+        "test_accepted_range_total_amount": lambda: quality.test_accepted_range(stg, "total_amount", 0, 10000),
+        "test_fraud_accuracy": lambda: quality.test_fraud_accuracy(stg, F2_RULE),
+        "check_volume": lambda: quality.check_volume(stg, 100),
+    }
+
+
+@register("quality_summary")
+def q_quality_summary(spark, sf_dir):
+    return quality.quality_summary(spark, warehouse_checks(spark, sf_dir))
+
+
+@register("order_totals")
+def q_order_totals(spark, sf_dir):
+    return profile.order_totals(_raw(spark, sf_dir))
+
+
+@register("category_counts")
+def q_category_counts(spark, sf_dir):
+    return profile.category_counts(_raw(spark, sf_dir))
+
+
+@register("latest_orders")
+def q_latest_orders(spark, sf_dir):
+    return profile.latest_orders(_raw(spark, sf_dir))
