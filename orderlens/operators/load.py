@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # The declared constraints of the staging orders table
 # (name, predicate that must hold). CHECKs pass on NULL, as in SQL.
 NOT_NULL = ("order_id", "customer_id", "product_id", "order_timestamp")
+# raw.orders as loaded from the stream lake has no product columns yet.
+RAW_NOT_NULL = ("order_id", "customer_id", "order_timestamp")
 CHECKS = (
     ("price_non_negative", "price >= 0"),
     ("quantity_positive", "quantity > 0"),
@@ -31,9 +33,9 @@ def constraint_gate(df: DataFrame, not_null=NOT_NULL, checks=CHECKS) -> DataFram
         "passed", F.col("violations").isNull())
 
 
-def split_gate(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_gate(df: DataFrame, not_null=NOT_NULL, checks=CHECKS) -> tuple[DataFrame, DataFrame]:
     """(accepted rows without the gate columns, rejected rows with their reasons)."""
-    gated = constraint_gate(df)
+    gated = constraint_gate(df, not_null, checks)
     accepted = gated.filter(F.col("passed")).drop("violations", "passed")
     rejected = gated.filter(~F.col("passed")).drop("passed")
     return accepted, rejected

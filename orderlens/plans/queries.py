@@ -6,13 +6,25 @@ them, and returns the operator's result at the output edge.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderlens.operators import marts, staging
+from orderlens.operators import conform, load, marts, profile, quality, rules, staging
+from orderlens.operators.decode import decode_orders
+from orderlens.operators.validate import validate_orders
+from orderlens.plans import order_flow
 from orderlens.plans.edge import edge
+from orderlens.schemas import ORDER_EVENT
+from orderlens.session import scratch_path
+from orderlens.sinks import writers
 from orderlens.sources import fixtures
+from orderlens.sources.files import scan_range, scan_valid
+from orderlens.sources.topic import stage_topic
+from orderlens.streaming import pipeline
+from orderlens.streaming.windows import window_revenue
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -76,18 +88,6 @@ def q_customer_metrics_contract(spark, sf_dir):
 
 # --- stream-shaped orders (F1) ------------------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from orderlens.operators import conform, load, profile, quality, rules  # noqa: E402
-from orderlens.operators.decode import decode_orders  # noqa: E402
-from orderlens.operators.validate import validate_orders  # noqa: E402
-from orderlens.plans import order_flow  # noqa: E402
-from orderlens.schemas import ORDER_EVENT  # noqa: E402
-from orderlens.sinks import writers  # noqa: E402
-from orderlens.streaming.windows import window_revenue  # noqa: E402
-
 F1_RULE = fixtures.F1_RULE
 F2_RULE = fixtures.F2_RULE
 # Fixed values of the registered queries: time range of the pruned scan,
@@ -162,8 +162,6 @@ def q_constraint_gate(spark, sf_dir):
 @register("insert_if_absent")
 def q_insert_if_absent(spark, sf_dir):
     """Load raw orders twice into a fresh table: the second load adds nothing."""
-    from orderlens.session import scratch_path
-
     target = scratch_path(spark, "raw_orders_target")
     batch = fixtures.raw_orders(spark, sf_dir)
     load.insert_if_absent(spark, batch, target)
@@ -173,9 +171,6 @@ def q_insert_if_absent(spark, sf_dir):
 
 def _lake(spark, sf_dir):
     """Valid F1 orders written as a year/month/day Parquet lake, then scanned."""
-    from orderlens.session import scratch_path
-    from orderlens.sources.files import scan_valid
-
     path = scratch_path(spark, "lake_valid")
     writers.write_partitioned(order_flow.lake_rows(_records(spark, sf_dir), F1_RULE), path)
     return scan_valid(spark, path)
@@ -193,8 +188,6 @@ def q_partition_counts(spark, sf_dir):
 
 @register("partition_pruned_scan")
 def q_partition_pruned_scan(spark, sf_dir):
-    from orderlens.sources.files import scan_range
-
     return scan_range(_lake(spark, sf_dir), RANGE_START, RANGE_END)
 
 
@@ -311,3 +304,26 @@ def q_category_counts(spark, sf_dir):
 @register("latest_orders")
 def q_latest_orders(spark, sf_dir):
     return profile.latest_orders(_raw(spark, sf_dir))
+
+
+# --- streaming (file-staged topic, run to the end of the input) ----------------------
+
+def _staged_topic(spark, sf_dir):
+    """F1 topic records staged as files: the offline stand-in of the input topic."""
+    return stage_topic(_records(spark, sf_dir), scratch_path(spark, "orders_topic"))
+
+
+@register("stream_valid_parquet")
+def q_stream_valid_parquet(spark, sf_dir):
+    """K1: the streaming lake sink, read back after the stream has drained."""
+    source = _staged_topic(spark, sf_dir)
+    return pipeline.run_valid_lake(spark, source, scratch_path(spark, "stream_lake"),
+                                   scratch_path(spark, "ckpt_valid"), F1_RULE)
+
+
+@register("stream_window_revenue")
+def q_stream_window_revenue(spark, sf_dir):
+    """A1 on the stream (update mode); final state equals the batch twin."""
+    source = _staged_topic(spark, sf_dir)
+    return pipeline.run_window_revenue(spark, source, scratch_path(spark, "window_log"),
+                                       scratch_path(spark, "ckpt_windows"))
