@@ -33,18 +33,20 @@ TOPIC_RECORD = T.StructType([
     T.StructField("timestampType", T.IntegerType(), True),
 ])
 
-# Warehouse table raw.orders (nullability is enforced by the constraint gate,
-# Parquet tables do not enforce it).
+# Warehouse table raw.orders. Every field is declared nullable: Parquet
+# tables do not enforce NOT NULL, and a non-nullable declaration would let
+# the optimizer fold `IS NULL` tests away. The declared NOT NULL columns
+# are enforced by the constraint gate instead.
 RAW_ORDERS = T.StructType([
-    T.StructField("order_id", T.StringType(), False),
-    T.StructField("customer_id", T.StringType(), False),
-    T.StructField("product_id", T.StringType(), False),
+    T.StructField("order_id", T.StringType(), True),
+    T.StructField("customer_id", T.StringType(), True),
+    T.StructField("product_id", T.StringType(), True),
     T.StructField("product_name", T.StringType(), True),
     T.StructField("category", T.StringType(), True),
     T.StructField("price", T.DecimalType(10, 2), True),
     T.StructField("quantity", T.IntegerType(), True),
     T.StructField("amount", T.DecimalType(12, 2), True),
-    T.StructField("order_timestamp", T.TimestampType(), False),
+    T.StructField("order_timestamp", T.TimestampType(), True),
     T.StructField("customer_age_days", T.IntegerType(), True),
     T.StructField("is_fraud", T.BooleanType(), True),
     T.StructField("fraud_reason", T.StringType(), True),

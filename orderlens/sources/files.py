@@ -31,14 +31,21 @@ def scan_valid(spark: SparkSession, prefix: str, lineage: bool = False,
     return df
 
 
+def _norm_path(col: str):
+    """Local-file URIs come as file:/x or file:///x depending on the API."""
+    return F.regexp_replace(F.col(col), "^file:/+", "file:///")
+
+
 def load_summary(loaded: DataFrame, listed_files: DataFrame) -> DataFrame:
     """S5 summary: files listed, rows per file, and files that produced no rows.
 
     `loaded` carries `source_file` (lineage); `listed_files` has one column
     `source_file` with every file that was meant to load.
     """
-    per_file = loaded.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
-    return listed_files.join(per_file, "source_file", "left").select(
+    per_file = loaded.groupBy(_norm_path("source_file").alias("source_file")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    listed = listed_files.select(_norm_path("source_file").alias("source_file"))
+    return listed.join(per_file, "source_file", "left").select(
         "source_file", F.coalesce(F.col("rows"), F.lit(0)).alias("rows"),
         F.col("rows").isNull().alias("failed"))
 
