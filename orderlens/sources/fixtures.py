@@ -72,8 +72,11 @@ def order_topic(spark: SparkSession, sf_dir: str, topic: str = "orders.raw") ->
 def raw_orders(spark: SparkSession, sf_dir: str, rule: FraudRule = F2_RULE,
                loaded_at: str = F2_LOADED_AT) -> DataFrame:
     """the warehouse table raw.orders (17 declared columns)."""
+    # Hash-partitioned on the join key: the layout a sort-merge join with
+    # orders needs anyway, so no extra shuffle at scale; when AQE turns the
+    # joins into broadcasts it still spreads the per-row work over tasks.
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice").repartition("l_orderkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     pt = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     j = li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).join(
