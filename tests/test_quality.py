@@ -80,3 +80,27 @@ def test_summary_counts_errors_as_failed(spark):
     eager = {r.check: r for r in quality.run_checks(spark, checks).collect()}
     assert eager["runtime_error"].passed is False and "boom" in eager["runtime_error"].error
     assert eager["rows"].passed
+
+
+def test_fused_summary_equals_individual_checks(spark):
+    from orderlens.plans.queries import warehouse_checks
+    from orderlens.sources import fixtures
+    from tests.conftest import SF_SMALL
+
+    lazy = {r.check: (r.passed, r.n_failed) for r in
+            quality.quality_summary(spark, warehouse_checks(spark, SF_SMALL)).collect()}
+    raw = fixtures.raw_orders(spark, SF_SMALL)
+    from orderlens.operators.staging import stg_orders
+    fused = {r.check: (r.passed, r.n_failed) for r in
+             quality.warehouse_summary(raw, stg_orders(raw), fixtures.F2_RULE).collect()}
+    assert fused == lazy
+
+
+def test_fused_summary_on_violating_rows(spark):
+    raw = _raw(spark)
+    stg = raw.withColumnRenamed("amount", "total_amount").withColumn("order_date", F.to_date("order_timestamp"))
+    rule = FraudRule()
+    fused = {r.check: r.n_failed for r in quality.warehouse_summary(raw, stg, rule).collect()}
+    assert fused["check_duplicates"] == 1 and fused["check_nulls"] == 2
+    assert fused["check_fraud_logic"] == 2 and fused["check_ranges"] == 1
+    assert fused["test_unique_order_id"] == 1 and fused["check_volume"] == 1
