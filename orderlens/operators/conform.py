@@ -11,12 +11,12 @@ from orderlens.schemas import LOAD_COLUMNS, RAW_ORDERS, STREAM_TO_WAREHOUSE, WAR
 
 
 def with_partition_columns(df: DataFrame, ts: str = "event_time") -> DataFrame:
-    """year / month / day of the event time, for a Hive-style layout."""
+    """Year / month / day of the event time, for a Hive-style layout."""
     return df.select("*", *date_parts(ts))
 
 
 def add_missing_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Add every column of `schema` that `df` lacks as a typed NULL."""
+    """Add every column of `schema` that `df` lacks as a typed NULL."""
     present = set(df.columns)
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in present]
     return df.select("*", *missing) if missing else df
@@ -27,7 +27,7 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def to_warehouse(flagged: DataFrame, columns=LOAD_COLUMNS) -> DataFrame:
-    """Stream-shaped flagged orders -> the 16 load columns of raw.orders.
+    """Stream-shaped flagged orders -> the 16 load columns of raw.orders (P10 order).
 
     Renames the stream names, derives the partition columns if absent,
     pads absent columns with NULL, casts to the declared types and selects
@@ -43,5 +43,5 @@ def to_warehouse(flagged: DataFrame, columns=LOAD_COLUMNS) -> DataFrame:
 
 
 def to_staging_source(raw: DataFrame) -> DataFrame:
-    """raw.orders names -> staging source names (amount -> total_amount, ...)."""
+    """Raw.orders names -> staging source names (amount -> total_amount, ...)."""
     return rename(raw, WAREHOUSE_TO_STAGING)

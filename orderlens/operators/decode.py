@@ -9,7 +9,7 @@ from orderlens.schemas import ORDER_EVENT
 
 
 def decode_orders(records: DataFrame, schema=ORDER_EVENT) -> DataFrame:
-    """binary value -> JSON string -> struct -> 10 columns + kafka_timestamp + event_time.
+    """Binary value -> JSON string -> struct -> 10 columns + kafka_timestamp + event_time.
 
     Bad JSON gives an all-NULL row, a badly typed field gives NULL in that
     field; an unparsable timestamp gives a NULL event_time (try_to_timestamp,

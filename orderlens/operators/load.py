@@ -56,7 +56,7 @@ def first_arrival(batch: DataFrame, key: str = "order_id", order=ARRIVAL_ORDER)
 
 
 def new_rows(batch: DataFrame, existing_keys: DataFrame, key: str = "order_id", order=ARRIVAL_ORDER) -> DataFrame:
-    """Rows of `batch` whose key is not yet in the target: first arrival wins.
+    """Rows of `batch` whose key is not yet in the target (left anti join): first arrival wins.
 
     NULL keys cannot conflict and are not inserted (the gate rejects them).
     """

@@ -18,7 +18,7 @@ from orderlens.operators.staging import customer_summary_aggs
 
 
 def customer_360(stg: DataFrame) -> DataFrame:
-    """Per customer: segment, lifetime value, orders, fraud orders, fraud rate, risk.
+    """Per customer: segment, lifetime value, orders, fraud orders, fraud rate, risk.
 
     Orders LEFT JOIN their own per-customer summary, grouped by customer and
     the summary columns, is one aggregation by customer_id: every summary
@@ -59,7 +59,7 @@ def _daily_base(stg: DataFrame) -> DataFrame:
 
 
 def daily_revenue(stg: DataFrame) -> DataFrame:
-    """Revenue per order date, newest first.
+    """Revenue per order date, newest first.
 
     avg_order_value is per row (not per distinct order); fraud revenue is 0
     on a day without fraud.
@@ -78,7 +78,7 @@ def daily_revenue(stg: DataFrame) -> DataFrame:
 
 
 def daily_revenue_contract(stg: DataFrame) -> DataFrame:
-    """The declared analytics.daily_revenue table, as a projection of the mart."""
+    """The declared analytics.daily_revenue table, as a projection of the mart."""
     base = _daily_base(stg)
     return base.select(
         F.col("order_date").alias("date"),
@@ -91,7 +91,7 @@ def daily_revenue_contract(stg: DataFrame) -> DataFrame:
 
 
 def fraud_analysis(stg: DataFrame, customers: DataFrame | None = None) -> DataFrame:
-    """Fraud patterns by date x hour x customer segment.
+    """Fraud patterns by date x hour x customer segment.
 
     The segment depends on all of a customer's orders, so it comes from the
     per-customer summary (given, or computed here). Fraud rows are first
@@ -122,7 +122,7 @@ def fraud_analysis(stg: DataFrame, customers: DataFrame | None = None) -> DataFr
 
 
 def hourly_metrics(raw: DataFrame) -> DataFrame:
-    """Hourly rollup of raw.orders; fraud_amount is NULL in an hour without fraud."""
+    """A6 (refreshed as a table by K9): hourly rollup of raw.orders; fraud_amount is NULL without fraud."""
     fraud = F.col("is_fraud")
     agg = raw.groupBy(F.date_trunc("hour", F.col("order_timestamp")).alias("hour")).agg(
         F.count(F.lit(1)).alias("order_count"),
@@ -139,7 +139,7 @@ def hourly_metrics(raw: DataFrame) -> DataFrame:
 
 
 def customer_metrics_contract(stg: DataFrame, high_value_threshold: float) -> DataFrame:
-    """The declared analytics.customer_metrics table (summary joined with fraud counts).
+    """The declared analytics.customer_metrics table (summary joined with fraud counts).
 
     Both halves group by customer_id, so they are one aggregation. The table
     key is NOT NULL, so orders without a customer are left out.

@@ -44,7 +44,7 @@ def check_duplicates(raw: DataFrame, key: str = "order_id") -> DataFrame:
 
 
 def duplicate_sample(raw: DataFrame, n: int = 5, key: str = "order_id") -> DataFrame:
-    """Q3 report: a sample of n duplicated keys (the check itself uses all)."""
+    """Q3 / T4 report: a sample of n duplicated keys (the check itself uses all)."""
     return profile.duplicate_keys(raw, key).limit(n)
 
 

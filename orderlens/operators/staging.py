@@ -11,7 +11,7 @@ from orderlens.schemas import STG_ORDERS
 
 
 def stg_orders(raw: DataFrame) -> DataFrame:
-    """raw.orders -> staging orders.
+    """Raw.orders -> staging orders.
 
     Drops rows without order_timestamp (pushed to the scan), casts the ten
     source columns, derives order_date / order_hour / order_day_of_week
@@ -43,7 +43,7 @@ def customer_summary_aggs() -> list:
 
 
 def stg_customers(stg: DataFrame) -> DataFrame:
-    """Per-customer summary with segment.
+    """Per-customer summary with segment.
 
     The single distinct count is planned as a (customer_id, order_id)
     shuffle followed by a per-customer merge, so one very large customer is

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def validate_orders(orders: DataFrame) -> DataFrame:
-    """Keep amount > 0, tenure >= 0 and non-NULL event_time, order_id, customer_id.
+    """Keep amount > 0, tenure >= 0 and non-NULL event_time, order_id, customer_id.
 
     One conjunctive predicate; Catalyst pushes it into the scan where the
     columns are stored.

@@ -76,7 +76,7 @@ def alert_sink(fraud: DataFrame, checkpoint: str, bootstrap_servers: str | None
 def window_sink(windowed: DataFrame, checkpoint: str, spec: WindowSpec = DEFAULT_WINDOW,
                 sink: str = "console", query_name: str | None = None, foreach_batch=None,
                 available_now: bool = False):
-    """K3: update-mode output of the windowed aggregate (console, memory or foreachBatch)."""
+    """Update-mode output of the windowed aggregate (console, memory or foreachBatch)."""
     writer = windowed.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
     if foreach_batch is not None:
         writer = writer.foreachBatch(foreach_batch)

@@ -62,7 +62,7 @@ def partition_predicate(start: dt.datetime, end: dt.datetime):
 
 
 def scan_range(df: DataFrame, start: dt.datetime, end: dt.datetime, ts: str = "event_time") -> DataFrame:
-    """Rows with start <= ts < end, plus the matching partition predicate.
+    """Rows with start <= ts < end, plus the matching partition predicate.
 
     A filter on the event time alone does not prune year=/month=/day=
     folders; adding the derived partition predicate does.

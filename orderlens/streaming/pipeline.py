@@ -4,7 +4,9 @@ records -> decode -> validate -> flag, then
   valid orders -> partitioned Parquet lake      (K1, append)
   fraud orders -> alert topic / JSON lines      (K2, append)
   all clean    -> 5-minute revenue per category (A1, update, watermark)
-Each query has its own checkpoint, so each resumes where it stopped.
+Each query has its own checkpoint, so each resumes where it stopped (W6);
+triggers are processing-time (W5) or availableNow, and the file stand-in
+of the topic is rate-limited by maxFilesPerTrigger (W7).
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ from orderlens.functions import exact_money_sum, to_double
 
 def window_revenue(clean: DataFrame, spec: WindowSpec = DEFAULT_WINDOW,
                    ts: str = "event_time", category: str = "product_category") -> DataFrame:
-    """sum / count / avg of amount per (window, category) over all clean orders.
+    """Sum / count / avg of amount per (window, category) over all clean orders.
 
     On a stream the event-time watermark bounds the state: a window is
     dropped from state once its end passes max(event_time) - delay, and rows
