@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from orderlens.config import FraudRule
 from orderlens.functions import date_parts, fraud_flag, fraud_reason
 from orderlens.schemas import ORDER_EVENT, RAW_ORDERS
-from orderlens.sources.tables import table
+from orderlens.sources.tables import spread_if_narrow, table
 
 # Fixed values of the fixtures.
 F1_RULE = FraudRule(amount_threshold=100.0, tenure_days=30)
@@ -43,7 +43,7 @@ def _event_columns() -> list:
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """stream-shaped order events (the 10 fields of the JSON payload)."""
-    df = table(spark, sf_dir, "events").select(*_event_columns())
+    df = spread_if_narrow(table(spark, sf_dir, "events")).select(*_event_columns())
     return df.select([F.col(f.name).cast(f.dataType) for f in ORDER_EVENT.fields])
 
 
@@ -54,7 +54,7 @@ def order_topic(spark: SparkSession, sf_dir: str, topic: str = "orders.raw") ->
     deterministic; offsets are the source event ids (unique, increasing).
     One projection over `events`, no shuffle.
     """
-    ev = table(spark, sf_dir, "events")
+    ev = spread_if_narrow(table(spark, sf_dir, "events"))
     payload = F.struct(*[c.cast(f.dataType).alias(f.name)
                          for c, f in zip(_event_columns(), ORDER_EVENT.fields)])
     cust = F.concat(F.lit("cust-"), F.col("user_id").cast("string"))
@@ -72,11 +72,8 @@ def order_topic(spark: SparkSession, sf_dir: str, topic: str = "orders.raw") ->
 def raw_orders(spark: SparkSession, sf_dir: str, rule: FraudRule = F2_RULE,
                loaded_at: str = F2_LOADED_AT) -> DataFrame:
     """the warehouse table raw.orders (17 declared columns)."""
-    # Hash-partitioned on the join key: the layout a sort-merge join with
-    # orders needs anyway, so no extra shuffle at scale; when AQE turns the
-    # joins into broadcasts it still spreads the per-row work over tasks.
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice").repartition("l_orderkey")
+    li = spread_if_narrow(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"))
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     pt = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     j = li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).join(
