@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,7 +75,7 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, target_path: str,
     """
     try:
         existing = spark.read.parquet(target_path).select(key)
-    except Exception:  # no table yet
+    except AnalysisException:  # no table yet
         existing = spark.createDataFrame([], batch.select(key).schema)
     fresh = new_rows(batch, existing, key, order)
     observed = Observation("insert_if_absent")

@@ -201,6 +201,8 @@ def quality_summary(spark: SparkSession, checks: dict) -> DataFrame:
             parts.append(summarize(name, build()))
         except Exception as e:  # analysis errors surface at build time
             parts.append(spark.createDataFrame([(name, False, None, type(e).__name__)], SUMMARY_SCHEMA))
+    if not parts:
+        return spark.createDataFrame([], SUMMARY_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -131,3 +131,13 @@ def test_catalog_sinks(spark, scratch):
     assert spark.table("v_model").count() == 3
     w = writers.jdbc_writer(df, "jdbc:postgresql://db/x", "raw.orders", {"user": "u"})
     assert w is not None
+
+
+def test_hot_key_dedup_is_exact(spark, scratch):
+    """One order id holding a third of the batch still yields exactly one row, the first arrival."""
+    rows = [_raw_row("hot", amount=Decimal(f"{i}.00"), source_file=f"f{i:04d}") for i in range(300)]
+    rows += [_raw_row(f"k{i}") for i in range(600)]
+    batch = spark.createDataFrame(rows, RAW_ORDERS).repartition(8)
+    first = {r.order_id: r for r in load.first_arrival(batch).collect()}
+    assert len(first) == 601
+    assert first["hot"].source_file == "f0000" and first["hot"].amount == Decimal("0.00")

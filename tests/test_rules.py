@@ -105,3 +105,12 @@ def test_decode_keeps_microseconds_and_broker_time(spark):
     row = decode_orders(recs).first()
     assert row.event_time.microsecond == 179575
     assert row.kafka_timestamp is not None
+
+
+def test_nan_amount_passes_validation_as_in_the_stream_job(spark):
+    """from_json accepts a bare NaN and NaN > 0 is true in Spark: kept, not fraud-flagged by NULL rules."""
+    recs = _records(spark, ['{"order_id":"n","customer_id":"c","amount":NaN,"customer_tenure_days":5,'
+                            '"timestamp":"2024-01-01T00:00:00"}'])
+    kept = validate_orders(decode_orders(recs)).collect()
+    assert len(kept) == 1 and kept[0].amount != kept[0].amount  # NaN
+    assert flag_fraud(validate_orders(decode_orders(recs)), RULE).first().is_fraud is True
