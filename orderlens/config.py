@@ -6,6 +6,7 @@ overridden by the caller (no credentials or endpoints live here).
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field
 
 
@@ -16,6 +17,12 @@ class FraudRule:
     amount_threshold: float = 1000.0
     tenure_days: int = 30
 
+    @classmethod
+    def from_env(cls, env=os.environ) -> "FraudRule":
+        """Thresholds from FRAUD_AMOUNT_THRESHOLD / FRAUD_TENURE_THRESHOLD."""
+        return cls(float(env.get("FRAUD_AMOUNT_THRESHOLD", cls.amount_threshold)),
+                   int(env.get("FRAUD_TENURE_THRESHOLD", cls.tenure_days)))
+
     @property
     def reason(self) -> str:
         # Fixed value: the alert text format of the stream job.
@@ -34,6 +41,12 @@ class WindowSpec:
     trigger: str = "5 seconds"
     aggregate_trigger: str = "30 seconds"
 
+    @classmethod
+    def from_env(cls, env=os.environ) -> "WindowSpec":
+        """Durations from WINDOW_DURATION / WATERMARK_DELAY / TRIGGER_INTERVAL."""
+        return cls(env.get("WINDOW_DURATION", cls.window), env.get("WATERMARK_DELAY", cls.watermark),
+                   env.get("TRIGGER_INTERVAL", cls.trigger))
+
 
 @dataclass(frozen=True)
 class TopicSpec:

@@ -172,7 +172,8 @@ def q_insert_if_absent(spark, sf_dir):
 def _lake(spark, sf_dir):
     """Valid F1 orders written as a year/month/day Parquet lake, then scanned."""
     path = scratch_path(spark, "lake_valid")
-    writers.write_partitioned(order_flow.lake_rows(_records(spark, sf_dir), F1_RULE), path)
+    writers.write_partitioned(order_flow.lake_rows(_records(spark, sf_dir), F1_RULE), path,
+                              cluster_by="event_time")
     return scan_valid(spark, path)
 
 

@@ -106,3 +106,30 @@ def test_model_dag_builds_in_order(spark):
     frames = build_models(spark, raw_orders(spark, "/root/testdata/sf0.001"))
     assert frames["mart_daily_revenue"].count() > 0
     assert frames["mart_fraud_analysis"].columns[-1] == "time_of_day"
+
+
+def test_rule_and_window_from_env():
+    from orderlens.config import FraudRule, WindowSpec
+
+    rule = FraudRule.from_env({"FRAUD_AMOUNT_THRESHOLD": "500", "FRAUD_TENURE_THRESHOLD": "7"})
+    assert (rule.amount_threshold, rule.tenure_days) == (500.0, 7)
+    assert rule.reason == "High value order (>$500.0) from new customer (<7 days)"
+    assert FraudRule.from_env({}) == FraudRule()
+    assert WindowSpec.from_env({"WINDOW_DURATION": "1 minute"}).window == "1 minute"
+
+
+def test_cli_load_and_verify(spark, scratch, capsys):
+    from orderlens.__main__ import main
+    from orderlens.plans import order_flow
+    from orderlens.sinks.writers import write_partitioned
+    from orderlens.sources import fixtures
+
+    lake = f"{scratch}/lake"
+    write_partitioned(order_flow.lake_rows(fixtures.order_topic(spark, "/root/testdata/sf0.001"),
+                                           fixtures.F1_RULE), lake)
+    assert main(["load", "--lake", lake, "--target", f"{scratch}/raw"]) == 0
+    out = capsys.readouterr().out
+    assert '"inserted": ' in out
+    fixtures.raw_orders(spark, "/root/testdata/sf0.001").write.parquet(f"{scratch}/f2")
+    code = main(["verify", "--raw", f"{scratch}/f2"])
+    assert code == 1  # F2 has duplicate order ids and its own fraud rule: not all checks pass
