@@ -133,3 +133,12 @@ def test_cli_load_and_verify(spark, scratch, capsys):
     fixtures.raw_orders(spark, "/root/testdata/sf0.001").write.parquet(f"{scratch}/f2")
     code = main(["verify", "--raw", f"{scratch}/f2"])
     assert code == 1  # F2 has duplicate order ids and its own fraud rule: not all checks pass
+
+
+def test_fraud_analysis_same_with_materialized_customers(spark):
+    from orderlens.sources.fixtures import raw_orders
+
+    stg = staging.stg_orders(raw_orders(spark, "/root/testdata/sf0.001"))
+    a = marts.fraud_analysis(stg)
+    b = marts.fraud_analysis(stg, staging.stg_customers(stg))
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
