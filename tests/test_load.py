@@ -141,3 +141,26 @@ def test_hot_key_dedup_is_exact(spark, scratch):
     first = {r.order_id: r for r in load.first_arrival(batch).collect()}
     assert len(first) == 601
     assert first["hot"].source_file == "f0000" and first["hot"].amount == Decimal("0.00")
+
+
+def test_insert_into_bucketed_table_shuffles_only_the_batch(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw")
+    spark.sql("DROP TABLE IF EXISTS raw.orders_bucketed")
+    raw = fixtures.raw_orders(spark, SF_SMALL)
+    n_keys = raw.select("order_id").distinct().count()
+    assert load.insert_if_absent_table(spark, raw, "raw.orders_bucketed", buckets=8) == n_keys
+    assert load.insert_if_absent_table(spark, raw, "raw.orders_bucketed", buckets=8) == 0
+    assert spark.table("raw.orders_bucketed").count() == n_keys
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = load.new_rows(raw, spark.table("raw.orders_bucketed").select("order_id"))
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    target_side = text.split("LeftAnti")[1]
+    scan = [ln for ln in target_side.splitlines() if "orders_bucketed" in ln][0]
+    assert "SelectedBucketsCount: 8 out of 8" in scan
+    # the target scan feeds the join directly: no exchange between them
+    idx = [i for i, ln in enumerate(text.splitlines()) if "orders_bucketed" in ln][0]
+    above = text.splitlines()[idx - 1]
+    assert "Exchange" not in above
