@@ -14,9 +14,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULT_RULE, DEFAULT_WINDOW, FraudRule, WindowSpec
-from orderlens.plans.order_flow import alert_rows, clean_orders, lake_rows
+from orderlens.operators import conform, load
+from orderlens.plans.order_flow import alert_rows, clean_orders, flagged_orders, lake_rows
+from orderlens.schemas import RAW_ORDERS
 from orderlens.sinks import writers
 from orderlens.sources.topic import file_topic_stream
 from orderlens.streaming.windows import latest_per_window, window_revenue
@@ -71,3 +74,26 @@ def run_window_revenue(spark: SparkSession, source: str, log: str, checkpoint: s
                             foreach_batch=writers.update_log_writer(log), available_now=True)
     q.awaitTermination()
     return latest_per_window(spark.read.parquet(log))
+
+
+def start_warehouse_load(records: DataFrame, target: str, checkpoint: str, rule: FraudRule = DEFAULT_RULE,
+                         rejects: str | None = None, available_now: bool = False,
+                         spec: WindowSpec = DEFAULT_WINDOW):
+    """K5 on a stream: flagged orders -> raw.orders columns -> gate -> insert-if-absent.
+
+    Each micro-batch is loaded with the anti join against the target, so a
+    batch delivered twice (a restart after a failure before the checkpoint
+    commit) inserts nothing the second time. Rejected rows go to `rejects`.
+    """
+    rows = conform.to_warehouse(flagged_orders(records, rule), columns=RAW_ORDERS.fieldNames()).withColumn(
+        "loaded_at", F.current_timestamp())
+
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
+        accepted, rejected = load.split_gate(batch, not_null=load.RAW_NOT_NULL)
+        load.insert_if_absent(batch.sparkSession, accepted, target)
+        if rejects:
+            rejected.write.mode("append").parquet(rejects)
+
+    writer = rows.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=spec.trigger)
+    return writer.start()
