@@ -24,7 +24,7 @@ class Model:
     name: str
     inputs: tuple
     build: Callable[..., DataFrame]
-    materialized: str  # "view" or "table"
+    materialized: str  # "view", "table" or "rollup" (refreshed in place)
     layer: str
 
 
@@ -34,6 +34,7 @@ MODELS = (
     Model("int_customer_360", ("stg_orders",), marts.customer_360, "view", "intermediate"),
     Model("mart_daily_revenue", ("stg_orders",), marts.daily_revenue, "table", "marts"),
     Model("mart_fraud_analysis", ("stg_orders", "stg_customers"), marts.fraud_analysis, "table", "marts"),
+    Model("hourly_metrics", ("raw_orders",), marts.hourly_metrics, "rollup", "analytics"),
 )
 
 
@@ -69,9 +70,12 @@ def build_models(spark: SparkSession, raw_orders: DataFrame, models=MODELS, writ
             df.write.parquet(path)
             df = spark.read.parquet(path)
         if write_tables:
-            if m.materialized == "table":
+            if m.materialized in ("table", "rollup"):
                 spark.sql(f"CREATE DATABASE IF NOT EXISTS {m.layer}")
-                writers.materialize_table(spark, df, f"{m.layer}.{m.name}")
+                if m.materialized == "table":
+                    writers.materialize_table(spark, df, f"{m.layer}.{m.name}")
+                else:
+                    writers.refresh_rollup(spark, df, f"{m.layer}.{m.name}")
                 df = spark.table(f"{m.layer}.{m.name}")
             else:
                 writers.materialize_view(df, m.name)

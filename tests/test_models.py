@@ -142,3 +142,16 @@ def test_fraud_analysis_same_with_materialized_customers(spark):
     a = marts.fraud_analysis(stg)
     b = marts.fraud_analysis(stg, staging.stg_customers(stg))
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_models_written_as_tables_and_rollup_refreshes(spark):
+    from orderlens.plans.models import build_models
+    from orderlens.sources.fixtures import raw_orders
+
+    raw = raw_orders(spark, "/root/testdata/sf0.001")
+    frames = build_models(spark, raw, write_tables=True)
+    n = spark.table("analytics.hourly_metrics").count()
+    assert n == marts.hourly_metrics(raw).count() and spark.table("marts.mart_daily_revenue").count() > 0
+    build_models(spark, raw, write_tables=True)  # refresh in place: same rows, not appended
+    assert spark.table("analytics.hourly_metrics").count() == n
+    assert "int_customer_360" in frames
