@@ -10,6 +10,18 @@ from orderlens.operators.conform import to_staging_source
 from orderlens.schemas import STG_ORDERS
 
 
+def staging_columns() -> list:
+    """The 13 staging columns as expressions over the staging source names."""
+    return [F.col(name).cast(typ).alias(name) for name, typ in STG_ORDERS] + [
+        F.to_date(F.col("order_timestamp")).alias("order_date"),
+        F.hour(F.col("order_timestamp")).cast("int").alias("order_hour"),
+        pg_day_of_week("order_timestamp").alias("order_day_of_week"),
+    ]
+
+
+STAGING_NAMES = [name for name, _ in STG_ORDERS] + ["order_date", "order_hour", "order_day_of_week"]
+
+
 def stg_orders(raw: DataFrame) -> DataFrame:
     """Raw.orders -> staging orders.
 
@@ -20,14 +32,7 @@ def stg_orders(raw: DataFrame) -> DataFrame:
     collapses before the shuffle.
     """
     src = to_staging_source(raw).filter(F.col("order_timestamp").isNotNull())
-    cleaned = src.select(*[F.col(name).cast(typ).alias(name) for name, typ in STG_ORDERS])
-    derived = cleaned.select(
-        "*",
-        F.to_date(F.col("order_timestamp")).alias("order_date"),
-        F.hour(F.col("order_timestamp")).cast("int").alias("order_hour"),
-        pg_day_of_week("order_timestamp").alias("order_day_of_week"),
-    )
-    return derived.distinct()
+    return src.select(*staging_columns()).distinct()
 
 
 def customer_summary_aggs() -> list:
