@@ -118,3 +118,21 @@ def test_stream_load_is_idempotent_under_redelivery(spark, scratch):
     loaded = spark.read.parquet(target)
     assert loaded.select("order_id").distinct().count() == expected
     assert loaded.filter("is_fraud").count() > 0 and loaded.filter("loaded_at IS NULL").count() == 0
+
+
+def test_console_window_sink_and_rocksdb_state(spark, scratch):
+    src = f"{scratch}/src"
+    fixtures.order_topic(spark, SF_SMALL).write.parquet(src)
+    paths = PipelinePaths(lake=f"{scratch}/lake", alerts=f"{scratch}/alerts", window_log=f"{scratch}/wlog",
+                          checkpoints=f"{scratch}/ckpt")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        queries = start_pipeline(file_topic_stream(spark, src), paths, FraudRule(100.0, 30),
+                                 available_now=True, window_to_console=True)
+        for q in queries.values():
+            q.awaitTermination()
+        agg = queries["aggregations"]
+        assert agg.lastProgress["stateOperators"][0]["numRowsTotal"] > 0
+    finally:
+        spark.conf.unset(key)
