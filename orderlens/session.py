@@ -68,12 +68,16 @@ def work_dir(spark: SparkSession) -> str:
     storage). Only when the session names none, as in local tests, a local
     folder is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext (e.g. a Connect session)
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="orderlens-ckpt-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
+        if sc:
+            sc.setCheckpointDir(current)
+            current = sc.getCheckpointDir() or current
     return current.rstrip("/")
 
 

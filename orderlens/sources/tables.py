@@ -20,10 +20,12 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     shuffle, and no key-based repartition that would pin a hot key to one
     task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:  # no SparkContext (e.g. a Connect session): leave the plan as is
+        return df
+    return df.repartition(cores) if narrow else df
 
 
 def declared_source(spark: SparkSession, name: str = "raw.orders") -> DataFrame:

@@ -164,3 +164,12 @@ def test_insert_into_bucketed_table_shuffles_only_the_batch(spark):
     idx = [i for i, ln in enumerate(text.splitlines()) if "orders_bucketed" in ln][0]
     above = text.splitlines()[idx - 1]
     assert "Exchange" not in above
+
+
+def test_scratch_goes_below_the_session_checkpoint_dir(spark):
+    from orderlens.session import scratch_path, work_dir
+
+    ckpt = spark.sparkContext.getCheckpointDir()
+    assert ckpt and work_dir(spark) == ckpt.rstrip("/")
+    a, b = scratch_path(spark, "t"), scratch_path(spark, "t")
+    assert a.startswith(ckpt.rstrip("/") + "/") and a != b
