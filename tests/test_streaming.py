@@ -136,3 +136,17 @@ def test_console_window_sink_and_rocksdb_state(spark, scratch):
         assert agg.lastProgress["stateOperators"][0]["numRowsTotal"] > 0
     finally:
         spark.conf.unset(key)
+
+
+def test_cli_stream_once_and_models(spark, scratch, capsys):
+    from orderlens.__main__ import main
+
+    src, out = f"{scratch}/src", f"{scratch}/out"
+    fixtures.order_topic(spark, SF_SMALL).write.parquet(src)
+    assert main(["stream", "--source", src, "--out", out, "--once"]) == 0
+    lake = spark.read.parquet(f"{out}/valid")
+    assert lake.count() + spark.read.text(f"{out}/fraud_alerts").count() == fixtures.order_events(
+        spark, SF_SMALL).count()
+    fixtures.raw_orders(spark, SF_SMALL).write.parquet(f"{scratch}/raw")
+    assert main(["models", "--raw", f"{scratch}/raw"]) == 0
+    assert '"mart_daily_revenue"' in capsys.readouterr().out
