@@ -399,3 +399,27 @@ SQL["category_counts"] = f"WITH {RAW_CTE} SELECT category, count(*) AS order_cou
 SQL["latest_orders"] = f"""WITH {RAW_CTE}
 SELECT order_id, category, product_name, CAST(amount AS DOUBLE) AS amount, is_fraud, order_timestamp
 FROM raw ORDER BY order_timestamp DESC, order_id, product_id, amount LIMIT 5"""
+
+_CUSTOMERS_CTE = f"""{STG_CTE},
+cust AS (
+  SELECT customer_id, min(order_timestamp) AS first_order_date, max(order_timestamp) AS last_order_date,
+         count(DISTINCT order_id) AS total_orders, sum(total_amount) AS lifetime_value,
+         {money_avg_2('sum(total_amount)', 'count(total_amount)')} AS avg_order_value,
+         max(customer_age_days) AS current_age_days, {segment('max(customer_age_days)')} AS customer_segment
+  FROM stg GROUP BY customer_id
+)"""
+
+SQL["test_unique_customers"] = f"""WITH {_CUSTOMERS_CTE}
+SELECT customer_id AS unique_field, count(*) AS n_records FROM cust
+WHERE customer_id IS NOT NULL GROUP BY customer_id HAVING count(*) > 1"""
+
+SQL["test_not_null_models"] = f"WITH {_CUSTOMERS_CTE} " + " UNION ALL ".join(
+    [f"SELECT 'stg_orders' AS model, '{c}' AS column_name, order_id AS key FROM stg WHERE {c} IS NULL"
+     for c in ("order_id", "total_amount", "order_date")]
+    + [f"SELECT 'stg_customers' AS model, '{c}' AS column_name, customer_id AS key FROM cust WHERE {c} IS NULL"
+       for c in ("customer_id", "lifetime_value")])
+
+SQL["test_accepted_range_lifetime_value"] = f"""WITH {_CUSTOMERS_CTE}
+SELECT customer_id, first_order_date, last_order_date, total_orders, CAST(lifetime_value AS DOUBLE) AS lifetime_value,
+       avg_order_value, current_age_days, customer_segment
+FROM cust WHERE NOT (lifetime_value >= 0)"""

@@ -329,3 +329,26 @@ def q_stream_window_revenue(spark, sf_dir):
     source = _staged_topic(spark, sf_dir)
     return pipeline.run_window_revenue(spark, source, scratch_path(spark, "window_log"),
                                        scratch_path(spark, "ckpt_windows"))
+
+
+# --- model-level data tests (declared on the staging models) ---------------------
+
+@register("test_unique_customers")
+def q_test_unique_customers(spark, sf_dir):
+    return quality.test_unique(staging.stg_customers(_stg(spark, sf_dir)), "customer_id")
+
+
+@register("test_not_null_models")
+def q_test_not_null_models(spark, sf_dir):
+    """NULLs in the declared model columns: order_id, total_amount, order_date; customer_id, lifetime_value."""
+    stg = _stg(spark, sf_dir)
+    orders = quality.test_not_null(stg, ["order_id", "total_amount", "order_date"]).select(
+        F.lit("stg_orders").alias("model"), "column_name", F.col("order_id").alias("key"))
+    customers = quality.test_not_null(staging.stg_customers(stg), ["customer_id", "lifetime_value"]).select(
+        F.lit("stg_customers").alias("model"), "column_name", F.col("customer_id").alias("key"))
+    return orders.unionByName(customers)
+
+
+@register("test_accepted_range_lifetime_value")
+def q_test_accepted_range_lifetime_value(spark, sf_dir):
+    return quality.test_accepted_range(staging.stg_customers(_stg(spark, sf_dir)), "lifetime_value", 0, None)
