@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,9 +12,16 @@ from orderlens.operators.conform import to_staging_source
 from orderlens.schemas import STG_ORDERS
 
 
+def _cast(name: str, typ: str):
+    width = re.fullmatch(r"varchar\((\d+)\)", typ)
+    if width:
+        return F.substring(F.col(name).cast("string"), 1, int(width.group(1))).alias(name)
+    return F.col(name).cast(typ).alias(name)
+
+
 def staging_columns() -> list:
     """The 13 staging columns as expressions over the staging source names."""
-    return [F.col(name).cast(typ).alias(name) for name, typ in STG_ORDERS] + [
+    return [_cast(name, typ) for name, typ in STG_ORDERS] + [
         F.to_date(F.col("order_timestamp")).alias("order_date"),
         F.hour(F.col("order_timestamp")).cast("int").alias("order_hour"),
         pg_day_of_week("order_timestamp").alias("order_day_of_week"),

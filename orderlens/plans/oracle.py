@@ -72,7 +72,8 @@ raw AS (
 
 STG_CTE = RAW_CTE + """,
 stg AS (
-  SELECT DISTINCT order_id, customer_id, product_id, quantity, price,
+  SELECT DISTINCT left(order_id, 50) AS order_id, left(customer_id, 50) AS customer_id,
+         left(product_id, 50) AS product_id, quantity, price,
          CAST(amount AS DECIMAL(10,2)) AS total_amount, order_timestamp, customer_age_days,
          is_fraud, loaded_at AS processed_time,
          CAST(order_timestamp AS DATE) AS order_date,
