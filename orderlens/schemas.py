@@ -89,6 +89,48 @@ STG_ORDERS = [
 ]
 
 
+# Declared warehouse tables beyond raw.orders (constraints live in the gate).
+STAGING_ORDERS_TABLE = T.StructType([
+    T.StructField("order_id", T.StringType()),
+    T.StructField("customer_id", T.StringType()),
+    T.StructField("product_id", T.StringType()),
+    T.StructField("product_name", T.StringType()),
+    T.StructField("category", T.StringType()),
+    T.StructField("price", T.DecimalType(10, 2)),
+    T.StructField("quantity", T.IntegerType()),
+    T.StructField("amount", T.DecimalType(12, 2)),
+    T.StructField("order_timestamp", T.TimestampType()),
+    T.StructField("customer_age_days", T.IntegerType()),
+    T.StructField("is_fraud", T.BooleanType()),
+    T.StructField("fraud_reason", T.StringType()),
+    T.StructField("created_at", T.TimestampType()),
+    T.StructField("updated_at", T.TimestampType()),
+])
+
+DAILY_REVENUE_TABLE = T.StructType([
+    T.StructField("date", T.DateType()),
+    T.StructField("total_orders", T.IntegerType()),
+    T.StructField("total_revenue", T.DecimalType(15, 2)),
+    T.StructField("avg_order_value", T.DecimalType(10, 2)),
+    T.StructField("fraud_orders", T.IntegerType()),
+    T.StructField("fraud_amount", T.DecimalType(15, 2)),
+    T.StructField("created_at", T.TimestampType()),
+])
+
+CUSTOMER_METRICS_TABLE = T.StructType([
+    T.StructField("customer_id", T.StringType()),
+    T.StructField("first_order_date", T.DateType()),
+    T.StructField("last_order_date", T.DateType()),
+    T.StructField("total_orders", T.IntegerType()),
+    T.StructField("total_spent", T.DecimalType(15, 2)),
+    T.StructField("avg_order_value", T.DecimalType(10, 2)),
+    T.StructField("is_high_value", T.BooleanType()),
+    T.StructField("fraud_orders", T.IntegerType()),
+    T.StructField("created_at", T.TimestampType()),
+    T.StructField("updated_at", T.TimestampType()),
+])
+
+
 def ddl(schema: T.StructType) -> str:
     """Column list for CREATE TABLE from a StructType."""
     return ", ".join(

@@ -15,7 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULT_TOPICS, DEFAULT_WINDOW, TopicSpec, WindowSpec
-from orderlens.schemas import RAW_ORDERS, ddl
+from orderlens.schemas import (
+    CUSTOMER_METRICS_TABLE,
+    DAILY_REVENUE_TABLE,
+    RAW_ORDERS,
+    STAGING_ORDERS_TABLE,
+    ddl,
+)
 
 PARTITION_COLUMNS = ("year", "month", "day")
 
@@ -177,6 +183,53 @@ def create_raw_orders_table(spark: SparkSession, name: str = "raw.orders") -> st
     return name
 
 
+def _create(spark: SparkSession, name: str, schema, defaults: dict, comment: str, partitioned_by=None) -> str:
+    cols = []
+    for f in schema.fields:
+        col = f"`{f.name}` {f.dataType.simpleString()}"
+        if f.name in defaults:
+            col += f" DEFAULT {defaults[f.name]}"
+        cols.append(col)
+    parts = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(cols)}) USING parquet{parts} COMMENT '{comment}'")
+    return name
+
+
+def create_warehouse_tables(spark: SparkSession) -> list:
+    """K12 + K13: the layer databases and every declared table, with defaults.
+
+    Primary keys, NOT NULL and CHECK constraints are enforced by the gate and
+    by insert-if-absent, not by the (Parquet) tables.
+    """
+    create_layers(spark, ("raw", "staging", "analytics"))
+    now = "current_timestamp()"
+    return [
+        create_raw_orders_table(spark, "raw.orders"),
+        _create(spark, "staging.stg_orders", STAGING_ORDERS_TABLE,
+                {"is_fraud": "false", "created_at": now, "updated_at": now},
+                "Cleaned and deduplicated orders"),
+        _create(spark, "analytics.daily_revenue", DAILY_REVENUE_TABLE, {"created_at": now},
+                "Daily revenue metrics"),
+        _create(spark, "analytics.customer_metrics", CUSTOMER_METRICS_TABLE,
+                {"created_at": now, "updated_at": now}, "Customer lifetime value metrics"),
+    ]
+
+
+def load_declared(df: DataFrame, table: str, overwrite: bool = True) -> str:
+    """Fill a declared table from a DataFrame with a subset of its columns.
+
+    Columns the DataFrame lacks take the table's defaults (audit times).
+    """
+    spark = df.sparkSession
+    view = f"_load_{uuid.uuid4().hex[:8]}"
+    df.createOrReplaceTempView(view)
+    cols = ", ".join(f"`{c}`" for c in df.columns)
+    verb = "INSERT OVERWRITE" if overwrite else "INSERT INTO"
+    spark.sql(f"{verb} {table} ({cols}) SELECT {cols} FROM {view}")
+    spark.catalog.dropTempView(view)
+    return table
+
+
 def analyze(spark: SparkSession, name: str) -> None:
     """Refresh table and column statistics for the cost-based optimizer."""
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")

@@ -173,3 +173,23 @@ def test_scratch_goes_below_the_session_checkpoint_dir(spark):
     assert ckpt and work_dir(spark) == ckpt.rstrip("/")
     a, b = scratch_path(spark, "t"), scratch_path(spark, "t")
     assert a.startswith(ckpt.rstrip("/") + "/") and a != b
+
+
+def test_declared_tables_filled_from_contracts(spark):
+    from orderlens.operators import marts, staging
+    from orderlens.plans.queries import HIGH_VALUE_THRESHOLD
+
+    names = writers.create_warehouse_tables(spark)
+    assert set(names) == {"raw.orders", "staging.stg_orders", "analytics.daily_revenue", "analytics.customer_metrics"}
+    stg = staging.stg_orders(fixtures.raw_orders(spark, SF_SMALL))
+    writers.load_declared(marts.daily_revenue_contract(stg), "analytics.daily_revenue")
+    writers.load_declared(marts.customer_metrics_contract(stg, HIGH_VALUE_THRESHOLD), "analytics.customer_metrics")
+    daily = spark.table("analytics.daily_revenue")
+    assert daily.count() == marts.daily_revenue_contract(stg).count()
+    assert daily.filter("created_at IS NULL").count() == 0
+    assert spark.table("analytics.customer_metrics").filter("updated_at IS NULL").count() == 0
+    gated, _ = load.split_gate(fixtures.raw_orders(spark, SF_SMALL))
+    writers.load_declared(load.first_arrival(gated.drop("year", "month", "day", "loaded_at", "source_file")),
+                          "staging.stg_orders")
+    assert spark.table("staging.stg_orders").select("order_id").distinct().count() == \
+        spark.table("staging.stg_orders").count()
