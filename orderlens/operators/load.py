@@ -45,14 +45,14 @@ def split_gate(df: DataFrame, not_null=NOT_NULL, checks=CHECKS) -> tuple[DataFra
 def first_arrival(batch: DataFrame, key: str = "order_id", order=ARRIVAL_ORDER) -> DataFrame:
     """One row per key: the smallest by `order`, then by every other column.
 
-    A min_by aggregate: each task keeps one row per key before the shuffle,
-    so even a key holding a third of the batch moves one row per task. The
-    order covers all columns, so the choice is deterministic.
+    `min` of a struct that leads with the arrival order and carries the rest
+    of the row: each task keeps one row per key before the shuffle, so even
+    a key holding a third of the batch moves one row per task. The struct
+    covers all columns, so the choice is deterministic.
     """
     cols = batch.columns
-    order_cols = [c for c in order if c in cols] + [c for c in cols if c not in order and c != key]
-    picked = batch.groupBy(key).agg(
-        F.min_by(F.struct(*[c for c in cols if c != key]), F.struct(*order_cols)).alias("_row"))
+    ordered = [c for c in order if c in cols] + [c for c in cols if c not in order and c != key]
+    picked = batch.groupBy(key).agg(F.min(F.struct(*ordered)).alias("_row"))
     return picked.select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in cols])
 
 

@@ -40,10 +40,10 @@ def latest_per_window(updates: DataFrame, keys=("window_start", "product_categor
                       order: str = "batch_id") -> DataFrame:
     """Final state from an update-mode log: the last emitted row per key.
 
-    A max_by aggregate (map-side partial) rather than a window function,
-    so a key updated in many batches does not gather in one task.
+    A `max` of a struct leading with the batch id (map-side partial) rather
+    than a window function, so a key updated in many batches does not
+    gather in one task.
     """
     value_cols = [c for c in updates.columns if c not in keys and c != order]
-    latest = updates.groupBy(*keys).agg(
-        F.max_by(F.struct(*value_cols), F.col(order)).alias("_last"))
+    latest = updates.groupBy(*keys).agg(F.max(F.struct(order, *value_cols)).alias("_last"))
     return latest.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in value_cols])

@@ -36,8 +36,8 @@ def test_customer_360_is_one_aggregation_without_join(spark):
 
 def test_hot_key_paths_combine_map_side(spark):
     raw = fixtures.raw_orders(spark, SF_SMALL)
-    # first arrival: partial min_by before the shuffle on order_id
-    assert "partial_min_by" in _plan(load.first_arrival(raw))
+    # first arrival: partial min of the row struct before the shuffle on order_id
+    assert "partial_min(struct" in _plan(load.first_arrival(raw))
     # window revenue: partial sums per (window, category)
     clean = order_flow.clean_orders(fixtures.order_topic(spark, SF_SMALL))
     assert "partial_sum" in _plan(window_revenue(clean))
