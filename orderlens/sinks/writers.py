@@ -98,7 +98,12 @@ def window_sink(windowed: DataFrame, checkpoint: str, spec: WindowSpec = DEFAULT
 
 
 def update_log_writer(path: str):
-    """foreachBatch function appending each batch's updates with its batch id."""
+    """foreachBatch function appending each batch's updates with its batch id.
+
+    A batch replayed after a failure appends the same rows again under the
+    same id; `latest_per_window` keeps the max (batch id, values) per key,
+    so replays do not change the final state.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
     return write
