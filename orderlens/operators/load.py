@@ -6,12 +6,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# The declared constraints of the staging orders table
-# (name, predicate that must hold). CHECKs pass on NULL, as in SQL.
+# The declared constraints of the warehouse order tables
+# (name, predicate that must hold): key widths of VARCHAR(50), then the
+# CHECKs of the staging table. They pass on NULL, as in SQL.
 NOT_NULL = ("order_id", "customer_id", "product_id", "order_timestamp")
 # raw.orders as loaded from the stream lake has no product columns yet.
 RAW_NOT_NULL = ("order_id", "customer_id", "order_timestamp")
 CHECKS = (
+    ("order_id_width", "length(order_id) <= 50"),
+    ("customer_id_width", "length(customer_id) <= 50"),
+    ("product_id_width", "length(product_id) <= 50"),
     ("price_non_negative", "price >= 0"),
     ("quantity_positive", "quantity > 0"),
     ("amount_non_negative", "amount >= 0"),

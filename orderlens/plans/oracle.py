@@ -72,8 +72,7 @@ raw AS (
 
 STG_CTE = RAW_CTE + """,
 stg AS (
-  SELECT DISTINCT left(order_id, 50) AS order_id, left(customer_id, 50) AS customer_id,
-         left(product_id, 50) AS product_id, quantity, price,
+  SELECT DISTINCT order_id, customer_id, product_id, quantity, price,
          CAST(amount AS DECIMAL(10,2)) AS total_amount, order_timestamp, customer_age_days,
          is_fraud, loaded_at AS processed_time,
          CAST(order_timestamp AS DATE) AS order_date,
@@ -265,6 +264,9 @@ _GATE = ("NULLIF(concat_ws(',', "
          "CASE WHEN customer_id IS NULL THEN 'customer_id_not_null' END, "
          "CASE WHEN product_id IS NULL THEN 'product_id_not_null' END, "
          "CASE WHEN order_timestamp IS NULL THEN 'order_timestamp_not_null' END, "
+         "CASE WHEN NOT coalesce(length(order_id) <= 50, true) THEN 'order_id_width' END, "
+         "CASE WHEN NOT coalesce(length(customer_id) <= 50, true) THEN 'customer_id_width' END, "
+         "CASE WHEN NOT coalesce(length(product_id) <= 50, true) THEN 'product_id_width' END, "
          "CASE WHEN NOT coalesce(price >= 0, true) THEN 'price_non_negative' END, "
          "CASE WHEN NOT coalesce(quantity > 0, true) THEN 'quantity_positive' END, "
          "CASE WHEN NOT coalesce(amount >= 0, true) THEN 'amount_non_negative' END, "

@@ -73,12 +73,12 @@ WAREHOUSE_TO_STAGING = {
     "loaded_at": "processed_time",
 }
 
-# Staging model columns and types, in model order. varchar(n) means an
-# explicit cast that cuts the text to n characters (Spark's cast does not).
+# Staging model columns and types, in model order. The VARCHAR(50) width of
+# the key columns is enforced when rows enter raw.orders (constraint gate).
 STG_ORDERS = [
-    ("order_id", "varchar(50)"),
-    ("customer_id", "varchar(50)"),
-    ("product_id", "varchar(50)"),
+    ("order_id", "string"),
+    ("customer_id", "string"),
+    ("product_id", "string"),
     ("quantity", "int"),
     ("price", "decimal(10,2)"),
     ("total_amount", "decimal(10,2)"),

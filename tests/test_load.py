@@ -193,3 +193,22 @@ def test_declared_tables_filled_from_contracts(spark):
                           "staging.stg_orders")
     assert spark.table("staging.stg_orders").select("order_id").distinct().count() == \
         spark.table("staging.stg_orders").count()
+
+
+def test_gate_rejects_over_width_keys(spark):
+    df = spark.createDataFrame([_raw_row("x" * 51), _raw_row("ok")], RAW_ORDERS)
+    got = {r.order_id: r.violations for r in load.constraint_gate(df).collect()}
+    assert got["x" * 51] == "order_id_width" and got["ok"] is None
+
+
+def test_staging_distinct_reuses_a_bucketed_raw_table(spark):
+    from orderlens.operators import staging
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw")
+    spark.sql("DROP TABLE IF EXISTS raw.orders_by_key")
+    load.insert_if_absent_table(spark, fixtures.raw_orders(spark, SF_SMALL), "raw.orders_by_key", buckets=8)
+    stg = staging.stg_orders(spark.table("raw.orders_by_key"))
+    plan = stg._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # the distinct runs inside the key buckets
+    dups = spark.table("raw.orders_by_key").groupBy("order_id").count()
+    assert "Exchange" not in dups._jdf.queryExecution().executedPlan().toString()

@@ -155,10 +155,3 @@ def test_models_written_as_tables_and_rollup_refreshes(spark):
     build_models(spark, raw, write_tables=True)  # refresh in place: same rows, not appended
     assert spark.table("analytics.hourly_metrics").count() == n
     assert "int_customer_360" in frames
-
-
-def test_staging_cuts_varchar_width(spark):
-    from orderlens.sources.fixtures import raw_orders
-
-    raw = raw_orders(spark, "/root/testdata/sf0.001").limit(1).withColumn("order_id", F.lit("x" * 60))
-    assert len(staging.stg_orders(raw).first().order_id) == 50
