@@ -1,7 +1,7 @@
 """Command line: run the pipeline's jobs on an existing Spark deployment.
 
     python -m orderlens stream --source DIR --out DIR [--servers HOST:PORT] [--once]
-    python -m orderlens load   --lake DIR --target DIR [--limit-files N]
+    python -m orderlens load   --lake DIR (--target DIR | --table NAME [--buckets N]) [--limit-files N]
     python -m orderlens models --raw DIR [--write-tables]
     python -m orderlens verify --raw DIR
 
@@ -52,7 +52,8 @@ def cmd_load(args) -> int:
     from orderlens.plans.load_job import load_lake
 
     spark = _session()
-    res = load_lake(spark, args.lake, args.target, limit_files=args.limit_files)
+    res = load_lake(spark, args.lake, args.target, limit_files=args.limit_files, target_table=args.table,
+                    buckets=args.buckets)
     totals = res.totals.first().asDict()
     print(json.dumps({"inserted": res.inserted, "rejected": res.rejected.count(),
                       **{k: str(v) for k, v in totals.items()}}))
@@ -93,7 +94,10 @@ def main(argv=None) -> int:
     s.set_defaults(fn=cmd_stream)
     ld = sub.add_parser("load")
     ld.add_argument("--lake", required=True)
-    ld.add_argument("--target", required=True)
+    target = ld.add_mutually_exclusive_group(required=True)
+    target.add_argument("--target", help="Parquet path of raw.orders (partitioned by day)")
+    target.add_argument("--table", help="catalog table of raw.orders, bucketed by order_id")
+    ld.add_argument("--buckets", type=int)
     ld.add_argument("--limit-files", type=int)
     ld.set_defaults(fn=cmd_load)
     m = sub.add_parser("models")

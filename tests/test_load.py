@@ -212,3 +212,13 @@ def test_staging_distinct_reuses_a_bucketed_raw_table(spark):
     assert "Exchange" not in plan  # the distinct runs inside the key buckets
     dups = spark.table("raw.orders_by_key").groupBy("order_id").count()
     assert "Exchange" not in dups._jdf.queryExecution().executedPlan().toString()
+
+
+def test_load_job_into_bucketed_table(spark, scratch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw")
+    spark.sql("DROP TABLE IF EXISTS raw.orders_loaded")
+    lake = f"{scratch}/lake"
+    writers.write_partitioned(order_flow.lake_rows(fixtures.order_topic(spark, SF_SMALL), fixtures.F1_RULE), lake)
+    res = load_lake(spark, lake, target_table="raw.orders_loaded", buckets=4)
+    assert res.inserted == scan_valid(spark, lake).count() == res.totals.first().total_rows
+    assert load_lake(spark, lake, target_table="raw.orders_loaded", buckets=4).inserted == 0
