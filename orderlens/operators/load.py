@@ -91,23 +91,26 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, target_path: str,
 
 
 def insert_if_absent_table(spark: SparkSession, batch: DataFrame, table: str, key: str = "order_id",
-                           order=ARRIVAL_ORDER, buckets: int | None = None) -> int:
-    """K5 into a catalog table bucketed by the key.
-
-    The target is created bucketed (and sorted) by `key` on first load. On
-    later loads its key column is read bucket by bucket, so the anti join
-    shuffles only the incoming batch to the target's buckets; the history
-    is never shuffled again. Returns the number of rows inserted.
+                           order=ARRIVAL_ORDER, buckets: int | None = None, partition_by=None) -> int:
+    """K5 into a catalog table bucketed by the key (and optionally partitioned).
+
+    The target is created bucketed (and sorted) by `key` on first load, and
+    partitioned by `partition_by` (e.g. year/month/day) so time-range reads
+    still prune folders. On later loads its key column is read bucket by
+    bucket, across partitions, so the anti join shuffles only the incoming
+    batch to the target's buckets; the history is never shuffled again.
+    Returns the number of rows inserted.
     """
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    observed = Observation("insert_if_absent_table")
     if not spark.catalog.tableExists(table):
-        existing = spark.createDataFrame([], batch.select(key).schema)
-        fresh = new_rows(batch, existing, key, order)
-        observed = Observation("insert_if_absent_table")
-        (fresh.observe(observed, F.count(F.lit(1)).alias("rows")).write.format("parquet")
-         .bucketBy(n, key).sortBy(key).saveAsTable(table))
+        fresh = new_rows(batch, spark.createDataFrame([], batch.select(key).schema), key, order)
+        writer = fresh.observe(observed, F.count(F.lit(1)).alias("rows")).write.format("parquet")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.bucketBy(n, key).sortBy(key).saveAsTable(table)
         return int(observed.get.get("rows", 0))
-    fresh = new_rows(batch, spark.table(table).select(key), key, order)
-    observed = Observation("insert_if_absent_table")
+    target = spark.table(table)
+    fresh = new_rows(batch, target.select(key), key, order).select(*target.columns)  # insertInto is positional
     fresh.observe(observed, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
     return int(observed.get.get("rows", 0))

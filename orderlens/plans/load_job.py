@@ -27,14 +27,15 @@ class LoadResult:
 def load_lake(spark: SparkSession, lake_prefix: str, target_path: str | None = None, limit_files: int | None = None,
               partition_by=("year", "month", "day"), target_table: str | None = None,
               buckets: int | None = None) -> LoadResult:
-    """Load the lake into raw.orders: a Parquet path (partitioned by day) or a
-    catalog table bucketed by order_id (`target_table`), whose later loads and
-    staging reads need no shuffle of the history."""
+    """Load the lake into raw.orders: a Parquet path or a catalog table
+    bucketed by order_id (`target_table`), both partitioned by day; the
+    table's later loads and staging reads need no shuffle of the history."""
     scanned = scan_valid(spark, lake_prefix, lineage=True, limit_files=limit_files)
     rows = conform.to_warehouse(scanned, columns=RAW_ORDERS.fieldNames())
     accepted, rejected = load.split_gate(rows, not_null=load.RAW_NOT_NULL)
     if target_table:
-        inserted = load.insert_if_absent_table(spark, accepted, target_table, buckets=buckets)
+        inserted = load.insert_if_absent_table(spark, accepted, target_table, buckets=buckets,
+                                               partition_by=list(partition_by))
         target = spark.table(target_table)
     else:
         inserted = load.insert_if_absent(spark, accepted, target_path, partition_by=list(partition_by))

@@ -222,3 +222,25 @@ def test_load_job_into_bucketed_table(spark, scratch):
     res = load_lake(spark, lake, target_table="raw.orders_loaded", buckets=4)
     assert res.inserted == scan_valid(spark, lake).count() == res.totals.first().total_rows
     assert load_lake(spark, lake, target_table="raw.orders_loaded", buckets=4).inserted == 0
+
+
+def test_partitioned_bucketed_table_keeps_both_layouts(spark, scratch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw")
+    spark.sql("DROP TABLE IF EXISTS raw.orders_pb")
+    raw = fixtures.raw_orders(spark, SF_SMALL)
+    n = load.insert_if_absent_table(spark, raw, "raw.orders_pb", buckets=8, partition_by=["year", "month", "day"])
+    assert n == raw.select("order_id").distinct().count()
+    more = raw.withColumn("order_id", F.concat(F.col("order_id"), F.lit("-b")))
+    assert load.insert_if_absent_table(spark, more, "raw.orders_pb", buckets=8,
+                                       partition_by=["year", "month", "day"]) == n
+    t = spark.table("raw.orders_pb")
+    assert t.count() == 2 * n
+    pruned = t.filter("year = 1995")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in pruned
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = load.new_rows(raw, t.select("order_id"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = [ln for ln in plan.splitlines() if "orders_pb" in ln][0]
+    assert "SelectedBucketsCount: 8 out of 8" in scan
