@@ -87,25 +87,25 @@ def main(argv=None) -> int:
     s = sub.add_parser("stream")
     s.add_argument("--source", help="folder of staged topic records (offline stand-in)")
     s.add_argument("--servers", help="topic bootstrap servers (needs the connector package)")
-    s.add_argument("--out", required=True)
-    s.add_argument("--max-files-per-trigger", type=int)
+    s.add_argument("--out", required=True, help="folder for the lake, alerts, window updates, checkpoints")
+    s.add_argument("--max-files-per-trigger", type=int, help="rate limit of the file stand-in")
     s.add_argument("--once", action="store_true", help="process what is available, then stop")
     s.add_argument("--console", action="store_true", help="window updates to the console")
     s.set_defaults(fn=cmd_stream)
     ld = sub.add_parser("load")
-    ld.add_argument("--lake", required=True)
+    ld.add_argument("--lake", required=True, help="prefix of the year/month/day Parquet lake")
     target = ld.add_mutually_exclusive_group(required=True)
     target.add_argument("--target", help="Parquet path of raw.orders (partitioned by day)")
     target.add_argument("--table", help="catalog table of raw.orders, bucketed by order_id")
-    ld.add_argument("--buckets", type=int)
-    ld.add_argument("--limit-files", type=int)
+    ld.add_argument("--buckets", type=int, help="buckets of a new table (default: shuffle partitions)")
+    ld.add_argument("--limit-files", type=int, help="load only the first N files in name order")
     ld.set_defaults(fn=cmd_load)
     m = sub.add_parser("models")
-    m.add_argument("--raw", required=True)
-    m.add_argument("--write-tables", action="store_true")
+    m.add_argument("--raw", required=True, help="Parquet path of raw.orders")
+    m.add_argument("--write-tables", action="store_true", help="save tables / rollups and register views")
     m.set_defaults(fn=cmd_models)
     v = sub.add_parser("verify")
-    v.add_argument("--raw", required=True)
+    v.add_argument("--raw", required=True, help="Parquet path of raw.orders")
     v.set_defaults(fn=cmd_verify)
     args = p.parse_args(argv)
     return args.fn(args)
