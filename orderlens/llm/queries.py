@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import line_dedup, packing, sharding
-from orderlens.llm.common import read_table
+from orderlens.llm import decontaminate, html_extract, language_id, line_dedup, packing, quality, sharding
+from orderlens.llm.common import crc_mod, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -80,3 +80,40 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return packing.packed(docs, tokenizer_path()).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+# --- 8: language identification ----------------------------------------------
+
+@register("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = language_id.identify(docs, crc_mod("doc_id", 5) != 0)
+    return out.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+# --- 9: HTML extraction ------------------------------------------------------
+
+@register("op9_html_extraction")
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = html_extract.extract(pages)
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+# --- 1: quality classifier ---------------------------------------------------
+
+@register("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels")
+    out = quality.score_quality(docs, labels, crc_mod("doc_id", 4) != 2)
+    return out.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score",
+                      (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+# --- 2: benchmark decontamination --------------------------------------------
+
+@register("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.overlaps(docs, read_table(spark, sf_dir, "benchmark")).drop("text_key")
