@@ -8,10 +8,9 @@ words are compared one by one: the longest stretch on that alignment with at
 least ``IDENTITY`` equal words, beginning and ending with equal words, must
 have ``MIN_WORDS`` words (or all of a shorter item).
 
-Only seeds that may hit leave the scan of the documents: a bitmap of the
-benchmark's hashes (at most ``MAX_BITS`` bits, whatever the benchmark's size)
-sifts them; it has false positives, never false negatives, and the join decides. A
-larger benchmark sifts less and joins more.
+Only seeds that may hit leave the scan of the documents: a bitmap of bounded
+size over the benchmark's hashes sifts them, and the join decides. A very large
+benchmark sifts less and joins more.
 
 Words are ``\w+`` of the lower-cased text.
 
@@ -30,13 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import mix64, odd_constants, word_hashes, written
+from orderlens.llm.sieve import Sieve
 
 #: Fixed masks: weight 6, from contiguous to 12 words wide.
 MASKS = ("111111", "11011011", "1101001011", "110010100101")
 MIN_WORDS = 13
 MIN_ITEM = 8
 IDENTITY = 0.8
-MAX_BITS = 1 << 28
 
 
 def seeds(words: np.ndarray) -> list[np.ndarray]:
@@ -110,30 +109,6 @@ def _item_seeds(items: DataFrame) -> DataFrame:
     return items.select("key", "words").mapInArrow(run, "key long, seed long, place int")
 
 
-def _bitmap(item_seeds: DataFrame) -> np.ndarray:
-    """Bits of all seed hashes, two each; at most MAX_BITS."""
-    n = item_seeds.count()
-    bits = 1 << 16
-    while bits < min(MAX_BITS, 256 * n):
-        bits *= 2
-    ones = item_seeds.select(F.explode(F.array(
-        F.col("seed").bitwiseAND(bits - 1), F.shiftrightunsigned("seed", 32).bitwiseAND(bits - 1))).alias("bit"))
-    words = ones.groupBy(F.shiftright("bit", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("ones")).toArrow()
-    out = np.zeros(bits // 64, dtype=np.uint64)
-    out[words.column("word").to_numpy()] = words.column("ones").to_numpy().view(np.uint64)
-    return out
-
-
-def _may_hold(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Places of the hashes that the bitmap doesn't rule out."""
-    mask = np.uint64(len(bitmap) * 64 - 1)
-    low = h & mask
-    at = np.flatnonzero((bitmap[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1))
-    high = (h[at] >> np.uint64(32)) & mask
-    return at[((bitmap[(high >> np.uint64(6)).astype(np.int64)] >> (high & np.uint64(63))) & np.uint64(1)).astype(bool)]
-
-
 def _text_key(text_col: str):
     text = F.coalesce(F.col(text_col), F.lit(""))
     return F.struct(F.xxhash64(F.lit(1), text).alias("a"), F.xxhash64(F.lit(2), text).alias("b"))
@@ -151,21 +126,20 @@ def overlaps(
 
     Columns: the document's id, text_key, the item's id, doc_start, item_start, words, equal_words.
     """
-    spark = docs.sparkSession
     items = written(_items(benchmark, item_id_col, item_text_col).withColumn("key", F.monotonically_increasing_id()), "benchmark")
     item_seeds = written(_item_seeds(items), "benchmark-seeds")
-    shared = spark.sparkContext.broadcast(_bitmap(item_seeds))
+    shared = Sieve.share(item_seeds, "seed")
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def sift(batches):
-        bitmap = shared.value
+        sieve = shared.value
         for batch in batches:
             keep, words_, found = [], [], []
             for i, text in enumerate(batch.column(2).to_pylist()):
                 words = word_hashes(text)
                 hits = []
                 for h in seeds(words):
-                    at = _may_hold(bitmap, h)
+                    at = sieve.passes(h)
                     hits += zip(h[at].view(np.int64).tolist(), at.tolist(), strict=True)
                 if hits:
                     keep.append(i)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontaminate, html_extract, language_id, line_dedup, packing, quality, sharding
+from orderlens.llm import decontaminate, html_extract, language_id, line_dedup, packing, quality, sharding, substring_dedup
 from orderlens.llm.common import crc_mod, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.overlaps(docs, read_table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+# --- 5: suffix-array dedup ---------------------------------------------------
+
+@register("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substring_dedup.remove_repeats(docs, 100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
