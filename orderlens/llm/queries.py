@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontaminate, html_extract, language_id, line_dedup, packing, quality, sharding, substring_dedup
+from orderlens.llm import decontaminate, html_extract, language_id, line_dedup, ngram_join, packing, quality, sharding, substring_dedup
 from orderlens.llm.common import crc_mod, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = substring_dedup.remove_repeats(docs, 100)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# --- 3: n-gram Jaccard join --------------------------------------------------
+
+@register("op3_ngram_join")
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(read_table(spark, sf_dir, "documents"))
