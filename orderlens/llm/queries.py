@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontaminate, html_extract, language_id, line_dedup, ngram_join, packing, quality, sharding, substring_dedup
+from orderlens.llm import decontaminate, html_extract, language_id, line_dedup, ngram_join, packing, quality, sharding, substring_dedup, topk_search
 from orderlens.llm.common import crc_mod, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,38 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_ngram_join")
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(read_table(spark, sf_dir, "documents"))
+
+
+# --- 10: exact top-k search --------------------------------------------------
+
+TOPK_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS word FROM documents
+), freq AS (
+  SELECT doc_id, word, count(*) AS tf FROM words GROUP BY ALL
+), size AS (
+  SELECT doc_id, sum(tf) AS len FROM freq GROUP BY doc_id
+), corpus AS (
+  SELECT count(*)::DOUBLE AS n, (SELECT sum(len) FROM size)::DOUBLE / count(*) AS mean FROM documents
+), idf AS (
+  SELECT word, floor(1000 * ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5)) + 0.5)::BIGINT AS w
+  FROM freq, corpus GROUP BY word
+), part AS (
+  SELECT f.doc_id, f.word,
+         floor(1000 * f.tf::DOUBLE * (1.2 + 1) / (f.tf::DOUBLE + 1.2 * (1 - 0.75 + 0.75 * s.len::DOUBLE / c.mean)) + 0.5)::BIGINT AS p
+  FROM freq f JOIN size s USING (doc_id), corpus c
+), scored AS (
+  SELECT q.doc_id AS query_id, d.doc_id AS doc_id, sum(i.w * d.p)::DOUBLE / 1e6 AS score
+  FROM freq q JOIN idf i USING (word) JOIN part d USING (word)
+  WHERE q.doc_id % 20 = 0 GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@register("op10_topk_search", TOPK_SQL)
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return topk_search.top_k(docs, docs.where("doc_id % 20 = 0"), k=10)
