@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import mix64, odd_constants, word_hashes, written
+from orderlens.llm.common import free_name, mix64, odd_constants, word_hashes, written
 from orderlens.llm.sieve import Sieve
 
 #: Fixed masks: weight 6, from contiguous to 12 words wide.
@@ -186,5 +186,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     """The documents that overlap no benchmark item, columns as they were."""
     found = overlaps(docs, benchmark, id_col, text_col, item_id_col, item_text_col).select("text_key").distinct()
     # a text is contaminated or not whatever its row's other columns are
-    hit = found.select(F.col("text_key").alias("_hit"))
-    return docs.join(hit, _text_key(text_col) == F.col("_hit"), "left_anti")
+    name = free_name(docs.columns, "_hit")
+    return docs.join(found.withColumnRenamed("text_key", name), _text_key(text_col) == F.col(name), "left_anti")

@@ -259,4 +259,4 @@ def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     gone = classes.where(F.col(id_col) != F.col("class_id")).select(id_col).distinct()
     kept = classes.where(F.col(id_col) == F.col("class_id")).select(id_col).distinct()
     # an id with texts of several classes goes only if none of them is its own class
-    return docs.join(gone.join(kept, id_col, "left_anti"), id_col, "left_anti")
+    return docs.join(gone.join(kept, id_col, "left_anti"), id_col, "left_anti").select(*docs.columns)

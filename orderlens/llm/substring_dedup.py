@@ -262,11 +262,11 @@ def remove_repeats(
     clash = {x.lower() for x in out} & {c.lower() for c in docs.columns}
     if clash:
         raise ValueError(f"the input has columns named {sorted(clash)}")
-    tie, runs = free_name(docs.columns, "_tie"), free_name(docs.columns, "_runs")
+    tie, runs, of_id, of_tie = (free_name(docs.columns, x) for x in ("_tie", "_runs", "_of_id", "_of_tie"))
     per_doc = repeated_runs(docs, length, id_col, text_col).groupBy("id", "tie").agg(
-        F.collect_list(F.struct("first", "last")).alias(runs)).withColumnsRenamed({"id": "_id_", "tie": "_tie_"})
+        F.collect_list(F.struct("first", "last")).alias(runs)).withColumnsRenamed({"id": of_id, "tie": of_tie})
     joined = docs.withColumn(tie, _tie(text_col)).join(
-        per_doc, F.col(id_col).eqNullSafe(F.col("_id_")) & (F.col(tie) == F.col("_tie_")), "left").select(*docs.columns, runs)
+        per_doc, F.col(id_col).eqNullSafe(F.col(of_id)) & (F.col(tie) == F.col(of_tie)), "left").select(*docs.columns, runs)
     schema = StructType([*docs.schema.fields, StructField(out[0], BinaryType()), *[StructField(x, LongType()) for x in out[1:]]])
     where = docs.columns.index(text_col)
 
