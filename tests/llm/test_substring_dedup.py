@@ -1,0 +1,92 @@
+import hashlib
+import random
+
+import pytest
+
+from orderlens.llm import substring_dedup as sd
+from orderlens.llm.queries import QUERIES
+from tests.conftest import SF_SMALL
+from tests.llm.conftest import DOCS
+
+
+def brute(data, length):
+    """(id, text) -> (kept, bytes, removed, spans); equal rows are one document."""
+    seen, out = set(), {}
+    for id_, text in sorted({(r[0], r[1]) for r in data}, key=lambda r: (r[0] is not None, r[0] or 0)):
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for at in range(len(raw) - length + 1):
+            window = raw[at:at + length]
+            if window in seen:
+                gone[at:at + length] = b"\1" * length
+            seen.add(window)
+        spans = sum(1 for k, g in enumerate(gone) if g and (not k or not gone[k - 1]))
+        out[id_, text] = (bytes(b for b, g in zip(raw, gone, strict=True) if not g), len(raw), sum(gone), spans)
+    return out
+
+
+def check(df, data, length):
+    want = brute(data, length)
+    out = sd.remove_repeats(df, length).collect()
+    assert len(out) == len(data)
+    for r in out:
+        assert (bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) == want[r.doc_id, r.text], r.doc_id
+
+
+def generated(seed):
+    """Small texts that share passages, with edits, repeats inside, periods and runs of one byte."""
+    rng = random.Random(seed)
+    letters = "abé"
+    passages = ["".join(rng.choice(letters) for _ in range(rng.randint(20, 90))) for _ in range(4)]
+    data = []
+    for n in range(24):
+        text = "".join(rng.choice([rng.choice(passages), "".join(rng.choice(letters) for _ in range(rng.randint(1, 30))), "a" * 40, "ab" * 20])
+                       for _ in range(rng.randint(0, 6)))
+        if text and n % 5 == 0:
+            k = rng.randrange(len(text))
+            text = text[:k] + "X" + text[k + 1:]
+        data.append((n, text, None))
+    return data
+
+
+@pytest.mark.parametrize(("seed", "hot"), [(1, 5000), (2, 0), (3, 1)])
+def test_against_all_windows(spark, monkeypatch, seed, hot):
+    monkeypatch.setattr(sd, "HOT", hot)
+    data = generated(seed)
+    check(spark.createDataFrame(data, DOCS), data, 20)
+
+
+def test_slices_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(sd, "SLICE", 37)
+    data = generated(9)
+    kept = [x for d in data for x in [b"".join(d[1].encode()[f:l + 1] for *_, f, l, _ in [])]]
+    assert len(kept) == len(data)
+    for _, text, _ in data:
+        raw = text.encode()
+        starts = []
+        for rank, _, first, last, at in sd.anchors(raw, 20):
+            assert len(rank) == len(first)
+            starts += [s for f, e in zip(first.tolist(), last.tolist(), strict=True) for s in range(f, e + 1)]
+            assert all(f <= a <= f + 10 or a <= e + 10 for f, e, a in zip(first, last, at, strict=True))
+        assert starts == list(range(max(0, len(raw) - 19)))
+
+
+def test_odd_rows(spark, odd, empty):
+    from tests.llm.conftest import odd_rows
+
+    data = [r for r in odd_rows() if not (r[0] == 6)]
+    check(odd.where("doc_id IS NULL OR doc_id <> 6"), data, 100)
+    clash = odd.withColumnRenamed("extra", "_tie")
+    assert sd.remove_repeats(clash, 50).columns == [*clash.columns, "kept", "n_bytes", "n_removed", "n_spans"]
+    assert sd.remove_repeats(empty).count() == 0
+    with pytest.raises(ValueError):
+        sd.remove_repeats(odd.withColumnRenamed("extra", "KEPT"))
+
+
+def test_query_equals_brute_force(spark, documents):
+    data = [(r.doc_id, r.text) for r in documents.collect()]
+    want = brute(data, 100)
+    texts = dict(data)
+    for r in QUERIES["op5_substring_dedup"](spark, SF_SMALL).collect():
+        kept, *counts = want[r.doc_id, texts[r.doc_id]]
+        assert [r.n_bytes, r.n_removed, r.n_spans] == counts and r.kept_sha256 == hashlib.sha256(kept).hexdigest()
