@@ -7,7 +7,7 @@ overridden by the caller (no credentials or endpoints live here).
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -50,13 +50,25 @@ class WindowSpec:
 
 @dataclass(frozen=True)
 class TopicSpec:
-    """Topic names and read limits of the order stream."""
+    """Topic names and read limits of the order stream.
+
+    ``max_offsets_per_trigger`` caps what one micro-batch reads (0: no cap);
+    the default is the documented one of the stream job, to be raised with
+    the cluster.
+    """
 
     input_topic: str = "orders.raw"
     alert_topic: str = "fraud.alerts"
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int = 1000
 
+    @classmethod
+    def from_env(cls, env=os.environ) -> "TopicSpec":
+        """From KAFKA_INPUT_TOPIC, KAFKA_OUTPUT_TOPIC, KAFKA_STARTING_OFFSETS and MAX_OFFSETS_PER_TRIGGER."""
+        return cls(env.get("KAFKA_INPUT_TOPIC", cls.input_topic), env.get("KAFKA_OUTPUT_TOPIC", cls.alert_topic),
+                   env.get("KAFKA_STARTING_OFFSETS", cls.starting_offsets),
+                   int(env.get("MAX_OFFSETS_PER_TRIGGER", cls.max_offsets_per_trigger)))
+
 
 # Product categories and their price ranges (min, max) used by
 # the generator-side quality checks.
@@ -70,19 +82,6 @@ CATEGORY_PRICE_RANGES = {
 }
 
 
-@dataclass(frozen=True)
-class QualitySpec:
-    """Thresholds of the data-quality checks."""
-
-    min_rows: int = 100
-    amount_min: float = 0.0
-    amount_max: float = 10000.0
-    freshness_hours: int = 1
-    accepted_categories: tuple = CATEGORIES
-    category_ranges: dict = field(default_factory=lambda: dict(CATEGORY_PRICE_RANGES))
-
-
 DEFAULT_RULE = FraudRule()
 DEFAULT_WINDOW = WindowSpec()
 DEFAULT_TOPICS = TopicSpec()
-DEFAULT_QUALITY = QualitySpec()

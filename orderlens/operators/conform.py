@@ -26,12 +26,19 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
-def to_warehouse(flagged: DataFrame, columns=LOAD_COLUMNS) -> DataFrame:
+#: Names the values of a row that don't fit their declared column, NULL if all do.
+UNFIT = "_unfit"
+
+
+def to_warehouse(flagged: DataFrame, columns=LOAD_COLUMNS, keep=(), unfit: bool = False) -> DataFrame:
     """Stream-shaped flagged orders -> the 16 load columns of raw.orders (P10 order).
 
     Renames the stream names, derives the partition columns if absent,
     pads absent columns with NULL, casts to the declared types and selects
-    in load order.
+    in load order. A value that does not fit (an amount of 1e11, NaN) never
+    ends the job: it becomes NULL, and with `unfit` the row carries the
+    column's name in `UNFIT`, which the constraint gate turns into a
+    violation. `keep` names columns passed through behind the declared ones.
     """
     df = flagged
     if "year" not in df.columns and "event_time" in df.columns:
@@ -39,7 +46,13 @@ def to_warehouse(flagged: DataFrame, columns=LOAD_COLUMNS) -> DataFrame:
     df = rename(df, STREAM_TO_WAREHOUSE)
     df = add_missing_columns(df, RAW_ORDERS)
     types = {f.name: f.dataType for f in RAW_ORDERS.fields}
-    return df.select([F.col(c).cast(types[c]).alias(c) for c in columns])
+    out = [F.col(c).try_cast(types[c]).alias(c) for c in columns]
+    out += [F.col(c) for c in keep]
+    if unfit:
+        lost = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(types[c]).isNull(), F.lit(f"{c}_unfit")) for c in columns]
+        names = F.concat_ws(",", *lost)
+        out.append(F.when(names != "", names).alias(UNFIT))
+    return df.select(*out)
 
 
 def to_staging_source(raw: DataFrame) -> DataFrame:

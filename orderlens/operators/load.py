@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.operators.conform import UNFIT
+
 # The declared constraints of the warehouse order tables
 # (name, predicate that must hold): key widths of VARCHAR(50), then the
 # CHECKs of the staging table. They pass on NULL, as in SQL.
@@ -21,17 +25,32 @@ CHECKS = (
     ("amount_non_negative", "amount >= 0"),
     ("age_non_negative", "customer_age_days >= 0"),
 )
+# Declared widths of the remaining text columns of raw.orders.
+WIDTHS = (
+    ("product_name_width", "length(product_name) <= 255"),
+    ("category_width", "length(category) <= 100"),
+    ("fraud_reason_width", "length(fraud_reason) <= 255"),
+    ("source_file_width", "length(source_file) <= 500"),
+)
 
-# First-arrival order of K5: load time, file, then the row's own columns.
-ARRIVAL_ORDER = ("loaded_at", "source_file", "product_id", "amount", "quantity")
+# First-arrival order of K5: load time, file, row of the file, then the row's own columns.
+ARRIVAL_ORDER = ("loaded_at", "source_file", "row_index", "product_id", "amount", "quantity")
+
+# The layout of raw.orders that every load path gives a new target.
+RAW_LAYOUT = ("year", "month", "day")
+#: Buckets of a new catalog table (about 256 MB each at some TB; the caller's choice beyond).
+BUCKETS = 64
 
 
 def constraint_gate(df: DataFrame, not_null=NOT_NULL, checks=CHECKS) -> DataFrame:
     """Every row with `violations` (comma-separated rule names, NULL if none) and `passed`.
 
     Row-level rules only; the primary key is enforced by insert_if_absent.
+    Values that conforming found not to fit their column (the `UNFIT` column,
+    if there is one) count as violations.
     """
-    failed = [F.when(F.col(c).isNull(), F.lit(f"{c}_not_null")) for c in not_null if c in df.columns]
+    failed = [F.col(UNFIT)] if UNFIT in df.columns else []
+    failed += [F.when(F.col(c).isNull(), F.lit(f"{c}_not_null")) for c in not_null if c in df.columns]
     failed += [F.when(~F.coalesce(F.expr(pred), F.lit(True)), F.lit(name)) for name, pred in checks]
     names = F.concat_ws(",", *failed)
     return df.select("*", F.when(names != "", names).alias("violations")).withColumn(
@@ -41,8 +60,8 @@ def constraint_gate(df: DataFrame, not_null=NOT_NULL, checks=CHECKS) -> DataFram
 def split_gate(df: DataFrame, not_null=NOT_NULL, checks=CHECKS) -> tuple[DataFrame, DataFrame]:
     """(accepted rows without the gate columns, rejected rows with their reasons)."""
     gated = constraint_gate(df, not_null, checks)
-    accepted = gated.filter(F.col("passed")).drop("violations", "passed")
-    rejected = gated.filter(~F.col("passed")).drop("passed")
+    accepted = gated.filter(F.col("passed")).drop("violations", "passed", UNFIT)
+    rejected = gated.filter(~F.col("passed")).drop("passed", UNFIT)
     return accepted, rejected
 
 
@@ -61,56 +80,108 @@ def first_arrival(batch: DataFrame, key: str = "order_id", order=ARRIVAL_ORDER)
 
 
 def new_rows(batch: DataFrame, existing_keys: DataFrame, key: str = "order_id", order=ARRIVAL_ORDER) -> DataFrame:
-    """Rows of `batch` whose key is not yet in the target (left anti join): first arrival wins.
+    """Rows of `batch` whose key is not yet in the target: first arrival wins.
+
+    The anti join comes first, so a re-load aggregates nothing and adaptive
+    execution can split a hot key on the batch side. NULL keys cannot conflict
+    and are not inserted (the gate rejects them).
+    """
+    unseen = batch.filter(F.col(key).isNotNull()).join(existing_keys.select(key), key, "left_anti").select(*batch.columns)
+    return first_arrival(unseen, key, order)
 
-    NULL keys cannot conflict and are not inserted (the gate rejects them).
+
+def target_layout(spark: SparkSession, path: str) -> tuple | None:
+    """Partition columns of the Parquet table at `path`; None if the path is missing.
+
+    Taken from one of the table's own files; any other failure to read the
+    target is the caller's error and is raised.
     """
-    first = first_arrival(batch.filter(F.col(key).isNotNull()), key, order)
-    return first.join(existing_keys.select(key), key, "left_anti")
+    try:
+        target = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    one = target.select(F.col("_metadata.file_path")).first()
+    if one is None:
+        return ()
+    names = []
+    for part in reversed(one[0].split("/")[:-1]):
+        m = re.fullmatch(r"([^=]+)=.*", part)
+        if not m:
+            break
+        names.append(m[1])
+    return tuple(reversed(names))
 
 
 def insert_if_absent(spark: SparkSession, batch: DataFrame, target_path: str,
-                     key: str = "order_id", order=ARRIVAL_ORDER, partition_by=None) -> int:
+                     key: str = "order_id", order=ARRIVAL_ORDER, partition_by=None, drop=("row_index",)) -> int:
     """Append to the Parquet table at `target_path` the rows whose key is absent.
 
     Re-running the same batch inserts nothing. Only the key column of the
-    target is read (column pruning). Returns the number of rows inserted.
-    Single writer per target is assumed (no unique index to arbitrate).
+    target is read (column pruning). The table owns its layout: an existing
+    target keeps its partition columns, and a caller that names others is
+    refused; `partition_by` counts for a new target. `drop` names columns
+    that order the arrivals and are not stored. Returns the number of rows
+    inserted. Single writer per target is assumed (no unique index to
+    arbitrate).
     """
-    try:
-        existing = spark.read.parquet(target_path).select(key)
-    except AnalysisException:  # no table yet
+    layout = target_layout(spark, target_path)
+    if layout is None:
+        layout = tuple(partition_by or ())
         existing = spark.createDataFrame([], batch.select(key).schema)
-    fresh = new_rows(batch, existing, key, order)
+    else:
+        if partition_by is not None and tuple(partition_by) != layout:
+            raise ValueError(f"{target_path} is partitioned by {list(layout)}, not by {list(partition_by)}")
+        target = spark.read.parquet(target_path)
+        if key not in target.columns:
+            raise ValueError(f"{target_path} has no column {key}")
+        existing = target.select(key)
+    fresh = new_rows(batch, existing, key, order).drop(*drop)
     observed = Observation("insert_if_absent")
     writer = fresh.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if layout:
+        writer = writer.partitionBy(*layout)
     writer.parquet(target_path)
     return int(observed.get.get("rows", 0))
 
 
 def insert_if_absent_table(spark: SparkSession, batch: DataFrame, table: str, key: str = "order_id",
-                           order=ARRIVAL_ORDER, buckets: int | None = None, partition_by=None) -> int:
+                           order=ARRIVAL_ORDER, buckets: int | None = None, partition_by=None,
+                           drop=("row_index",)) -> int:
     """K5 into a catalog table bucketed by the key (and optionally partitioned).
 
-    The target is created bucketed (and sorted) by `key` on first load, and
-    partitioned by `partition_by` (e.g. year/month/day) so time-range reads
-    still prune folders. On later loads its key column is read bucket by
-    bucket, across partitions, so the anti join shuffles only the incoming
-    batch to the target's buckets; the history is never shuffled again.
+    The target is created bucketed (and sorted) by `key` on first load with
+    `buckets` buckets. On later loads its key column is read bucket by bucket,
+    so the anti join shuffles only the incoming batch to the target's buckets;
+    the history is never shuffled again. Each load writes at most one file per
+    bucket (times the partitions, if `partition_by` asks for any: every
+    partition value multiplies the files, so partition coarsely or not at all).
     Returns the number of rows inserted.
     """
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     observed = Observation("insert_if_absent_table")
+    count = F.count(F.lit(1)).alias("rows")
     if not spark.catalog.tableExists(table):
-        fresh = new_rows(batch, spark.createDataFrame([], batch.select(key).schema), key, order)
-        writer = fresh.observe(observed, F.count(F.lit(1)).alias("rows")).write.format("parquet")
+        n = buckets or BUCKETS
+        fresh = new_rows(batch, spark.createDataFrame([], batch.select(key).schema), key, order).drop(*drop)
+        writer = fresh.observe(observed, count).repartition(n, key).write.format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.bucketBy(n, key).sortBy(key).saveAsTable(table)
         return int(observed.get.get("rows", 0))
     target = spark.table(table)
-    fresh = new_rows(batch, target.select(key), key, order).select(*target.columns)  # insertInto is positional
-    fresh.observe(observed, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
+    fresh = new_rows(batch, target.select(key), key, order).drop(*drop)
+    fresh = fresh.select(*target.columns)  # insertInto is positional
+    n = _buckets_of(spark, table)
+    if n:
+        fresh = fresh.observe(observed, count).repartition(n, key)
+    else:
+        fresh = fresh.observe(observed, count)
+    fresh.write.insertInto(table)
     return int(observed.get.get("rows", 0))
+
+
+def _buckets_of(spark: SparkSession, table: str) -> int:
+    """The buckets of a catalog table, 0 if it has none."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Num Buckets'").select("data_type").collect()
+    return int(rows[0][0]) if rows else 0

@@ -38,12 +38,6 @@ def partition_profile(raw: DataFrame) -> DataFrame:
                    F.countDistinct("day").alias("days"))
 
 
-def range_profile(raw: DataFrame) -> DataFrame:
-    """Amount and time ranges."""
-    return raw.agg(F.min("amount").alias("min_amount"), F.max("amount").alias("max_amount"),
-                   F.min("order_timestamp").alias("min_date"), F.max("order_timestamp").alias("max_date"))
-
-
 def null_counts(raw: DataFrame, columns=("order_id", "customer_id", "amount", "order_timestamp"),
                 names=("null_order_id", "null_customer_id", "null_amount", "null_timestamp")) -> DataFrame:
     """NULLs per column, one pass."""

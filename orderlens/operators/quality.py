@@ -21,6 +21,10 @@ from orderlens.operators.conform import to_staging_source
 from orderlens.operators.staging import STAGING_NAMES, staging_columns
 
 
+#: Most ranges that a check takes as a parameter (they are broadcast).
+MAX_RANGES = 10_000
+
+
 def _report(df: DataFrame, passed, n_failed) -> DataFrame:
     return df.select("*", passed.alias("passed"), n_failed.cast("long").alias("n_failed"))
 
@@ -141,10 +145,12 @@ def test_category_range(df: DataFrame, category: str = "product_category", amoun
                         ranges=None) -> DataFrame:
     """Q15: amount outside its category's [min, max], or a category without a range.
 
-    The range table is the caller's parameter (a handful of rows), so it is
-    broadcast; the orders are never shuffled.
+    The range table is the caller's parameter, at most MAX_RANGES rows, so it
+    is broadcast; the orders are never shuffled.
     """
     ranges = dict(CATEGORY_PRICE_RANGES if ranges is None else ranges)
+    if len(ranges) > MAX_RANGES:
+        raise ValueError(f"more than {MAX_RANGES} ranges: pass them as a table and join it")
     spark = df.sparkSession
     schema = T.StructType([T.StructField("_cat", T.StringType()), T.StructField("_lo", T.DoubleType()),
                            T.StructField("_hi", T.DoubleType())])
@@ -222,7 +228,7 @@ def run_checks(spark: SparkSession, checks: dict) -> DataFrame:
             r = summarize(name, build()).first()
             rows.append((name, bool(r["passed"]), int(r["n_failed"]), None))
         except Exception as e:
-            rows.append((name, False, None, f"{type(e).__name__}: {str(e)[:200]}"))
+            rows.append((name, False, None, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(rows, SUMMARY_SCHEMA)
 
 

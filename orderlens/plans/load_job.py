@@ -1,7 +1,8 @@
 """The batch load (one Spark job per step, no per-file driver loop):
 
-scan lake (S3, S4 lineage, S5 tolerance) -> conform to raw.orders (P9-P11)
--> constraint gate (Q13) -> insert-if-absent on order_id (K5) -> totals (A9).
+scan lake (S3, S4 lineage) -> drop damaged files whole and report them (S5)
+-> conform to raw.orders (P9-P11) -> constraint gate (Q13)
+-> insert-if-absent on order_id (K5) -> totals (A9).
 """
 
 from __future__ import annotations
@@ -9,35 +10,67 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlens.operators import conform, load, profile
 from orderlens.schemas import RAW_ORDERS
-from orderlens.sources.files import scan_valid
+from orderlens.session import scratch_path
+from orderlens.sinks import writers
+from orderlens.sources.files import first_files, footer_counts, list_files, load_summary, scan_valid, whole_files
 
 
 @dataclass
 class LoadResult:
-    """Rows inserted, rows the gate rejected (with reasons), totals of the target."""
+    """Rows inserted, rows rejected (with reasons), totals of the target, and the file summary."""
 
     inserted: int
     rejected: DataFrame
     totals: DataFrame
+    files: DataFrame
 
 
 def load_lake(spark: SparkSession, lake_prefix: str, target_path: str | None = None, limit_files: int | None = None,
-              partition_by=("year", "month", "day"), target_table: str | None = None,
-              buckets: int | None = None) -> LoadResult:
-    """Load the lake into raw.orders: a Parquet path or a catalog table
-    bucketed by order_id (`target_table`), both partitioned by day; the
-    table's later loads and staging reads need no shuffle of the history."""
-    scanned = scan_valid(spark, lake_prefix, lineage=True, limit_files=limit_files)
-    rows = conform.to_warehouse(scanned, columns=RAW_ORDERS.fieldNames())
-    accepted, rejected = load.split_gate(rows, not_null=load.RAW_NOT_NULL)
+              partition_by=None, target_table: str | None = None, buckets: int | None = None,
+              quarantine: str | None = None, analyze: bool = False) -> LoadResult:
+    """Load the lake into raw.orders: a Parquet path (a new one is partitioned by
+    day) or a catalog table bucketed by order_id (`target_table`).
+
+    An existing target keeps its own layout. Each file is read once into the
+    work folder and counts only if it gave all rows its footer promises.
+    Rejected rows are kept in the Parquet folder `quarantine` (the work
+    folder's, if none is named). `analyze` refreshes the table's statistics.
+    """
+    scanned = scan_valid(spark, lake_prefix, lineage=True, limit_files=limit_files, ignore_corrupt=True)
+    staged_path = scratch_path(spark, "load_staged")
+    scanned.write.parquet(staged_path)
+    staged = spark.read.schema(scanned.schema).parquet(staged_path)
+    listed = list_files(spark, lake_prefix)
+    if limit_files is not None:
+        chosen = [(f,) for f in first_files(spark, lake_prefix, limit_files)]
+        listed = spark.createDataFrame(chosen, "source_file string")
+    summary_path = scratch_path(spark, "load_summary")
+    load_summary(staged, listed, footer_counts(spark, lake_prefix)).write.parquet(summary_path)
+    summary = spark.read.parquet(summary_path)
+
+    rows = conform.to_warehouse(whole_files(staged, summary), columns=RAW_ORDERS.fieldNames(), keep=("row_index",), unfit=True)
+    accepted, rejected = load.split_gate(rows, not_null=load.RAW_NOT_NULL, checks=load.CHECKS + load.WIDTHS)
+    kept = quarantine or scratch_path(spark, "load_rejected")
+    rejected.write.mode("append").parquet(kept)
     if target_table:
-        inserted = load.insert_if_absent_table(spark, accepted, target_table, buckets=buckets,
-                                               partition_by=list(partition_by))
+        inserted = load.insert_if_absent_table(spark, accepted, target_table, buckets=buckets, partition_by=partition_by)
         target = spark.table(target_table)
+        if analyze:
+            writers.analyze(spark, target_table)
     else:
-        inserted = load.insert_if_absent(spark, accepted, target_path, partition_by=list(partition_by))
+        if partition_by is None and load.target_layout(spark, target_path) is None:
+            partition_by = load.RAW_LAYOUT
+        inserted = load.insert_if_absent(spark, accepted, target_path, partition_by=partition_by)
         target = spark.read.parquet(target_path)
-    return LoadResult(inserted=inserted, rejected=rejected, totals=profile.order_totals(target))
+    return LoadResult(inserted=inserted, rejected=spark.read.schema(rejected.schema).parquet(kept),
+                      totals=profile.order_totals(target), files=summary)
+
+
+def file_totals(files: DataFrame) -> DataFrame:
+    """The load summary in one row: files listed, rows read from whole files, files that failed."""
+    return files.agg(F.count(F.lit(1)).alias("files"), F.sum(F.when(F.col("failed"), 0).otherwise(F.col("rows"))).alias("rows"),
+                     F.count_if("failed").alias("failed_files"))

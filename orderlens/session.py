@@ -22,19 +22,6 @@ SESSION_DEFAULTS = {
 }
 
 
-# Settings for a large cluster (passed at submit time; not applied here):
-# many initial shuffle partitions that AQE coalesces to ~256 MB each, skew
-# splitting, and the RocksDB state store for large window state.
-CLUSTER_SETTINGS = {
-    **SESSION_DEFAULTS,
-    "spark.sql.shuffle.partitions": "20000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-}
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings results depend on (safe on a live session)."""
@@ -74,6 +61,8 @@ def work_dir(spark: SparkSession) -> str:
         sc = None
     current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if sc and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="orderlens-ckpt-")
         if sc:
             sc.setCheckpointDir(current)

@@ -1,4 +1,4 @@
-"""Reading the given Parquet tables."""
+"""Reading the given Parquet tables and declared catalog tables."""
 
 from __future__ import annotations
 
@@ -10,24 +10,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin an input whose scan has fewer splits than the cluster has cores.
-
-    A file with a single row group is read by one task, and every per-row
-    step fused into that scan stage (joins with broadcast sides, JSON work,
-    partial aggregation) would run in that task. A wide input (many files
-    or row groups, the normal case at scale) is left alone: no extra
-    shuffle, and no key-based repartition that would pin a hot key to one
-    task.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < cores
-    except Exception:  # no SparkContext (e.g. a Connect session): leave the plan as is
-        return df
-    return df.repartition(cores) if narrow else df
-
-
 def declared_source(spark: SparkSession, name: str = "raw.orders") -> DataFrame:
     """A declared source table of the catalog (e.g. raw.orders)."""
     return spark.table(name)

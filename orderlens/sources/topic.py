@@ -23,8 +23,9 @@ def topic_stream_reader(spark: SparkSession, bootstrap_servers: str, spec: Topic
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", spec.input_topic)
         .option("startingOffsets", spec.starting_offsets)
-        .option("maxOffsetsPerTrigger", str(spec.max_offsets_per_trigger))
     )
+    if spec.max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(spec.max_offsets_per_trigger))
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     return reader

@@ -76,23 +76,37 @@ def run_window_revenue(spark: SparkSession, source: str, log: str, checkpoint: s
     return latest_per_window(spark.read.parquet(log))
 
 
-def start_warehouse_load(records: DataFrame, target: str, checkpoint: str, rule: FraudRule = DEFAULT_RULE,
+def start_warehouse_load(records: DataFrame, target: str | None, checkpoint: str, rule: FraudRule = DEFAULT_RULE,
                          rejects: str | None = None, available_now: bool = False,
-                         spec: WindowSpec = DEFAULT_WINDOW):
+                         spec: WindowSpec = DEFAULT_WINDOW, table: str | None = None, buckets: int | None = None):
     """K5 on a stream: flagged orders -> raw.orders columns -> gate -> insert-if-absent.
 
     Each micro-batch is loaded with the anti join against the target, so a
     batch delivered twice (a restart after a failure before the checkpoint
-    commit) inserts nothing the second time. Rejected rows go to `rejects`.
+    commit) inserts nothing the second time. A Parquet `target` keeps its
+    layout (a new one gets the one of the batch load); with `table`, a
+    catalog table bucketed by order_id, a micro-batch never shuffles the
+    key history: the form for a large target. Rejected rows are written
+    below `rejects` under their batch id, overwriting what an earlier
+    delivery of the batch left there.
     """
-    rows = conform.to_warehouse(flagged_orders(records, rule), columns=RAW_ORDERS.fieldNames()).withColumn(
+    rows = conform.to_warehouse(flagged_orders(records, rule), columns=RAW_ORDERS.fieldNames(), unfit=True).withColumn(
         "loaded_at", F.current_timestamp())
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        accepted, rejected = load.split_gate(batch, not_null=load.RAW_NOT_NULL)
-        load.insert_if_absent(batch.sparkSession, accepted, target)
-        if rejects:
-            rejected.write.mode("append").parquet(rejects)
+        spark = batch.sparkSession
+        batch = batch.persist()  # parsed once for both writes
+        try:
+            accepted, rejected = load.split_gate(batch, not_null=load.RAW_NOT_NULL, checks=load.CHECKS + load.WIDTHS)
+            if table:
+                load.insert_if_absent_table(spark, accepted, table, buckets=buckets)
+            else:
+                new = load.target_layout(spark, target) is None
+                load.insert_if_absent(spark, accepted, target, partition_by=load.RAW_LAYOUT if new else None)
+            if rejects:
+                rejected.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = rows.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=spec.trigger)

@@ -4,7 +4,9 @@ import datetime as dt
 import os
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from orderlens.operators import conform, load
 from orderlens.plans import order_flow
@@ -12,7 +14,7 @@ from orderlens.plans.load_job import load_lake
 from orderlens.schemas import RAW_ORDERS
 from orderlens.sinks import writers
 from orderlens.sources import fixtures
-from orderlens.sources.files import load_summary, scan_range, scan_valid
+from orderlens.sources.files import footer_counts, list_files, load_summary, scan_range, scan_valid, whole_files
 from tests.conftest import SF_SMALL
 
 
@@ -77,12 +79,13 @@ def test_lake_scan_lineage_limits_and_bad_files(spark, scratch):
         fh.write(b"not parquet")
     with open(f"{lake}/year=2024/month=1/{day}/notes.txt", "w") as fh:
         fh.write("x")
-    scanned = scan_valid(spark, lake, lineage=True)
+    with pytest.raises(Exception, match="zz-corrupt"):
+        scan_valid(spark, lake).count()  # never silently
+    scanned = scan_valid(spark, lake, lineage=True, ignore_corrupt=True)
     assert scanned.count() == rows.count()
     assert scanned.filter(F.col("source_file").contains("zz-corrupt")).count() == 0
-    assert set(scanned.columns) >= {"year", "month", "day", "source_file", "loaded_at"}
-    files = spark.createDataFrame([(f,) for f in scan_valid(spark, lake).inputFiles()], "source_file string")
-    summary = load_summary(scanned, files)
+    assert set(scanned.columns) >= {"year", "month", "day", "source_file", "row_index", "loaded_at"}
+    summary = load_summary(scanned, list_files(spark, lake))
     assert summary.filter("failed").count() == 1  # the corrupt file produced no rows
     first_two = scan_valid(spark, lake, limit_files=2)
     assert len(first_two.inputFiles()) == 2
@@ -244,3 +247,101 @@ def test_partitioned_bucketed_table_keeps_both_layouts(spark, scratch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     scan = [ln for ln in plan.splitlines() if "orders_pb" in ln][0]
     assert "SelectedBucketsCount: 8 out of 8" in scan
+
+
+def _damaged_copy(path: str, share: float) -> str:
+    """A copy of the file whose bytes from this share on, up to its footer, are overwritten."""
+    with open(path, "rb") as fh:
+        data = bytearray(fh.read())
+    end = len(data) - 8 - int.from_bytes(data[-8:-4], "little")
+    start = int(len(data) * share)
+    data[start:end] = b"\x07" * max(0, end - start)
+    copy = os.path.join(os.path.dirname(path), "zz-damaged.parquet")
+    with open(copy, "wb") as fh:
+        fh.write(data)
+    return copy
+
+
+def test_partly_damaged_file_is_dropped_whole_and_listed(spark, scratch):
+    lake = f"{scratch}/lake"
+    rows = order_flow.lake_rows(fixtures.order_topic(spark, SF_SMALL), fixtures.F1_RULE)
+    (rows.drop("year", "month", "day").selectExpr("*", "2024 year", "1 month", "1 + (hash(order_id) & 1) day")
+     .repartition(2, "day").write.option("parquet.block.size", 4096).option("parquet.page.size", 512)
+     .option("parquet.page.row.count.limit", 20).partitionBy("year", "month", "day").parquet(lake))
+    n = spark.read.parquet(lake).count()
+    files = [r.source_file.replace("file:", "") for r in list_files(spark, lake).orderBy("source_file").collect()]
+    other = spark.read.parquet(files[0]).withColumn("order_id", F.concat("order_id", F.lit("-x"))).coalesce(1)
+    other.write.parquet(f"{scratch}/other")
+    one = next(f"{scratch}/other/{x}" for x in os.listdir(f"{scratch}/other") if x.endswith(".parquet"))
+    os.makedirs(f"{lake}/year=2024/month=1/day=3")
+    bad = _damaged_copy(one, 0.6).replace(f"{scratch}/other", f"{lake}/year=2024/month=1/day=3")
+    with open(f"{scratch}/other/zz-damaged.parquet", "rb") as src, open(bad, "wb") as dst:
+        dst.write(src.read())
+    res = load_lake(spark, lake, f"{scratch}/raw")
+    assert res.inserted == n == spark.read.parquet(f"{scratch}/raw").count()
+    failed = {r.source_file.rsplit("/", 1)[-1] for r in res.files.collect() if r.failed}
+    assert failed == {"zz-damaged.parquet"}
+    from orderlens.plans.load_job import file_totals
+
+    assert tuple(file_totals(res.files).first()) == (len(files) + 1, n, 1)
+    scan_valid(spark, lake, lineage=True, ignore_corrupt=True).write.parquet(f"{scratch}/staged")
+    staged = spark.read.parquet(f"{scratch}/staged")
+    summary = load_summary(staged, list_files(spark, lake), footer_counts(spark, lake))
+    assert n < staged.count() + 1 and whole_files(staged, summary).count() == n
+
+
+def test_batch_and_stream_load_one_layout(spark, scratch):
+    """The stream's rows are where a read of the day-partitioned table finds them, also after a second delivery."""
+    from orderlens.sources.topic import file_topic_stream, stage_topic
+    from orderlens.streaming.pipeline import start_warehouse_load
+
+    records = fixtures.order_topic(spark, SF_SMALL)
+    lake, raw = f"{scratch}/lake", f"{scratch}/raw"
+    writers.write_partitioned(order_flow.lake_rows(records, fixtures.F1_RULE), lake)
+    first = load_lake(spark, lake, raw).inserted
+    source = stage_topic(records, f"{scratch}/topic")
+    for ckpt in ("c1", "c2"):  # the second checkpoint delivers all batches again
+        q = start_warehouse_load(file_topic_stream(spark, source), raw, f"{scratch}/{ckpt}", fixtures.F1_RULE,
+                                 rejects=f"{scratch}/rejects", available_now=True)
+        q.awaitTermination()
+        total = order_flow.clean_orders(records).count()
+        assert spark.read.parquet(raw).count() == total > first
+    assert load.target_layout(spark, raw) == ("year", "month", "day")
+    assert load_lake(spark, lake, raw).inserted == 0
+
+
+def test_targets_that_do_not_fit_are_refused(spark, scratch):
+    batch = spark.createDataFrame([_raw_row("a")], RAW_ORDERS)
+    assert load.target_layout(spark, f"{scratch}/none") is None
+    batch.drop("order_id").write.parquet(f"{scratch}/no_key")
+    with pytest.raises(ValueError, match="no column order_id"):
+        load.insert_if_absent(spark, batch, f"{scratch}/no_key")
+    load.insert_if_absent(spark, batch, f"{scratch}/flat")
+    with pytest.raises(ValueError, match="partitioned by"):
+        load.insert_if_absent(spark, batch, f"{scratch}/flat", partition_by=["year"])
+    load.insert_if_absent(spark, batch, f"{scratch}/days", partition_by=["year", "day"])
+    more = spark.createDataFrame([_raw_row("b")], RAW_ORDERS)
+    assert load.insert_if_absent(spark, more, f"{scratch}/days") == 1
+    assert spark.read.parquet(f"{scratch}/days").count() == 2
+
+
+def test_first_arrival_in_a_file_follows_the_rows(spark):
+    rows = [(*_raw_row("a", product_id=p), i) for i, p in enumerate(("p9", None, "p1"))]
+    batch = spark.createDataFrame(rows, StructType([*RAW_ORDERS.fields, StructField("row_index", LongType())]))
+    assert load.first_arrival(batch).first().product_id == "p9"
+
+
+def test_values_that_do_not_fit_are_rejected_with_a_reason(spark):
+    events = [("ok", 10.0), ("big", 1e11), ("nan", float("nan")), ("inf", float("inf"))]
+    df = spark.createDataFrame(events, "order_id string, amount double").selectExpr(
+        "*", "'c' customer_id", "timestamp'2024-01-01 00:00:00' event_time", "'p' product_id")
+    rows = conform.to_warehouse(df, columns=RAW_ORDERS.fieldNames()[:17], unfit=True)
+    accepted, rejected = load.split_gate(rows, not_null=load.RAW_NOT_NULL, checks=load.CHECKS + load.WIDTHS)
+    assert [r.order_id for r in accepted.collect()] == ["ok"]
+    assert {r.order_id: r.violations for r in rejected.collect()} == dict.fromkeys(("big", "nan", "inf"), "amount_unfit")
+
+
+def test_gate_checks_all_declared_widths(spark):
+    row = _raw_row("a", product_name="x" * 256, category="x" * 101, fraud_reason="x" * 256, source_file="x" * 501)
+    got = load.constraint_gate(spark.createDataFrame([row], RAW_ORDERS), checks=load.CHECKS + load.WIDTHS).first()
+    assert got.violations == "product_name_width,category_width,fraud_reason_width,source_file_width"
