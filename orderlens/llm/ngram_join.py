@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm.common import mix64, odd_constants, word_hashes, written
 from orderlens.llm.components import components
+from orderlens.llm.sieve import Sieve
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -114,9 +115,20 @@ def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _stars(classes: DataFrame, depth: int) -> DataFrame:
     """Edges (u, v) from each class to the least class under each trie node that it shares."""
     tries = F.array(*[F.xxhash64(F.lit(t), F.substring("labels", 1 + 2 * DEPTH * t, 2 * depth)) for t in range(TREES)])
-    nodes = classes.where("labels IS NOT NULL").select("key", F.explode(tries).alias("trie_node"))
-    shared = nodes.groupBy("trie_node").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return nodes.join(shared.select("trie_node", "low"), "trie_node").where("key != low").select(
+    paths = classes.where("labels IS NOT NULL").select("key", tries.alias("nodes"))
+    shared = written(
+        paths.select("key", F.explode("nodes").alias("node")).groupBy("node")
+        .agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").select("node", "low"), "trie-nodes")
+    sieve = Sieve.share(shared, "node")
+
+    def run(batches):
+        for batch in batches:
+            nodes = batch.column("nodes").flatten().to_numpy().view(np.uint64)
+            at = sieve.value.passes(nodes)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key").take(pa.array(at // TREES)), pa.array(nodes[at].view(np.int64))], names=["key", "node"])
+
+    return paths.mapInArrow(run, "key binary, node long").join(shared.hint("merge"), "node").where("key != low").select(
         F.col("key").alias("u"), F.col("low").alias("v")).distinct()
 
 
@@ -217,21 +229,18 @@ def jaccard_classes(
         .select(F.col("node").alias("key"), F.col("root").alias("group"), "blocks", "set_id",
                 F.pmod(F.xxhash64(F.lit(5), "node"), "blocks").cast("int").alias("block")), "members")
 
+    wanted = Sieve.share(members.select(F.xxhash64("set_id").alias("h")), "h")
+
     def again(batches):
         for batch in batches:
-            keep, data = [], []
-            for i, (text, key) in enumerate(zip(batch.column("text").to_pylist(), batch.column("key").to_pylist(), strict=True)):
-                x = shingles(text)
-                if set_key(x) == key:  # an id may have several texts
-                    keep.append(i)
-                    data.append(x.tobytes())
-            rows = batch.take(pa.array(keep, pa.int64()))
+            rows = batch.take(pa.array(wanted.value.passes(batch.column("h").to_numpy().view(np.uint64))))
+            found = [shingles(t) for t in rows.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [rows.column("key"), rows.column("group"), rows.column("blocks"), rows.column("block"), pa.array(data, pa.binary())],
-                names=["key", "group", "blocks", "block", "elements"])
+                [pa.array([set_key(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], names=["key", "elements"])
 
-    sets = (docs.select(F.col(id_col).alias("set_id"), F.col(text_col).alias("text")).join(members, "set_id")
-            .mapInArrow(again, "key binary, group binary, blocks int, block int, elements binary"))
+    # only texts of members leave the scan; what the sieve lets pass besides has no partner in the join
+    sets = (docs.select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("text"))
+            .mapInArrow(again, "key binary, elements binary").join(members.hint("merge"), "key"))
     pairs = sets.select(
         "group", "key", "block", "elements",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
