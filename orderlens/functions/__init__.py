@@ -3,6 +3,7 @@
 from orderlens.functions.expressions import (  # noqa: F401
     customer_segment,
     date_parts,
+    exact_money,
     exact_money_sum,
     fraud_flag,
     fraud_reason,

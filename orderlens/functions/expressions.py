@@ -86,9 +86,14 @@ def rate_pct(part, whole, scale: int = 2) -> Column:
     return round_ratio(p, _c(whole).cast("decimal(20,0)"), scale)
 
 
+def exact_money(amount) -> Column:
+    """A double money column as an exact decimal; NULL if it is not finite or too large."""
+    return _c(amount).try_cast("decimal(38,10)")
+
+
 def exact_money_sum(amount) -> Column:
-    """Sum of a double money column, exact to 10 decimal places."""
-    return F.sum(_c(amount).cast("decimal(38,10)"))
+    """Sum of a double money column, exact to 10 decimal places (see `exact_money`)."""
+    return F.sum(exact_money(amount))
 
 
 def to_double(col) -> Column:

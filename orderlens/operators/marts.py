@@ -93,33 +93,20 @@ def daily_revenue_contract(stg: DataFrame) -> DataFrame:
 def fraud_analysis(stg: DataFrame, customers: DataFrame | None = None) -> DataFrame:
     """Fraud patterns by date x hour x customer segment.
 
-    The segment depends on all of a customer's orders. Without a given
-    customer summary, one aggregation by (customer, date, hour) over all
-    orders carries both the all-orders max age and the fraud-only partials;
-    the segment is then the max over the customer's aggregated rows (a
-    window over at most days x 24 rows per customer, however many orders it
-    has). So the staging input is read once and no join is needed. With a
-    materialized summary (`customers`), fraud partials are joined to it.
-    Orders without a customer get a NULL segment, as with the left join.
+    The fraud filter comes first: only fraud rows are aggregated by
+    (customer, date, hour) and joined with their customer's segment, so the
+    planner can broadcast or split that side. The segment depends on all of a
+    customer's orders: it is taken from the customer summary (`customers`),
+    else from one map-side combined max per customer. Orders without a
+    customer get a NULL segment, as with the left join.
     """
-    fraud = F.col("is_fraud")
     amount, age = F.col("total_amount"), F.col("customer_age_days")
-    partial_aggs = [
-        F.count_if(fraud).alias("_n"),
-        F.sum(F.when(fraud, amount)).alias("_sum"),
-        F.count(F.when(fraud, amount)).alias("_cnt"),
-        F.min(F.when(fraud, age)).alias("_min_age"),
-        F.max(F.when(fraud, age)).alias("_max_age"),
-    ]
-    keys = ["customer_id", "order_date", "order_hour"]
+    partial = stg.filter(F.col("is_fraud")).groupBy("customer_id", "order_date", "order_hour").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_sum"), F.count(amount).alias("_cnt"),
+        F.min(age).alias("_min_age"), F.max(age).alias("_max_age"))
     if customers is None:
-        hourly = stg.groupBy(*keys).agg(F.max(age).alias("_age_all"), *partial_aggs)
-        seg = customer_segment(F.max("_age_all").over(Window.partitionBy("customer_id")))
-        joined = hourly.select(*hourly.columns, F.when(F.col("customer_id").isNotNull(), seg)
-                               .alias("customer_segment")).filter(F.col("_n") > 0)
-    else:
-        partial = stg.filter(fraud).groupBy(*keys).agg(*partial_aggs)
-        joined = partial.join(customers.select("customer_id", "customer_segment"), "customer_id", "left")
+        customers = stg.groupBy("customer_id").agg(customer_segment(F.max(age)).alias("customer_segment"))
+    joined = partial.join(customers.select("customer_id", "customer_segment"), "customer_id", "left")
     out = joined.groupBy("order_date", "order_hour", "customer_segment").agg(
         F.sum("_n").alias("fraud_count"),
         round_ratio(F.sum("_sum"), F.sum("_cnt")).alias("avg_fraud_amount"),

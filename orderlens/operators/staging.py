@@ -12,7 +12,7 @@ from orderlens.schemas import STG_ORDERS
 
 def staging_columns() -> list:
     """The 13 staging columns as expressions over the staging source names."""
-    return [F.col(name).cast(typ).alias(name) for name, typ in STG_ORDERS] + [
+    return [F.col(name).try_cast(typ).alias(name) for name, typ in STG_ORDERS] + [
         F.to_date(F.col("order_timestamp")).alias("order_date"),
         F.hour(F.col("order_timestamp")).cast("int").alias("order_hour"),
         pg_day_of_week("order_timestamp").alias("order_day_of_week"),
@@ -22,16 +22,34 @@ def staging_columns() -> list:
 STAGING_NAMES = [name for name, _ in STG_ORDERS] + ["order_date", "order_hour", "order_day_of_week"]
 
 
+def fits():
+    """Whether every source value fits its staging type (a NULL does)."""
+    ok = F.lit(True)
+    for name, typ in STG_ORDERS:
+        if typ.startswith(("decimal", "int")):
+            ok = ok & (F.col(name).isNull() | F.col(name).try_cast(typ).isNotNull())
+    return ok
+
+
+def staging_rejects(raw: DataFrame) -> DataFrame:
+    """Rows with a value that does not fit its staging type (P13), as they are in raw.orders, with its names."""
+    src = to_staging_source(raw)
+    lost = [F.when(F.col(name).isNotNull() & F.col(name).try_cast(typ).isNull(), F.lit(f"{name}_unfit"))
+            for name, typ in STG_ORDERS if typ.startswith(("decimal", "int"))]
+    return src.select("*", F.concat_ws(",", *lost).alias("violations")).filter(F.col("violations") != "")
+
+
 def stg_orders(raw: DataFrame) -> DataFrame:
     """Raw.orders -> staging orders.
 
-    Drops rows without order_timestamp (pushed to the scan), casts the ten
-    source columns, derives order_date / order_hour / order_day_of_week
+    Drops rows without order_timestamp (pushed to the scan) and rows with a
+    value that does not fit (see `staging_rejects`), casts the ten source
+    columns, derives order_date / order_hour / order_day_of_week
     (0 = Sunday) and removes exact duplicate rows. The de-duplication is a
     hash aggregate with map-side combine, so a hot group of identical rows
     collapses before the shuffle.
     """
-    src = to_staging_source(raw).filter(F.col("order_timestamp").isNotNull())
+    src = to_staging_source(raw).filter(F.col("order_timestamp").isNotNull() & fits())
     return src.select(*staging_columns()).distinct()
 
 

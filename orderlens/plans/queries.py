@@ -7,6 +7,7 @@ them, and returns the operator's result at the output edge.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,17 +15,18 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import conform, load, marts, profile, quality, rules, staging
 from orderlens.operators.decode import decode_orders
-from orderlens.operators.validate import validate_orders
+from orderlens.operators.validate import rejected_orders, validate_orders
 from orderlens.plans import order_flow
 from orderlens.plans.edge import edge
+from orderlens.plans.load_job import file_totals, load_lake
 from orderlens.schemas import ORDER_EVENT
 from orderlens.session import scratch_path
 from orderlens.sinks import writers
 from orderlens.sources import fixtures
 from orderlens.sources.files import scan_range, scan_valid
-from orderlens.sources.topic import stage_topic
+from orderlens.sources.topic import file_topic_stream, stage_topic, stage_topic_in_order
 from orderlens.streaming import pipeline
-from orderlens.streaming.windows import window_revenue
+from orderlens.streaming.windows import latest_per_window, window_revenue
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -94,6 +96,7 @@ F2_RULE = fixtures.F2_RULE
 # freshness reference time (30 minutes after the fixture's load time).
 RANGE_START = _dt.datetime(2024, 1, 10)
 RANGE_END = _dt.datetime(2024, 1, 20)
+LATE_CUT = "2024-01-20 00:00:00"
 FRESHNESS_AS_OF = _dt.datetime(1999, 1, 1, 0, 30)
 
 
@@ -255,7 +258,7 @@ def q_test_fraud_accuracy(spark, sf_dir):
 
 @register("test_freshness")
 def q_test_freshness(spark, sf_dir):
-    return quality.test_freshness(_stg(spark, sf_dir), FRESHNESS_AS_OF)
+    return quality.test_freshness(staging.stg_orders(fixtures.mixed_raw_orders(spark, sf_dir)), FRESHNESS_AS_OF)
 
 
 @register("test_accepted_values")
@@ -311,8 +314,8 @@ def q_latest_orders(spark, sf_dir):
 # --- streaming (file-staged topic, run to the end of the input) ----------------------
 
 def _staged_topic(spark, sf_dir):
-    """F1 topic records staged as files: the offline stand-in of the input topic."""
-    return stage_topic(_records(spark, sf_dir), scratch_path(spark, "orders_topic"))
+    """F1 topic records staged in time order: the offline stand-in of the input topic, one file per micro-batch."""
+    return stage_topic_in_order(_records(spark, sf_dir), scratch_path(spark, "orders_topic"))
 
 
 @register("stream_valid_parquet")
@@ -320,15 +323,68 @@ def q_stream_valid_parquet(spark, sf_dir):
     """K1: the streaming lake sink, read back after the stream has drained."""
     source = _staged_topic(spark, sf_dir)
     return pipeline.run_valid_lake(spark, source, scratch_path(spark, "stream_lake"),
-                                   scratch_path(spark, "ckpt_valid"), F1_RULE)
+                                   scratch_path(spark, "ckpt_valid"), F1_RULE, max_files_per_trigger=1)
 
 
 @register("stream_window_revenue")
 def q_stream_window_revenue(spark, sf_dir):
-    """A1 on the stream (update mode); final state equals the batch twin."""
+    """A1 on the stream (update mode, several micro-batches); final state equals the batch twin."""
     source = _staged_topic(spark, sf_dir)
     return pipeline.run_window_revenue(spark, source, scratch_path(spark, "window_log"),
-                                       scratch_path(spark, "ckpt_windows"))
+                                       scratch_path(spark, "ckpt_windows"), max_files_per_trigger=1)
+
+
+@register("stream_late_data")
+def q_stream_late_data(spark, sf_dir):
+    """Every tenth event arrives after all others; those behind the watermark are dropped.
+
+    A micro-batch drops what lies behind the watermark that its predecessor
+    began with, so the events before LATE_CUT set the one that counts here.
+    """
+    path = scratch_path(spark, "late_topic")
+    records = _records(spark, sf_dir)
+    early = F.col("timestamp") < F.to_timestamp(F.lit(LATE_CUT))
+    for part in (early & F.expr("offset % 10 <> 0"), ~early & F.expr("offset % 10 <> 0"), F.expr("offset % 10 = 0")):
+        stage_topic_in_order(records.filter(part), path, slices=1)
+    return pipeline.run_window_revenue(spark, path, scratch_path(spark, "late_log"),
+                                       scratch_path(spark, "ckpt_late"), max_files_per_trigger=1)
+
+
+@register("stream_fanout")
+def q_stream_fanout(spark, sf_dir):
+    """The three queries over one staged topic; rows of the lake and the alerts, orders and windows of the rollup."""
+    root = scratch_path(spark, "fanout")
+    source = file_topic_stream(spark, _staged_topic(spark, sf_dir), max_files_per_trigger=2)
+    paths = pipeline.PipelinePaths(f"{root}/lake", f"{root}/alerts", f"{root}/log", f"{root}/checkpoints")
+    for q in pipeline.start_pipeline(source, paths, F1_RULE, available_now=True).values():
+        q.awaitTermination()
+    windows = latest_per_window(spark.read.parquet(paths.window_log))
+    return (spark.read.parquet(paths.lake).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("lake").alias("output"), "rows")
+            .unionByName(spark.read.text(paths.alerts).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("alerts").alias("output"), "rows"))
+            .unionByName(windows.agg(F.sum("order_count").alias("rows")).select(F.lit("windowed orders").alias("output"), "rows"))
+            .unionByName(windows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("windows").alias("output"), "rows")))
+
+
+@register("load_batch_and_stream")
+def q_load_batch_and_stream(spark, sf_dir):
+    """K5: even events by batch from a lake, odd ones by stream, both delivered twice, into one day-partitioned table."""
+    root = scratch_path(spark, "load_both")
+    records = _records(spark, sf_dir)
+    writers.write_partitioned(order_flow.lake_rows(records.filter("offset % 2 = 0"), F1_RULE), f"{root}/lake")
+    stage_topic(records.filter("offset % 2 = 1"), f"{root}/topic")
+    for n in (1, 2):
+        load_lake(spark, f"{root}/lake", f"{root}/raw")
+        pipeline.start_warehouse_load(file_topic_stream(spark, f"{root}/topic"), f"{root}/raw", f"{root}/checkpoint-{n}",
+                                      F1_RULE, rejects=f"{root}/rejects", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{root}/raw").drop("loaded_at", "source_file")
+
+
+@register("load_files")
+def q_load_files(spark, sf_dir):
+    """Rows of the files that loaded whole, and how many files failed."""
+    root = scratch_path(spark, "load_files")
+    writers.write_partitioned(order_flow.lake_rows(_records(spark, sf_dir), F1_RULE), f"{root}/lake")
+    return file_totals(load_lake(spark, f"{root}/lake", f"{root}/raw").files).select("rows", "failed_files")
 
 
 # --- model-level data tests (declared on the staging models) ---------------------
@@ -341,7 +397,11 @@ def q_test_unique_customers(spark, sf_dir):
 @register("test_not_null_models")
 def q_test_not_null_models(spark, sf_dir):
     """NULLs in the declared model columns: order_id, total_amount, order_date; customer_id, lifetime_value."""
-    stg = _stg(spark, sf_dir)
+    return _not_null_models(spark, _stg(spark, sf_dir))
+
+
+def _not_null_models(spark, stg):
+    stg = reread(stg, "stg_orders")  # one staging pass for both models
     orders = quality.test_not_null(stg, ["order_id", "total_amount", "order_date"]).select(
         F.lit("stg_orders").alias("model"), "column_name", F.col("order_id").alias("key"))
     customers = quality.test_not_null(staging.stg_customers(stg), ["customer_id", "lifetime_value"]).select(
@@ -349,6 +409,154 @@ def q_test_not_null_models(spark, sf_dir):
     return orders.unionByName(customers)
 
 
+def reread(df, name):
+    """The frame written to the work folder and read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @register("test_accepted_range_lifetime_value")
 def q_test_accepted_range_lifetime_value(spark, sf_dir):
     return quality.test_accepted_range(staging.stg_customers(_stg(spark, sf_dir)), "lifetime_value", 0, None)
+
+
+# --- inputs with bad rows: every check has rows that pass and rows that fail -------
+
+def _mixed(spark, sf_dir):
+    return fixtures.mixed_topic(spark, sf_dir)
+
+
+def _mixed_raw(spark, sf_dir):
+    return fixtures.mixed_raw_orders(spark, sf_dir)
+
+
+def _mixed_stg(spark, sf_dir):
+    return staging.stg_orders(_mixed_raw(spark, sf_dir))
+
+
+@register("decode_mixed")
+def q_decode_mixed(spark, sf_dir):
+    """Broken payloads give NULLs; NaN amounts are shown as NULL."""
+    return decode_orders(_mixed(spark, sf_dir)).withColumn("amount", F.when(~F.isnan("amount"), F.col("amount")))
+
+
+@register("validate_mixed")
+def q_validate_mixed(spark, sf_dir):
+    return validate_orders(decode_orders(_mixed(spark, sf_dir)))
+
+
+@register("rejected_orders")
+def q_rejected_orders(spark, sf_dir):
+    return rejected_orders(decode_orders(_mixed(spark, sf_dir))).select(
+        "order_id", "customer_id", "event_time", "kafka_timestamp", "reject_reason")
+
+
+@register("window_revenue_mixed")
+def q_window_revenue_mixed(spark, sf_dir):
+    """A1 over all decoded orders with an event time: what is not finite counts as an order and not in sum and mean."""
+    return window_revenue(decode_orders(_mixed(spark, sf_dir)).filter("event_time IS NOT NULL"))
+
+
+@register("warehouse_gate_mixed")
+def q_warehouse_gate_mixed(spark, sf_dir):
+    """An amount that does not fit is rejected with a reason, never stored as NULL."""
+    rows = conform.to_warehouse(order_flow.flagged_orders(_mixed(spark, sf_dir), F1_RULE), unfit=True)
+    return load.constraint_gate(rows, not_null=load.RAW_NOT_NULL).select(
+        "order_id", "category", "amount", "order_timestamp", "violations", "passed")
+
+
+@register("accepted_values_mixed")
+def q_accepted_values_mixed(spark, sf_dir):
+    return quality.test_accepted_values(validate_orders(decode_orders(_mixed(spark, sf_dir))), "product_category")
+
+
+@register("category_range_mixed")
+def q_category_range_mixed(spark, sf_dir):
+    return quality.test_category_range(validate_orders(decode_orders(_mixed(spark, sf_dir))))
+
+
+@register("event_structure_mixed")
+def q_event_structure_mixed(spark, sf_dir):
+    """Q16 over the decoded events; NaN amounts are not positive to it by rule, so they are left out."""
+    events = decode_orders(_mixed(spark, sf_dir)).filter("NOT coalesce(isnan(amount), false)")
+    return quality.check_event_structure(events).select("order_id", "customer_id", "amount", "customer_tenure_days", "violation")
+
+
+@register("stg_orders_mixed")
+def q_stg_orders_mixed(spark, sf_dir):
+    return _mixed_stg(spark, sf_dir)
+
+
+@register("staging_rejects")
+def q_staging_rejects(spark, sf_dir):
+    return staging.staging_rejects(_mixed_raw(spark, sf_dir)).select("order_id", "total_amount", "violations")
+
+
+@register("constraint_gate_mixed")
+def q_constraint_gate_mixed(spark, sf_dir):
+    gated = load.constraint_gate(_mixed_raw(spark, sf_dir), checks=load.CHECKS + load.WIDTHS)
+    return gated.select("order_id", "customer_id", "product_id", "order_timestamp", "violations", "passed")
+
+
+@register("insert_if_absent_mixed")
+def q_insert_if_absent_mixed(spark, sf_dir):
+    """K5 over the accepted rows, delivered twice; repeated rows are stored once."""
+    accepted, _ = load.split_gate(_mixed_raw(spark, sf_dir))
+    target = scratch_path(spark, "raw_mixed_target")
+    for _ in range(2):
+        load.insert_if_absent(spark, accepted, target, partition_by=None)
+    return spark.read.parquet(target).select("order_id")
+
+
+for _name, _check in {
+    "check_nulls_mixed": quality.check_nulls,
+    "check_ranges_mixed": quality.check_ranges,
+    "check_duplicates_mixed": quality.check_duplicates,
+    "check_fraud_logic_mixed": lambda raw: quality.check_fraud_logic(raw, F2_RULE),
+    "test_not_null_mixed": lambda raw: quality.test_not_null(raw, ["order_id", "customer_id", "amount", "order_timestamp"]).select(
+        "column_name", "product_id", "category", "year"),
+}.items():
+    register(_name)(lambda spark, sf_dir, check=_check: check(_mixed_raw(spark, sf_dir)))
+
+for _name, _check in {
+    "test_fraud_accuracy_mixed": lambda stg: quality.test_fraud_accuracy(stg, F2_RULE),
+    "check_volume_short": lambda stg: quality.check_volume(stg, 1_000_000_000),
+    "test_accepted_range_lifetime_value_mixed": lambda stg: quality.test_accepted_range(
+        staging.stg_customers(stg), "lifetime_value", 500_000, None),
+}.items():
+    register(_name)(lambda spark, sf_dir, check=_check: check(_mixed_stg(spark, sf_dir)))
+
+
+@register("not_null_models_mixed")
+def q_not_null_models_mixed(spark, sf_dir):
+    return _not_null_models(spark, _mixed_stg(spark, sf_dir))
+
+
+@register("quality_summary_mixed")
+def q_quality_summary_mixed(spark, sf_dir):
+    return quality.warehouse_summary(_mixed_raw(spark, sf_dir), F2_RULE)
+
+
+@register("quality_summary_missing_column")
+def q_quality_summary_missing_column(spark, sf_dir):
+    """Q17 with a column missing: its check fails with the error, the others go on."""
+    return quality.warehouse_summary(_raw(spark, sf_dir).drop("year"), F2_RULE)
+
+
+@register("hourly_rollup")
+def q_hourly_rollup(spark, sf_dir):
+    """K9: the rollup table, filled from the mixed rows and refreshed in place from the clean ones."""
+    name = f"hourly_rollup_{uuid.uuid4().hex[:12]}"
+    writers.refresh_rollup(spark, marts.hourly_metrics(_mixed_raw(spark, sf_dir)), name)
+    return spark.table(writers.refresh_rollup(spark, marts.hourly_metrics(_raw(spark, sf_dir)), name))
+
+
+@register("stored_failures")
+def q_stored_failures(spark, sf_dir):
+    """Failing rows of a check kept in a table of the results schema, one run after the other."""
+    stg = _mixed_stg(spark, sf_dir)
+    name = f"accepted_range_{uuid.uuid4().hex[:12]}"
+    for _ in range(2):
+        table = writers.store_failures(quality.test_accepted_range(stg, "total_amount", 0, 10000), name)
+    return spark.table(table).select("order_id", "total_amount")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.config import FraudRule
+from orderlens.config import CATEGORIES, FraudRule
 from orderlens.functions import date_parts, fraud_flag, fraud_reason
 from orderlens.schemas import ORDER_EVENT, RAW_ORDERS
 from orderlens.sources.tables import table
@@ -101,3 +101,71 @@ def raw_orders(spark: SparkSession, sf_dir: str, rule: FraudRule = F2_RULE,
         F.lit(None).cast("string").alias("source_file"),
     )
     return out.select([F.col(f.name).cast(f.dataType) for f in RAW_ORDERS.fields])
+
+
+# --- inputs with bad rows -----------------------------------------------------
+# Rules that break a fixed share of the rows, by the row's key; the SQL twins
+# apply the same ones. Modulus and cases are fixed values of the fixtures.
+
+MIXED_EVENTS = 50
+MIXED_RAW = 60
+
+
+def mixed_topic(spark: SparkSession, sf_dir: str, topic: str = "orders.raw") -> DataFrame:
+    """F1 as topic records, some of them bad (by event_id modulo MIXED_EVENTS).
+
+    1 broken JSON, 2 bad timestamp, 3 negative amount, 4 negative tenure, 5 no
+    customer, 6 no order id, 7 no amount, 8-17 a known category, 21 amount 0,
+    22 no tenure, 23 NaN, 24 Infinity, 25 an amount of 1e11.
+    """
+    m = F.col("event_id") % MIXED_EVENTS
+    changed = {
+        "order_id": {6: F.lit(None)},
+        "customer_id": {5: F.lit(None)},
+        "amount": {3: -F.col("value"), 7: F.lit(None), 21: F.lit(0.0), 23: F.lit(float("nan")),
+                   24: F.lit(float("inf")), 25: F.lit(1e11)},
+        "customer_tenure_days": {4: F.lit(-1), 22: F.lit(None)},
+        "timestamp": {2: F.lit("not a time")},
+        "product_category": {8 + i: F.lit(CATEGORIES[i % len(CATEGORIES)]) for i in range(10)},
+    }
+    fields = []
+    for c, f in zip(_event_columns(), ORDER_EVENT.fields):
+        col = c.cast(f.dataType)
+        for k, v in changed.get(f.name, {}).items():
+            col = F.when(m == k, v.cast(f.dataType)).otherwise(col)
+        fields.append(col.alias(f.name))
+    value = F.when(m == 1, F.lit('{"order_id": broken')).otherwise(F.to_json(F.struct(*fields)))
+    cust = F.concat(F.lit("cust-"), F.col("user_id").cast("string"))
+    return table(spark, sf_dir, "events").select(
+        cust.cast("binary").alias("key"), value.cast("binary").alias("value"), F.lit(topic).alias("topic"),
+        F.pmod(F.xxhash64(cust), F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"))
+
+
+def mixed_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 with bad rows (by 7 * order key + line, modulo MIXED_RAW).
+
+    1 no order id, 2 no customer, 3 no amount, 4 no time, 5 negative amount,
+    6 quantity 0, 7 wrong fraud flag, 8 loaded a day earlier, 9 no product,
+    10 negative age, 11 an amount too wide for staging, 12 negative price,
+    13 a category over its width; the rows of 20 come twice.
+    """
+    raw = raw_orders(spark, sf_dir)
+    parts = F.split("order_id", "-")
+    keyed = raw.withColumn("_k", (parts[0].cast("long") * 7 + parts[1].cast("long")) % MIXED_RAW)
+    changed = {
+        "order_id": {1: F.lit(None)}, "customer_id": {2: F.lit(None)}, "product_id": {9: F.lit(None)},
+        "amount": {3: F.lit(None), 5: -F.col("amount"), 11: F.col("amount") + F.lit(2_000_000_000)},
+        "order_timestamp": {4: F.lit(None)}, "quantity": {6: F.lit(0)}, "is_fraud": {7: ~F.col("is_fraud")},
+        "loaded_at": {8: F.to_timestamp(F.lit("1998-12-30 00:00:00"))}, "customer_age_days": {10: F.lit(-1)},
+        "price": {12: -F.col("price")}, "category": {13: F.repeat(F.lit("x"), F.lit(101))},
+    }
+    columns = []
+    for f in RAW_ORDERS.fields:
+        col = F.col(f.name)
+        for k, v in changed.get(f.name, {}).items():
+            col = F.when(F.col("_k") == k, v.cast(f.dataType)).otherwise(col)
+        columns.append(col.alias(f.name))
+    twice = F.explode(F.when(F.col("_k") == 20, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return keyed.select("*", twice.alias("_copy")).select(*columns)

@@ -52,6 +52,25 @@ def stage_topic(records: DataFrame, path: str, files: int | None = None) -> str:
     return path
 
 
+def stage_topic_in_order(records: DataFrame, path: str, slices: int = 6) -> str:
+    """Stage topic records in event-time order: one file per time slice, written one after the other.
+
+    The file source takes files by their time, so with `maxFilesPerTrigger=1`
+    each slice is a micro-batch and rows arrive as a topic would deliver them.
+    """
+    cuts = records.select(F.percentile_approx(F.unix_micros("timestamp"), [i / slices for i in range(1, slices)], 10_000)).first()[0] or []
+    bounds = [None, *sorted(set(cuts)), None]
+    at = F.unix_micros("timestamp")
+    for lo, hi in zip(bounds, bounds[1:]):
+        keep = F.lit(True)
+        if lo is not None:
+            keep = keep & (at >= lo)
+        if hi is not None:
+            keep = keep & (at < hi)
+        records.filter(keep).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def file_topic_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream topic records from staged files (schema declared, never inferred)."""
     reader = spark.readStream.schema(TOPIC_RECORD)

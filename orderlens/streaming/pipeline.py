@@ -58,21 +58,33 @@ def start_pipeline(records: DataFrame, paths: PipelinePaths, rule: FraudRule = D
 
 
 def run_valid_lake(spark: SparkSession, source: str, lake: str, checkpoint: str,
-                   rule: FraudRule = DEFAULT_RULE, max_files_per_trigger: int | None = None) -> DataFrame:
-    """K1 alone, run to the end of the staged input; returns the lake as written."""
+                   rule: FraudRule = DEFAULT_RULE, max_files_per_trigger: int | None = None,
+                   progress: list | None = None) -> DataFrame:
+    """K1 alone, run to the end of the staged input; returns the lake as written.
+
+    `progress` receives the progress reports of the micro-batches.
+    """
     stream = file_topic_stream(spark, source, max_files_per_trigger)
     q = writers.valid_parquet_sink(lake_rows(stream, rule), lake, checkpoint, available_now=True)
     q.awaitTermination()
+    if progress is not None:
+        progress += q.recentProgress
     return spark.read.parquet(lake)
 
 
 def run_window_revenue(spark: SparkSession, source: str, log: str, checkpoint: str,
-                       spec: WindowSpec = DEFAULT_WINDOW, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A1 on a stream, run to the end of the staged input; returns the final window state."""
+                       spec: WindowSpec = DEFAULT_WINDOW, max_files_per_trigger: int | None = None,
+                       progress: list | None = None) -> DataFrame:
+    """A1 on a stream, run to the end of the staged input; returns the final window state.
+
+    `progress` receives the progress reports of the micro-batches.
+    """
     stream = file_topic_stream(spark, source, max_files_per_trigger)
     q = writers.window_sink(window_revenue(clean_orders(stream), spec), checkpoint, spec,
                             foreach_batch=writers.update_log_writer(log), available_now=True)
     q.awaitTermination()
+    if progress is not None:
+        progress += q.recentProgress
     return latest_per_window(spark.read.parquet(log))
 
 

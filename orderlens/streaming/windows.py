@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULT_WINDOW, WindowSpec
-from orderlens.functions import exact_money_sum, to_double
+from orderlens.functions import exact_money, exact_money_sum, to_double
 
 
 def window_revenue(clean: DataFrame, spec: WindowSpec = DEFAULT_WINDOW,
@@ -24,7 +24,7 @@ def window_revenue(clean: DataFrame, spec: WindowSpec = DEFAULT_WINDOW,
     agg = src.groupBy(F.window(F.col(ts), spec.window).alias("window"), F.col(category)).agg(
         exact_money_sum("amount").alias("_sum"),
         F.count(F.lit(1)).alias("order_count"),
-        F.count("amount").alias("_n"),
+        F.count(exact_money("amount")).alias("_n"),
     )
     return agg.select(
         F.col("window.start").alias("window_start"),

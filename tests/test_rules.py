@@ -107,10 +107,14 @@ def test_decode_keeps_microseconds_and_broker_time(spark):
     assert row.kafka_timestamp is not None
 
 
-def test_nan_amount_passes_validation_as_in_the_stream_job(spark):
-    """from_json accepts a bare NaN and NaN > 0 is true in Spark: kept, not fraud-flagged by NULL rules."""
-    recs = _records(spark, ['{"order_id":"n","customer_id":"c","amount":NaN,"customer_tenure_days":5,'
-                            '"timestamp":"2024-01-01T00:00:00"}'])
-    kept = validate_orders(decode_orders(recs)).collect()
-    assert len(kept) == 1 and kept[0].amount != kept[0].amount  # NaN
-    assert flag_fraud(validate_orders(decode_orders(recs)), RULE).first().is_fraud is True
+def test_amounts_that_are_not_finite_are_rejected_with_a_reason(spark):
+    """from_json accepts a bare NaN or Infinity and both are > 0; no sum could hold them, so they are no valid orders."""
+    from orderlens.operators.validate import rejected_orders
+
+    event = '{"order_id":"%s","customer_id":"c","amount":%s,"customer_tenure_days":5,"timestamp":"2024-01-01T00:00:00"}'
+    recs = _records(spark, [event % x for x in (("n", "NaN"), ("i", "Infinity"), ("z", "0"), ("ok", "1e11"))])
+    decoded = decode_orders(recs)
+    assert [r.order_id for r in validate_orders(decoded).collect()] == ["ok"]
+    assert {r.order_id: r.reject_reason for r in rejected_orders(decoded).collect()} == {
+        "n": "amount_not_finite", "i": "amount_not_finite", "z": "amount_not_positive"}
+    assert flag_fraud(validate_orders(decoded), RULE).first().is_fraud is True
