@@ -38,19 +38,25 @@ def crc_mod(col: str, n: int):
 class ChunkCache(dict):
     """Bytes computed once per distinct chunk of text between white space.
 
-    Holds at most ``limit`` entries (then it starts anew), so a worker's
-    memory is bounded whatever the vocabulary.
+    Holds at most twice ``limit`` entries: a full generation becomes the old
+    one, from which entries still in use come back, so a worker's memory is
+    bounded whatever the vocabulary.
     """
 
     def __init__(self, compute, limit: int = 300_000):
         super().__init__()
         self.compute = compute
         self.limit = limit
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
+        got = self.old.get(chunk)
+        if got is None:
+            got = self.compute(chunk)
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
-        got = self[chunk] = self.compute(chunk)
+        self[chunk] = got
         return got
 
     def join(self, text: str | None) -> bytes:

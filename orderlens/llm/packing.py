@@ -24,12 +24,15 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import json
 import math
+import unicodedata
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter, defaultdict
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
@@ -52,26 +55,66 @@ class TokenIds:
     """Token ids of whole texts, little-endian unsigned 32-bit.
 
     A tokenizer that drops white space encodes each chunk between white space
-    on its own, so each distinct chunk is encoded once per worker.
+    on its own. Where its file says that it lower-cases, cuts chunks by one
+    pattern and maps bytes, a chunk is cut here by that pattern and each
+    distinct piece goes through the tokenizer's model once per worker; a probe
+    text must give equal ids both ways, else every chunk is encoded as it is.
     """
 
+    PROBE = "Ab's, 12\u00b2 \u00dcber-e\u0301t\u00e9... ''S don't \u4e2d\u6587 \u0130x $%& we'LL\u03a3 a_b \U0001f600"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache = ChunkCache(self.encode)
+        self.pattern = self._pattern(path)
+        self.cache = ChunkCache(self._pieces if self.pattern else self.encode)
+        self.ids = ChunkCache(self._model)
+        if self.pattern:
+            # printable bytes stand for themselves, the others follow from 256 on
+            plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+            self.bytes = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in plain)}
+            if self(self.PROBE) != self.encode(self.PROBE):
+                self.pattern = None
+                self.cache = ChunkCache(self.encode)
+
+    @staticmethod
+    def _pattern(path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        kinds = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", ())]
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", ())
+        if kinds != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in steps] != ["Split", "ByteLevel"]:
+            return None
+        split = steps[0]
+        if not (split["invert"] and split["behavior"] == "Removed") or steps[1]["use_regex"]:
+            return None
+        return regex.compile(split["pattern"]["Regex"])
 
     def encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return _little(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _model(self, piece: str) -> bytes:
+        mapped = piece.encode().decode("latin-1").translate(self.bytes)
+        return _little([t.id for t in self.tokenizer.model.tokenize(mapped)])
+
+    def _pieces(self, chunk: str) -> bytes:
+        return b"".join(map(self.ids.__getitem__, self.pattern.findall(chunk)))
 
     def __call__(self, text: str | None) -> bytes:
         if text and any(x in text for x in _SEPARATORS):
             return self.encode(text)
+        if text and self.pattern:
+            # lower() alone knows a final sigma
+            text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
         return self.cache.join(text)
 
 
+def _little(ids) -> bytes:
+    return b"".join(i.to_bytes(4, "little") for i in ids)
+
+
 _TOKENIZERS: dict[str, TokenIds] = {}
 
 
