@@ -24,10 +24,18 @@ class Model:
     name: str
     inputs: tuple
     build: Callable[..., DataFrame]
-    materialized: str  # "view", "table" or "rollup" (refreshed in place)
+    materialized: str  # "view", "table", "rollup" (refreshed in place) or "declared" (a declared table, refilled)
     layer: str
 
 
+#: A customer is of high value above this lifetime value (parameter of the declared customer table).
+HIGH_VALUE = 1_000_000.0
+
+
+def _customer_metrics(stg: DataFrame) -> DataFrame:
+    return marts.customer_metrics_contract(stg, HIGH_VALUE)
+
+
 MODELS = (
     Model("stg_orders", ("raw_orders",), staging.stg_orders, "view", "staging"),
     Model("stg_customers", ("stg_orders",), staging.stg_customers, "view", "staging"),
@@ -35,6 +43,8 @@ MODELS = (
     Model("mart_daily_revenue", ("stg_orders",), marts.daily_revenue, "table", "marts"),
     Model("mart_fraud_analysis", ("stg_orders", "stg_customers"), marts.fraud_analysis, "table", "marts"),
     Model("hourly_metrics", ("raw_orders",), marts.hourly_metrics, "rollup", "analytics"),
+    Model("daily_revenue", ("stg_orders",), marts.daily_revenue_contract, "declared", "analytics"),
+    Model("customer_metrics", ("stg_orders",), _customer_metrics, "declared", "analytics"),
 )
 
 
@@ -70,7 +80,11 @@ def build_models(spark: SparkSession, raw_orders: DataFrame, models=MODELS, writ
             df.write.parquet(path)
             df = spark.read.parquet(path)
         if write_tables:
-            if m.materialized in ("table", "rollup"):
+            if m.materialized == "declared":
+                writers.create_warehouse_tables(spark)
+                writers.load_declared(df, f"{m.layer}.{m.name}")
+                df = spark.table(f"{m.layer}.{m.name}")
+            elif m.materialized in ("table", "rollup"):
                 spark.sql(f"CREATE DATABASE IF NOT EXISTS {m.layer}")
                 if m.materialized == "table":
                     writers.materialize_table(spark, df, f"{m.layer}.{m.name}")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Order event as published on the input topic (JSON value).
+# The order event as published on the input topic (JSON value).
 ORDER_EVENT = T.StructType([
     T.StructField("order_id", T.StringType(), False),
     T.StructField("customer_id", T.StringType(), False),

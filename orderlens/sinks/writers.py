@@ -63,6 +63,25 @@ def topic_writer_options(bootstrap_servers: str, topic: str) -> dict:
     }
 
 
+def publish(orders: DataFrame, topic: str, bootstrap_servers: str | None = None, path: str | None = None,
+            checkpoint: str | None = None, available_now: bool = False, key: str = "customer_id"):
+    """K4: publish orders keyed by customer to a topic, from a batch or a stream.
+
+    Offline (`path` instead of servers) the same records are staged as Parquet
+    files. A stream needs a checkpoint and returns its query.
+    """
+    payload = keyed_payload(orders, key)
+    if not bootstrap_servers:
+        payload = payload.withColumn("topic", F.lit(topic))
+    options = topic_writer_options(bootstrap_servers, topic) if bootstrap_servers else {"path": path}
+    fmt = "kafka" if bootstrap_servers else "parquet"
+    if payload.isStreaming:
+        writer = payload.writeStream.format(fmt).options(**options).option("checkpointLocation", checkpoint)
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
+    payload.write.format(fmt).options(**options).mode("append").save()
+    return None
+
+
 def alert_sink(fraud: DataFrame, checkpoint: str, bootstrap_servers: str | None = None,
                path: str | None = None, spec: TopicSpec = DEFAULT_TOPICS,
                window: WindowSpec = DEFAULT_WINDOW, available_now: bool = False):

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.config import DEFAULT_RULE, DEFAULT_WINDOW, FraudRule, WindowSpec
+from orderlens.config import DEFAULT_RULE, DEFAULT_TOPICS, DEFAULT_WINDOW, FraudRule, TopicSpec, WindowSpec
 from orderlens.operators import conform, load
 from orderlens.plans.order_flow import alert_rows, clean_orders, flagged_orders, lake_rows
 from orderlens.schemas import RAW_ORDERS
@@ -35,7 +35,8 @@ class PipelinePaths:
 
 def start_pipeline(records: DataFrame, paths: PipelinePaths, rule: FraudRule = DEFAULT_RULE,
                    spec: WindowSpec = DEFAULT_WINDOW, available_now: bool = False,
-                   bootstrap_servers: str | None = None, window_to_console: bool = False) -> dict:
+                   bootstrap_servers: str | None = None, window_to_console: bool = False,
+                   topics: TopicSpec = DEFAULT_TOPICS) -> dict:
     """Start the three queries over one streaming lineage; returns them by name.
 
     The window query writes its update log with foreachBatch unless
@@ -44,7 +45,7 @@ def start_pipeline(records: DataFrame, paths: PipelinePaths, rule: FraudRule = D
     lake = writers.valid_parquet_sink(lake_rows(records, rule), paths.lake, f"{paths.checkpoints}/valid_orders",
                                       spec, available_now)
     alerts = writers.alert_sink(alert_rows(records, rule), f"{paths.checkpoints}/fraud_alerts",
-                                bootstrap_servers=bootstrap_servers, path=paths.alerts, window=spec,
+                                bootstrap_servers=bootstrap_servers, path=paths.alerts, spec=topics, window=spec,
                                 available_now=available_now)
     windowed = window_revenue(clean_orders(records), spec)
     if window_to_console:
