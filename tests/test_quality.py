@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from orderlens.config import FraudRule
 from orderlens.operators import quality
 from orderlens.schemas import RAW_ORDERS
+from orderlens.sources import fixtures
+from tests.conftest import SF_SMALL
 from tests.test_load import _raw_row
 
 
@@ -117,3 +119,32 @@ def test_fused_summary_on_violating_rows(spark):
     }
     assert fused == individual
     assert fused["check_duplicates"] == 1 and fused["check_nulls"] == 3 and fused["check_volume"] == 1
+
+
+def test_missing_and_mistyped_columns_fail_their_checks_alone(spark):
+    raw = fixtures.mixed_raw_orders(spark, SF_SMALL)
+    whole = {r.check: r for r in quality.warehouse_summary(raw, fixtures.F2_RULE).collect()}
+    broken = raw.drop("year").withColumn("is_fraud", F.col("is_fraud").cast("string"))
+    for r in quality.warehouse_summary(broken, fixtures.F2_RULE).collect():
+        lost = {"year", "is_fraud"} & quality.READS[r.check]
+        if lost:
+            assert not r.passed and r.n_failed is None and all(c in r.error for c in lost)
+        else:
+            assert (r.passed, r.n_failed, r.error) == (whole[r.check].passed, whole[r.check].n_failed, None)
+
+
+def test_an_error_is_kept_whole(spark):
+    def fails():
+        raise ValueError("x" * 1000)
+
+    row = quality.run_checks(spark, {"bad": fails}).first()
+    assert not row.passed and len(row.error) > 1000
+
+
+def test_failing_rows_agree_with_the_summary(spark):
+    raw = fixtures.mixed_raw_orders(spark, SF_SMALL)
+    summary = {r.check: r.n_failed for r in quality.warehouse_summary(raw, fixtures.F2_RULE).collect()}
+    rows = quality.failing_rows(raw, fixtures.F2_RULE)
+    for name in ("check_duplicates", "check_ranges", "check_fraud_logic"):
+        assert rows[name]().count() == summary[name] > 0
+    assert rows["check_nulls"]().count() > 0
