@@ -28,9 +28,23 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
         spark.conf.set(key, "true")
+    _let_workers_import(spark)
     return spark
 
 
+def _let_workers_import(spark: SparkSession) -> None:
+    """Python workers find this package where the driver found it, whatever their working folder.
+
+    On a cluster whose nodes lack that folder, pass the package with --py-files.
+    """
+    sc = getattr(spark, "_sc", None)
+    if sc is not None:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        known = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
+        if root not in known:
+            sc.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "orderlens") -> SparkSession:
     """A local session for tests and the benchmark (UI off, UTC)."""
     builder = (
