@@ -21,6 +21,7 @@ def _orders(spark, rows):
 
 
 def test_fraud_rule_splits_literal_rows(spark):
+    # Literal rows of the rule's definition.
     rows = [("ord-1", 50.0, 100), ("ord-2", 500.0, 200), ("ord-3", 100.0, 10),
             ("ord-4", 1500.0, 5), ("ord-5", 2000.0, 25), ("ord-6", 1001.0, 29)]
     flagged = flag_fraud(_orders(spark, rows), RULE)
@@ -37,6 +38,7 @@ def test_thresholds_are_strict(spark, amount, tenure):
 
 
 def test_fraud_reason_text(spark):
+    # Fixed value: the reason text.
     flagged = flag_fraud(_orders(spark, [("a", 1500.0, 5), ("b", 5.0, 5)]), RULE)
     got = {r.order_id: r.fraud_reason for r in flagged.collect()}
     assert got["a"] == "High value order (>$1000.0) from new customer (<30 days)"
@@ -73,6 +75,7 @@ def _event(**kw):
 
 
 def test_validation_drops_bad_amounts_and_tenures(spark):
+    # Literal rows of the validity rule's definition.
     recs = _records(spark, [_event(order_id="ord-1", amount=100.0), _event(order_id="ord-2", amount=-50.0),
                             _event(order_id="ord-3", amount=0.0)])
     assert [r.order_id for r in validate_orders(decode_orders(recs)).collect()] == ["ord-1"]
