@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: 32 MB.
 MAX_BITS = 1 << 28
+#: 4 MB: a text brings thousands of hashes, so few false positives each add up.
+MIN_BITS = 1 << 25
 #: Bits per hash while the bitmap is below its most size.
 BITS_EACH = 64
 
@@ -26,7 +28,7 @@ class Sieve:
     def share(hashes: DataFrame, column: str):
         """The broadcast sieve of a column of well-mixed 64-bit hashes."""
         n = hashes.count()
-        bits = 1 << 12
+        bits = MIN_BITS
         while bits < min(MAX_BITS, BITS_EACH * n):
             bits *= 2
         one = F.col(column).bitwiseAND(bits - 1)
