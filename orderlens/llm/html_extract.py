@@ -13,8 +13,12 @@
    is extracted by its own best container.
 
 Left out below a container: menus, sidebars, adverts, notices, forms,
-comments and the like, by tag, role or a word of the class or id; scripts,
-styles and markup; headers but for their headings; footers. Character
+comments and the like, by tag, role or name; scripts, styles, drawings and
+markup; headers but for their headings; footers. A class or id counts when it
+is such a name itself, ends in one (``site-footer``) or is made of one and words
+for a part of a page (``ad-slot``), but not when it tells a state
+(``no-sidebar``), and never on an element that holds more than half of the
+page's text outside of links, unless an article stands beside it. Character
 references are decoded per run of text, white space inside a block becomes
 one space and blocks are joined by one space.
 
@@ -43,7 +47,8 @@ MIN_SHARE = 0.1
 _ATTRS = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+"""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|select|object|math)\b{_ATTRS}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<empty>svg|math|object|iframe)\b{_ATTRS}(?<=/)>"
+    rf"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|select)\b{_ATTRS}>.*?(?:</(?P=raw)\s*>|\Z)"
     rf"|<(?P<end>/?)(?P<tag>[a-z][\w:-]*)(?P<attrs>{_ATTRS}|[^>]*)>"
     r"|<[!?][^>]*>",
     re.S | re.I,
@@ -55,7 +60,10 @@ _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 # Fixed values of the markup language and of common page templates.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset(
+    "a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark object q rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup "
+    "mtext munder munderover semantics".split())
 #: An open element of the key ends where one of the values begins.
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
             "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -67,25 +75,46 @@ SKIPPED_WORDS = frozenset(
     "consent disqus footer form gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice "
     "notices notification overlay pager pagination popup promo promoted promotion recommended related reply replies "
     "respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget widgets".split())
+#: Words beside a skipped one in the name of such a part.
+PART_WORDS = frozenset(
+    "area articles bar block body bottom box button buttons center col column container content feed group holder icon icons inner item items left link "
+    "links list outer panel posts right row section slot stories tab tabs text title top unit wrap wrapper zone".split())
+#: With one of these a name tells what an element has or lacks, not what it is.
+STATE_WORDS = frozenset("and disable disabled enable enabled has have hide hides is no non not off on show shows under when with without".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLE_TAGS = {"article": 1.5, "main": 1.3}
 ARTICLE_WORDS = frozenset("article content entry main post story text body".split())
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "skip", "first", "last", "bonus", "own", "linked")
+    __slots__ = ("tag", "path", "parent", "skip", "first", "last", "bonus", "own", "linked", "hard", "number", "before")
 
-    def __init__(self, tag, path, parent, skip, first, bonus):
+    def __init__(self, tag, path, parent, skip, first, bonus, hard=False, number=None, before=0):
         self.tag, self.path, self.parent, self.skip, self.first, self.bonus = tag, path, parent, skip, first, bonus
         self.last = -1  # end of its runs of text
         self.own = 0  # characters of its blocks and of runs directly in it
         self.linked = 0
+        self.hard = hard  # skipped by more than names
+        self.number = number  # if its own name has it skipped
+        self.before = before  # unlinked characters before it
 
 
 class Page:
     """A page's elements in page order and its runs of text; ``None`` ends a block."""
 
     def __init__(self, html: str):
+        self._parse(html, frozenset())
+        # an article beside it shows that even the longest of them is none
+        held = frozenset(i for i, a, b in self.named if 2 * (b - a) > self.unlinked and not any(y <= a or b <= x for x, y in self.articles))
+        if held:
+            self._parse(html, held)
+
+    def _parse(self, html: str, kept: frozenset[int]) -> None:
+        """``kept``: numbers of elements that aren't skipped by their name."""
+        self.kept = kept
+        self.unlinked = 0  # characters outside of links, but for what is skipped by more than names
+        self.named: list[tuple[int, int, int]] = []  # number, unlinked characters before and up to its end
+        self.articles: list[tuple[int, int]] = []
         self.nodes: list[Node] = []
         self.runs: list[str | None] = []
         root = Node("", "", None, False, 0, 1.0)
@@ -98,7 +127,7 @@ class Page:
             at = m.end()
             tag = m["tag"]
             if tag is None:
-                if m["raw"]:
+                if m["raw"] and m["raw"].lower() != "svg":
                     self.runs.append(None)
                 continue
             tag = tag.lower()
@@ -110,8 +139,7 @@ class Page:
                 self._open(tag, m["attrs"], stack)
         if at < len(html):
             self._text(html[at:], stack)
-        for node in stack:
-            node.last = len(self.runs)
+        self._cut(stack, 0)
 
     def _open(self, tag: str, attrs: str, stack: list[Node]) -> None:
         if tag not in INLINE:
@@ -123,29 +151,33 @@ class Page:
                 if x in CONTAINERS:
                     break
         parent = stack[-1]
-        classes, skip, bonus = "", parent.skip, ARTICLE_TAGS.get(tag, 1.0)
+        classes, hard, number, bonus = "", parent.hard, None, ARTICLE_TAGS.get(tag, 1.0)
         if tag in SKIPPED_TAGS or tag == "header":
-            skip = True
+            hard = True
         if attrs and not attrs.isspace():
             words: set[str] = set()
+            names: list[str] = []
             for a in _ATTR.finditer(attrs):
                 name, value = a[1].lower(), (a[2] or "").strip("\"'").lower()
                 if name == "class":
                     classes = "." + ".".join(sorted({_DIGITS.sub("#", x) for x in value.split()})) if value.split() else ""
                 if name in ("class", "id"):
                     words.update(_SPLIT.split(value))
+                    names += value.split()
                 elif name == "role":
-                    skip = skip or value in SKIPPED_ROLES
+                    hard = hard or value in SKIPPED_ROLES
                 elif name == "hidden" or value == "true":
-                    skip = True
-            if words & SKIPPED_WORDS and tag not in ("html", "body", "article", "main"):
-                skip = True
+                    hard = True
+            if words & SKIPPED_WORDS and tag not in ("html", "body", "article", "main") and any(map(_skipped_name, names)):
+                number = len(self.nodes)
             if words & ARTICLE_WORDS and tag in CONTAINERS:
                 bonus = max(bonus, 1.2)
+        skip = hard or parent.skip or (number is not None and number not in self.kept)
         if tag in HEADINGS and parent.tag == "header" and not _skipped_above_header(parent):
-            skip = False
+            skip = hard = False
+            number = None
         path = f"{parent.path}/{tag}{classes}" if tag not in INLINE else parent.path
-        node = Node(tag, path, parent, skip, len(self.runs), bonus)
+        node = Node(tag, path, parent, skip, len(self.runs), bonus, hard, number, self.unlinked)
         self.nodes.append(node)
         stack.append(node)
 
@@ -161,20 +193,30 @@ class Page:
     def _cut(self, stack: list[Node], k: int) -> None:
         for node in stack[k:]:
             node.last = len(self.runs)
+            if node.number is not None:
+                self.named.append((node.number, node.before, self.unlinked))
+            if node.tag in ARTICLE_TAGS and not node.skip and self.unlinked > node.before:
+                self.articles.append((node.before, self.unlinked))
         del stack[k:]
 
     def _text(self, raw: str, stack: list[Node]) -> None:
         node = stack[-1]
-        if node.skip:
+        if node.hard:
             return
+        skip = node.skip
         text = unescape(raw) if "&" in raw else raw
-        self.runs.append(text)
+        if not skip:
+            self.runs.append(text)
         n = len(text) if not text.isspace() else 0
         if n:
             link = False
             while node.tag in INLINE:
                 link |= node.tag == "a"
                 node = node.parent
+            if not link:
+                self.unlinked += n
+            if skip:
+                return
             # a block's text is credited to the container that holds the block
             while node.tag not in CONTAINERS and node.parent is not None:
                 node = node.parent
@@ -215,6 +257,14 @@ class Page:
         return [x for x in self.nodes if x.path == path and not x.skip and x.tag not in INLINE]
 
 
+def _skipped_name(name: str) -> bool:
+    """Whether a class or id is the name of a part left out."""
+    words = [w for w in _SPLIT.split(name) if w and not w.isdigit()]
+    if not words or not STATE_WORDS.isdisjoint(words):
+        return False
+    return words[-1] in SKIPPED_WORDS or (words[0] in SKIPPED_WORDS and all(w in SKIPPED_WORDS or w in PART_WORDS for w in words))
+
+
 def _skipped_above_header(node: Node) -> bool:
     """Whether the header itself stands outside any article, or in a part left out."""
     up = node.parent
