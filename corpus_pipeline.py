@@ -30,7 +30,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in 10 documents or more go; n_chars follows the text."""
-    out = line_dedup.drop_frequent_lines(docs, min_docs=10, min_chars=1)
+    out = line_dedup.drop_frequent_lines(docs, min_docs=10, min_chars=1, by_id=True)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out

@@ -3,15 +3,16 @@
 DataFrame functions only. Lines are exploded to narrow rows (document key,
 position, 128-bit hash of the normalised line); documents are counted per
 hash with map-side partial counts, so a line that a third of all documents
-hold costs one row per task; the line rows meet the frequent hashes in an
+hold costs one row per task. ``by_id`` counts distinct ids: the rows are first
+made distinct per hash and id, spread by both. The line rows meet the frequent hashes in an
 equi-join whose line side adaptive execution can split; flags go back to
 their documents by position and the text is filtered in place. The text
 itself is shuffled once, in the last join.
 
 Defined cases: a null or empty text is one empty line and comes back as the
-empty string; a key shorter than ``min_chars`` code points never counts; each
-row is one document, so repeated rows count once each, and every one of them
-comes back; null ids are kept; extra columns pass through unchanged; an empty
+empty string; a key shorter than ``min_chars`` code points never counts; with
+``by_id`` all rows of an id are one document and each row with a null id is one
+of its own, without it each row is one document; every row comes back; extra columns pass through unchanged; an empty
 table gives an empty result.
 """
 
@@ -45,11 +46,13 @@ def drop_frequent_lines(
     min_docs: int = 10,
     min_chars: int = 1,
     counts: tuple[str, str] | None = None,
+    by_id: bool = False,
 ) -> DataFrame:
     """The documents without the lines whose key is in at least ``min_docs`` of them.
 
     Returns the input's columns, the text replaced. ``counts`` names two more
     columns: the lines before dropping and the lines dropped (long).
+    ``by_id`` counts the rows of one id as one document.
     """
     taken = [*docs.columns, *(counts or ())]
     doc, lines, flags, key = (free_name(taken, x) for x in ("_doc", "_lines", "_flags", "_key"))
@@ -61,10 +64,12 @@ def drop_frequent_lines(
     each = each.select(doc, "pos", line_key(F.col("line")).alias(key))
     each = each.select(doc, "pos", F.char_length(key).alias("n"), _hash("hash", F.col(key)))
 
-    per_doc = base.select(F.explode(F.array_distinct(F.transform(F.split(text, "\n"), line_key))).alias(key))
+    own = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
+    who = [F.col(id_col).alias("id"), own.alias("own")] if by_id else []
+    per_doc = base.select(*who, F.explode(F.array_distinct(F.transform(F.split(text, "\n"), line_key))).alias(key))
+    held = per_doc.where(F.char_length(key) >= min_chars).select(*[c for c in ("id", "own") if by_id], _hash("hash", F.col(key)))
     frequent = (
-        per_doc.where(F.char_length(key) >= min_chars)
-        .select(_hash("hash", F.col(key)))
+        (held.distinct() if by_id else held)
         .groupBy("hash").agg(F.count(F.lit(1)).alias("docs"))
         .where(F.col("docs") >= min_docs)
         .select("hash", F.lit(True).alias("drop"))

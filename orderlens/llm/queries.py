@@ -53,7 +53,7 @@ FROM marked GROUP BY doc_id
 @register("op4_line_dedup", LINE_DEDUP_SQL)
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = line_dedup.drop_frequent_lines(docs, min_docs=10, min_chars=1, counts=("n_lines", "n_dropped"))
+    out = line_dedup.drop_frequent_lines(docs, min_docs=10, min_chars=1, counts=("n_lines", "n_dropped"), by_id=True)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
