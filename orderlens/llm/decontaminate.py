@@ -12,31 +12,58 @@ Only seeds that may hit leave the scan of the documents: a bitmap of bounded
 size over the benchmark's hashes sifts them, and the join decides. A very large
 benchmark sifts less and joins more.
 
-Words are ``\w+`` of the lower-cased text.
+Items under ``MIN_ITEM`` words, one-word items too, are found by a hash of the
+whole item: a document holds one if all its words follow one another there.
 
-Defined cases: null and empty texts hold no seeds; benchmark items under
-``MIN_ITEM`` words prove nothing and are left out, equal items are one (the
-smallest id); null item ids come back null; documents of any length are read
+Words are ``\w+`` of the lower-cased text; in scripts written without spaces
+(Chinese, Japanese, Thai and the like) each letter is a word.
+
+Defined cases: null and empty texts hold no seeds; benchmark items without a
+word are left out, equal items are one (the smallest id); null item ids come back null; documents of any length are read
 whole; repeated rows are each flagged; empty tables give no hits; extra
 columns pass through ``decontaminated`` unchanged.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import free_name, mix64, odd_constants, word_hashes, written
+from orderlens.llm.common import ChunkCache, _word_bytes, free_name, mix64, odd_constants, written
 from orderlens.llm.sieve import Sieve
 
 #: Fixed masks: weight 6, from contiguous to 12 words wide.
 MASKS = ("111111", "11011011", "1101001011", "110010100101")
 MIN_WORDS = 13
+#: Shorter items are searched whole.
 MIN_ITEM = 8
 IDENTITY = 0.8
 
+#: Thai, Lao, Myanmar, Khmer, Tai, kana and Han letters.
+_UNSPACED = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u3005-\u3007\u3031-\u3035\u303b\u303c\u3040-\u30ff\u31f0-\u31ff"
+             "\u3400-\u4dbf\u4e00-\u9fff\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff")
+_LETTER = re.compile(f"[{_UNSPACED}]")
+_WORD = re.compile(rf"(?=\w)[{_UNSPACED}]|[^\W{_UNSPACED}]+")
+
+
+def _chunk_bytes(chunk: str) -> bytes:
+    if chunk.isascii() or not _LETTER.search(chunk):
+        return _word_bytes(chunk)
+    return b"".join(xxhash.xxh64_intdigest(w).to_bytes(8, "little") for w in _WORD.findall(chunk.lower()))
+
+
+_WORDS = ChunkCache(_chunk_bytes)
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words, in order."""
+    return np.frombuffer(_WORDS.join(text), dtype="<u8")
+
 
 def seeds(words: np.ndarray) -> list[np.ndarray]:
     """By mask, the seed hash at each word where the mask fits."""
@@ -54,6 +81,14 @@ def seeds(words: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def whole_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """The hash of the n words from each word on, for items of n words."""
+    h = np.full(max(0, len(words) - n + 1), len(MASKS) + n, dtype=np.uint64)
+    for i, c in enumerate(odd_constants(n, 400 + n)):
+        h += words[i:i + len(h)] * c
+    return mix64(h)
+
+
 def aligned_overlap(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
     """(start in the item, words, equal words) of the longest tolerant stretch where item word i lies on doc word i + shift."""
     a, b = max(0, -shift), min(len(item), len(doc) - shift)
@@ -80,11 +115,11 @@ def aligned_overlap(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int,
 
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item, words): distinct word sequences of at least MIN_ITEM words."""
+    """(item, words): distinct word sequences."""
     def run(batches):
         for batch in batches:
             found = [word_hashes(t) for t in batch.column(1).to_pylist()]
-            keep = [i for i, x in enumerate(found) if len(x) >= MIN_ITEM]
+            keep = [i for i, x in enumerate(found) if len(x)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(keep, pa.int64())), pa.array([found[i].tobytes() for i in keep], pa.binary())], names=["item", "words"])
 
@@ -98,7 +133,8 @@ def _item_seeds(items: DataFrame) -> DataFrame:
         for batch in batches:
             at, hashes, places = [], [], []
             for i, words in enumerate(batch.column("words").to_pylist()):
-                for h in seeds(np.frombuffer(words, dtype="<u8")):
+                item = np.frombuffer(words, dtype="<u8")
+                for h in seeds(item) if len(item) >= MIN_ITEM else [whole_hashes(item, len(item))]:
                     at += [i] * len(h)
                     hashes.append(h)
                     places += range(len(h))
@@ -129,6 +165,8 @@ def overlaps(
     items = written(_items(benchmark, item_id_col, item_text_col).withColumn("key", F.monotonically_increasing_id()), "benchmark")
     item_seeds = written(_item_seeds(items), "benchmark-seeds")
     shared = Sieve.share(item_seeds, "seed")
+    size = F.octet_length("words") / 8
+    short = [int(r["n"]) for r in items.select(size.cast("int").alias("n")).where(F.col("n") < MIN_ITEM).distinct().collect()]
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def sift(batches):
@@ -138,9 +176,17 @@ def overlaps(
             for i, text in enumerate(batch.column(2).to_pylist()):
                 words = word_hashes(text)
                 hits = []
-                for h in seeds(words):
+                masked, whole = seeds(words), [whole_hashes(words, n) for n in short]
+                if not len(sieve.passes(np.concatenate([*masked, *whole]))):  # most texts: one look instead of one by mask
+                    continue
+                for h in masked:
                     at = sieve.passes(h)
                     hits += zip(h[at].view(np.int64).tolist(), at.tolist(), strict=True)
+                for h in whole:
+                    at = sieve.passes(h)
+                    if len(at):  # all places are alike: the first
+                        at = at[np.unique(h[at], return_index=True)[1]]
+                        hits += zip(h[at].view(np.int64).tolist(), at.tolist(), strict=True)
                 if hits:
                     keep.append(i)
                     words_.append(words.tobytes())
