@@ -6,7 +6,8 @@ packed pieces. ``run`` writes each stage as a Parquet table in the shared work
 folder and reads it again, so a lost executor costs at most one stage.
 
 Nulls and odd rows: documents without text or without a letter are rejected by
-the first stage; rows with a null id are kept by the others and packed; rows
+the first stage; rows with a null id are kept by the others and packed, but
+the join keeps one of each class as with other rows; rows
 that repeat an id and a text stay or go together; extra columns pass through
 up to the last stage; an empty table gives an empty result.
 """
@@ -38,7 +39,7 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of five-word shingle similarity 0.8 stays."""
-    return ngram_join.one_per_class(docs, threshold=0.8)
+    return ngram_join.one_per_class(docs, threshold=0.8, null_ids=True)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,8 +26,8 @@ connected component.
 
 Defined cases: null texts are empty; empty texts (no words) are copies of one
 another; ids may repeat (each row comes back), a null id gets its set's class
-but can't name it, and a set found under null ids alone has links to none and
-a null class_id; ties at the threshold count as links; empty tables give an empty
+but can't name it: sets found under null ids alone are linked and counted like
+others, and a class without any id has a null class_id; ties at the threshold count as links; empty tables give an empty
 result; extra columns are not read.
 """
 
@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import mix64, odd_constants, word_hashes, written
+from orderlens.llm.common import free_name, mix64, odd_constants, word_hashes, written
 from orderlens.llm.components import components
 from orderlens.llm.sieve import Sieve
 
@@ -100,16 +100,21 @@ def matching_depth(threshold: float, target: float = RECALL) -> int:
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, key, labels) per document."""
+    """(id, key, labels, row) per document; row is a hash of id and text, of the text alone without an id."""
     def run(batches):
         for batch in batches:
             found = [shingles(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([set_key(x) for x in found], pa.binary()),
-                 pa.array([labels(x) if len(x) else None for x in found], pa.binary())], names=["id", "key", "labels"])
+                 pa.array([labels(x) if len(x) else None for x in found], pa.binary()), batch.column(2)], names=["id", "key", "labels", "row"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, key binary, labels binary")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _row_hash(id_col, text_col).alias("row")).mapInArrow(
+        run, f"id {kind}, key binary, labels binary, row struct<a:long,b:long>")
+
+
+def _row_hash(id_col: str, text_col: str):
+    return F.struct(F.xxhash64(F.lit(1), id_col, text_col).alias("a"), F.xxhash64(F.lit(2), id_col, text_col).alias("b"))
 
 
 def _stars(classes: DataFrame, depth: int) -> DataFrame:
@@ -210,36 +215,37 @@ def _links(sets: DataFrame, threshold: float) -> DataFrame:
     return sets.mapInArrow(run, "key binary, root binary, n long")
 
 
-def jaccard_classes(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    threshold: float = THRESHOLD,
-    target_recall: float = RECALL,
-) -> DataFrame:
-    """One row per document: its id, set_id (least id with the same shingles), class_id, n_links (classes at the threshold)."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, target_recall: float) -> DataFrame:
+    """(id, row, root, set_id, class_id, n_links) per document; root is the least set key of the class."""
     per_doc = written(_sets(docs, id_col, text_col), "shingle-sets")
-    classes = written(per_doc.groupBy("key").agg(F.min("id").alias("set_id"), F.first("labels").alias("labels")), "shingle-classes")
-    stars = _stars(classes.where("set_id IS NOT NULL"), matching_depth(threshold, target_recall))
+    classes = written(per_doc.groupBy("key").agg(F.min("id").alias("set_id"), F.first("labels").alias("labels"), F.min("row.a").alias("text_of")), "shingle-classes")
+    stars = _stars(classes, matching_depth(threshold, target_recall))
     groups = components(stars, "candidates")
 
     sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     members = written(
-        groups.join(sizes, "root").join(classes.select(F.col("key").alias("node"), "set_id"), "node")
-        .select(F.col("node").alias("key"), F.col("root").alias("group"), "blocks", "set_id",
+        groups.join(sizes, "root").join(classes.select(F.col("key").alias("node"), "text_of"), "node")
+        .select(F.col("node").alias("key"), F.col("root").alias("group"), "blocks", "text_of",
                 F.pmod(F.xxhash64(F.lit(5), "node"), "blocks").cast("int").alias("block")), "members")
 
-    wanted = Sieve.share(members.select(F.xxhash64("set_id").alias("h")), "h")
+    wanted = Sieve.share(members, "text_of")
 
     def again(batches):
+        seen: set[int] = set()
         for batch in batches:
-            rows = batch.take(pa.array(wanted.value.passes(batch.column("h").to_numpy().view(np.uint64))))
+            h = batch.column("h").to_numpy().view(np.uint64)
+            at = []
+            for i in wanted.value.passes(h).tolist():
+                if int(h[i]) not in seen:  # a task sends a repeated row once
+                    seen.add(int(h[i]))
+                    at.append(i)
+            rows = batch.take(pa.array(at, pa.int64()))
             found = [shingles(t) for t in rows.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([set_key(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], names=["key", "elements"])
 
     # only texts of members leave the scan; what the sieve lets pass besides has no partner in the join
-    sets = (docs.select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("text"))
+    sets = (docs.select(_row_hash(id_col, text_col)["a"].alias("h"), F.col(text_col).alias("text"))
             .mapInArrow(again, "key binary, elements binary").join(members.hint("merge"), "key"))
     pairs = sets.select(
         "group", "key", "block", "elements",
@@ -254,18 +260,38 @@ def jaccard_classes(
              .select("key", "set_id", F.coalesce("root", "key").alias("root")))
     ids = named.groupBy("root").agg(F.min("set_id").alias("class_id"))
     of_class = named.join(ids, "root").join(counts, "key", "left").select(
-        "key", "set_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return per_doc.select("id", "key").join(of_class, "key").select(F.col("id").alias(id_col), "set_id", "class_id", "n_links")
+        "key", "root", "set_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return per_doc.select("id", "key", "row").join(of_class, "key").select("id", "row", "root", "set_id", "class_id", "n_links")
+
+
+def jaccard_classes(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+    target_recall: float = RECALL,
+) -> DataFrame:
+    """One row per document: its id, set_id (least id with the same shingles), class_id, n_links (classes at the threshold)."""
+    return _classes(docs, id_col, text_col, threshold, target_recall).select(F.col("id").alias(id_col), "set_id", "class_id", "n_links")
 
 
-def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+                  null_ids: bool = False) -> DataFrame:
     """The documents whose id is their class's id, columns as they were.
 
-    Rows with a null id stay; rows with equal id and text are one document and
-    stay or go together.
+    Rows with equal id and text are one document and stay or go together. Rows
+    with a null id stay, or with ``null_ids`` only one of each class that has
+    no row with an id.
     """
-    classes = jaccard_classes(docs, id_col, text_col, threshold)
+    found = _classes(docs, id_col, text_col, threshold, RECALL)
+    classes = found.select(F.col("id").alias(id_col), "class_id")
     gone = classes.where(F.col(id_col) != F.col("class_id")).select(id_col).distinct()
     kept = classes.where(F.col(id_col) == F.col("class_id")).select(id_col).distinct()
     # an id with texts of several classes goes only if none of them is its own class
-    return docs.join(gone.join(kept, id_col, "left_anti"), id_col, "left_anti").select(*docs.columns)
+    named = docs.join(gone.join(kept, id_col, "left_anti"), id_col, "left_anti").select(*docs.columns)
+    if not null_ids:
+        return named
+    row = free_name(docs.columns, "_row")
+    first = found.where("id IS NULL AND class_id IS NULL").groupBy("root").agg(F.min("row").alias(row)).select(row)
+    nameless = docs.where(F.col(id_col).isNull()).withColumn(row, _row_hash(id_col, text_col)).join(first, row, "left_semi")
+    return named.where(F.col(id_col).isNotNull()).unionByName(nameless.dropDuplicates([row]).select(*docs.columns))
