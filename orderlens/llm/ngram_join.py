@@ -6,11 +6,10 @@ text without words the empty set). Texts with equal sets are one class, joined
 by the set's 128-bit hash; only classes go on.
 
 Forest: each of ``TREES`` tries holds a label of ``DEPTH`` min-hashes per class,
-as bytes, so a trie's nodes are the prefixes of the sorted labels. Matching
-starts at the whole labels and shortens the prefix, one min-hash at a time,
-until a pair at the threshold itself shares a node of some trie with at least
-the target recall, 1 - (1 - t^depth)^trees; more similar pairs are
-found with more. Classes under one node are tied to the node's least class (a
+as bytes. It is banding at a depth fixed in advance: the longest prefix by
+which a pair at the threshold itself shares a node of some trie with at least
+the target recall, 1 - (1 - t^depth)^trees, whatever the data; more similar
+pairs are found with more, and min-hashes below that depth aren't read. Classes under one node are tied to the node's least class (a
 star, not all pairs), and the connected stars are the candidate groups.
 
 Verification is exact and covers all pairs of a group, so a link that the
