@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontaminate, html_extract, language_id, line_dedup, ngram_join, packing, quality, sharding, substring_dedup, topk_search
+from orderlens.llm import (
+    decontaminate, html_extract, language_id, line_dedup, merkle, ngram_join, odd_sketch, packing, prefix_trie, quality, sharding,
+    substring_dedup, topk_search,
+)
 from orderlens.llm.common import crc_mod, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +171,132 @@ SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <=
 def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return topk_search.top_k(docs, docs.where("doc_id % 20 = 0"), k=10)
+
+
+# --- 11: MinHash near-dedup --------------------------------------------------
+
+@register("op11_near_dedup")
+def op11_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+# --- 12: conversation prefix trie --------------------------------------------
+
+# crc32 of a short ASCII text, bit by bit: the engine has no such function.
+def _crc32_sql(text: str) -> str:
+    return f"""xor(list_reduce(list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT), lambda crc, byte:
+      list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, step: xor(x >> 1, 3988292384 * (x & 1))), 4294967295), 4294967295)"""
+
+
+TRIE_SQL = rf"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, {_crc32_sql("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT c.conv_id, t.role, t.text, t.pos FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 5 AND t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.role, t.text, t.pos FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h
+), hashed AS (
+  SELECT conv_id, pos, strlen(text) AS size, md5(strlen(role)::VARCHAR || ':' || role || text) AS id FROM rebuilt
+), paths AS (
+  SELECT c.conv_id, coalesce(list(h.id ORDER BY h.pos) FILTER (WHERE h.id IS NOT NULL), []) AS ids,
+         coalesce(list(h.size ORDER BY h.pos) FILTER (WHERE h.id IS NOT NULL), []) AS sizes
+  FROM convs c LEFT JOIN hashed h ON h.conv_id = c.conv_id GROUP BY c.conv_id
+), members AS (
+  SELECT conv_id, ids, d AS depth, md5(array_to_string(ids[:d], '')) AS node,
+         CASE WHEN d > 0 THEN md5(array_to_string(ids[:d - 1], '')) END AS parent,
+         CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size, len(ids) = d AS ends
+  FROM paths, unnest(generate_series(0, len(ids))) AS g(d)
+), nodes AS (
+  SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size, min(ids) AS ids,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM members GROUP BY node, depth
+), kids AS (
+  SELECT parent AS node, depth - 1 AS depth, count(*) AS kids FROM nodes WHERE depth > 0 GROUP BY ALL
+), below AS (
+  SELECT md5(array_to_string(n.ids[:d], '')) AS node, d AS depth, sum((n.n_convs - 1) * n.size) AS saved, count(*) FILTER (WHERE k.kids IS NULL) AS leaves
+  FROM nodes n LEFT JOIN kids k USING (node, depth), unnest(generate_series(0, n.depth)) AS g(d) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.kids, 0) AS n_children, b.leaves AS n_leaves,
+       b.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b USING (node, depth) LEFT JOIN kids k USING (node, depth) LEFT JOIN nodes p ON p.node = n.parent AND p.depth = n.depth - 1
+"""
+
+
+def rebuilt_conversations(convs: DataFrame) -> DataFrame:
+    """Each (conv_id, turns): the first h turns of conversation c - c % 5, then its own after its first h."""
+    heads = convs.where("conv_id % 5 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 8).alias("head"))
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    own = convs.withColumn("h", h).join(heads, F.expr("conv_id - conv_id % 5") == F.col("base"), "left")
+    return own.select("conv_id", F.concat(
+        F.expr("slice(coalesce(head, slice(turns, 1, 0)), 1, h)"), F.expr("slice(turns, h + 1, greatest(size(turns) - h, 0))")).alias("turns"))
+
+
+@register("op12_prefix_trie", TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = prefix_trie.sequences(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(rebuilt_conversations(convs))
+
+
+# --- 13: Merkle dataset manifest ---------------------------------------------
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR)::VARCHAR || ':' || ({value})::VARCHAR, '-')"
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LEAF = "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+
+MERKLE_SQL = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, lang, {_LEAF.format(text="text")} AS leaf,
+         CASE WHEN {_crc32_sql("doc_id::VARCHAR")} % 3 = 0 THEN {_LEAF.format(text=_LOWER)} ELSE {_LEAF.format(text="text")} END AS now
+  FROM documents
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n FROM docs
+), low AS (
+  SELECT lang, 0 AS level, idx, n, leaf AS digest FROM ranked
+  UNION ALL
+  SELECT lang, level + 1, idx // 8, (max(n) + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx)) FROM low WHERE n > 1 GROUP BY lang, level, idx // 8
+), tops AS (
+  SELECT lang, level AS height, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, count(*) OVER () AS n FROM low WHERE n = 1
+), high AS (
+  SELECT 0 AS level, g AS idx, n, subroot AS digest FROM tops
+  UNION ALL
+  SELECT level + 1, idx // 8, (max(n) + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx)) FROM high WHERE n > 1 GROUP BY level, idx // 8
+), root AS (
+  SELECT digest AS root FROM high WHERE n = 1
+), side AS (
+  SELECT a.lang, a.level, a.idx, string_agg(b.digest, '' ORDER BY b.idx) FILTER (WHERE b.idx < a.idx) AS l,
+         string_agg(b.digest, '' ORDER BY b.idx) FILTER (WHERE b.idx > a.idx) AS r
+  FROM low a JOIN low b ON a.lang IS NOT DISTINCT FROM b.lang AND a.level = b.level AND a.idx // 8 = b.idx // 8 WHERE a.n > 1 GROUP BY ALL
+), high_side AS (
+  SELECT a.level, a.idx, string_agg(b.digest, '' ORDER BY b.idx) FILTER (WHERE b.idx < a.idx) AS l,
+         string_agg(b.digest, '' ORDER BY b.idx) FILTER (WHERE b.idx > a.idx) AS r
+  FROM high a JOIN high b ON a.level = b.level AND a.idx // 8 = b.idx // 8 WHERE a.n > 1 GROUP BY ALL
+), steps AS (
+  SELECT r.lang, r.idx, s.level, coalesce(s.l, '') AS l, coalesce(s.r, '') AS r
+  FROM ranked r JOIN tops t ON r.lang IS NOT DISTINCT FROM t.lang
+  JOIN side s ON s.lang IS NOT DISTINCT FROM r.lang AND s.level < t.height AND s.idx = r.idx // (8 ** s.level)::BIGINT
+  UNION ALL
+  SELECT r.lang, r.idx, 1000 + s.level, coalesce(s.l, ''), coalesce(s.r, '')
+  FROM ranked r JOIN tops t ON r.lang IS NOT DISTINCT FROM t.lang JOIN high_side s ON s.idx = t.g // (8 ** s.level)::BIGINT
+), paths AS (
+  SELECT lang, idx, sha256(string_agg(l || r, '' ORDER BY level)) AS proof, list({{'l': l, 'r': r, 'd': ''}} ORDER BY level) AS path FROM steps GROUP BY lang, idx
+), folded AS (
+  SELECT r.doc_id, r.leaf, t.subroot, o.root, coalesce(p.proof, sha256('')) AS proof_sha256,
+         list_reduce(coalesce(p.path, []), lambda have, s: {{'l': '', 'r': '', 'd': sha256(s.l || have.d || s.r)}}, {{'l': '', 'r': '', 'd': r.now}}).d AS folded_root
+  FROM ranked r JOIN tops t ON r.lang IS NOT DISTINCT FROM t.lang CROSS JOIN root o
+  LEFT JOIN paths p ON p.lang IS NOT DISTINCT FROM r.lang AND p.idx = r.idx
+)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+
+@register("op13_merkle_manifest", MERKLE_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return merkle.verified_manifest(docs, crc_mod("doc_id", 3) == 0)
