@@ -1,7 +1,7 @@
 """Command line: run the pipeline's jobs on an existing Spark deployment.
 
-    python -m orderlens stream --source DIR --out DIR [--servers HOST:PORT] [--once]
-    python -m orderlens load   --lake DIR (--target DIR | --table NAME [--buckets N] [--analyze]) [--limit-files N] [--rejects DIR]
+    python -m orderlens stream (--topic-log DIR | --source DIR | --servers HOST:PORT) --out DIR [--one-read] [--once]
+    python -m orderlens load   --lake DIR (--target DIR | --table NAME [--buckets N] [--analyze]) [--ledger DIR | --limit-files N] [--rejects DIR]
     python -m orderlens load-stream (--source DIR | --servers HOST:PORT) (--target DIR | --table NAME) --checkpoint DIR [--rejects DIR] [--once]
     python -m orderlens models (--raw DIR | --raw-table NAME) [--write-tables]
     python -m orderlens verify (--raw DIR | --raw-table NAME) [--store-failures]
@@ -36,9 +36,13 @@ def _topics(args) -> TopicSpec:
     return replace(TopicSpec.from_env(), **{k: v for k, v in flags.items() if v is not None})
 
 
-def _records(spark: SparkSession, args):
+def _records(spark: SparkSession, args, checkpoint: str | None = None):
     from orderlens.sources.topic import file_topic_stream, topic_stream_reader
+    from orderlens.sources.topic_log import topic_stream
 
+    if args.topic_log:
+        topics = _topics(args)
+        return topic_stream(spark, args.topic_log, checkpoint, topics.starting_offsets, topics.max_offsets_per_trigger)
     if args.servers:
         return topic_stream_reader(spark, args.servers, _topics(args)).load()
     return file_topic_stream(spark, args.source, args.max_files_per_trigger)
@@ -54,6 +58,10 @@ def cmd_stream(args) -> int:
     from orderlens.streaming.pipeline import PipelinePaths, start_pipeline
 
     spark = _session()
+    if args.one_read:
+        return _stream_one_read(spark, args)
+    if args.topic_log:
+        raise SystemExit("--topic-log needs --one-read: its cap on offsets follows one query's checkpoint")
     records = _records(spark, args)
     paths = PipelinePaths(lake=f"{args.out}/valid", alerts=f"{args.out}/fraud_alerts",
                           window_log=f"{args.out}/window_updates", checkpoints=f"{args.out}/_checkpoints")
@@ -68,10 +76,30 @@ def cmd_stream(args) -> int:
     return 0
 
 
+def _stream_one_read(spark: SparkSession, args) -> int:
+    from orderlens.sources.topic_log import drain
+    from orderlens.streaming.fanout import FanoutPaths, start_fanout
+
+    paths = FanoutPaths.below(args.out)
+    own = bool(args.topic_log)  # admits by itself, so the end of the topic is found by draining it
+    q = start_fanout(_records(spark, args, paths.checkpoint), paths, FraudRule.from_env(), WindowSpec.from_env(),
+                     available_now=args.once and not own, bootstrap_servers=args.servers, topics=_topics(args))
+    if args.once and own:
+        drain(q)
+    else:
+        q.awaitTermination()
+    return 0
+
+
 def cmd_load(args) -> int:
-    from orderlens.plans.load_job import file_totals, load_lake
+    from orderlens.plans.load_job import file_totals, load_lake, load_new_files
 
     spark = _session()
+    if args.ledger:
+        done = load_new_files(spark, args.lake, args.ledger, args.target, args.table, args.buckets)
+        files = file_totals(done.files).first().asDict()
+        print(json.dumps({"inserted": done.inserted, **files}))
+        return 0 if not files["failed_files"] else 1
     res = load_lake(spark, args.lake, args.target, limit_files=args.limit_files, target_table=args.table,
                     buckets=args.buckets, quarantine=args.rejects, analyze=args.analyze)
     totals = res.totals.first().asDict()
@@ -82,12 +110,16 @@ def cmd_load(args) -> int:
 
 
 def cmd_load_stream(args) -> int:
+    from orderlens.sources.topic_log import drain
     from orderlens.streaming.pipeline import start_warehouse_load
 
     spark = _session()
-    q = start_warehouse_load(_records(spark, args), args.target, args.checkpoint, FraudRule.from_env(), rejects=args.rejects,
-                             available_now=args.once, spec=WindowSpec.from_env(), table=args.table, buckets=args.buckets)
-    q.awaitTermination()
+    q = start_warehouse_load(_records(spark, args, args.checkpoint), args.target, args.checkpoint, FraudRule.from_env(), rejects=args.rejects,
+                             available_now=args.once and not args.topic_log, spec=WindowSpec.from_env(), table=args.table, buckets=args.buckets)
+    if args.once and args.topic_log:
+        drain(q)
+    else:
+        q.awaitTermination()
     return 0
 
 
@@ -125,6 +157,7 @@ def main(argv=None) -> int:
     sub = p.add_subparsers(dest="cmd", required=True)
     source = argparse.ArgumentParser(add_help=False)
     source.add_argument("--source", help="folder of staged topic records (offline stand-in)")
+    source.add_argument("--topic-log", help="folder of a topic kept as files, with offsets")
     source.add_argument("--servers", help="topic bootstrap servers (needs the connector package)")
     source.add_argument("--topic", help="input topic")
     source.add_argument("--starting-offsets", help="earliest or latest")
@@ -137,6 +170,7 @@ def main(argv=None) -> int:
     s = sub.add_parser("stream", parents=[source])
     s.add_argument("--alert-topic", help="topic of the fraud alerts")
     s.add_argument("--out", required=True, help="folder for the lake, alerts, window updates, checkpoints")
+    s.add_argument("--one-read", action="store_true", help="one query writes the three outputs from one read")
     s.add_argument("--once", action="store_true", help="process what is available, then stop")
     s.add_argument("--console", action="store_true", help="window updates to the console")
     s.set_defaults(fn=cmd_stream)
@@ -148,6 +182,7 @@ def main(argv=None) -> int:
     ld.add_argument("--buckets", type=int, help="buckets of a new table (default: 64)")
     ld.add_argument("--analyze", action="store_true", help="refresh the table's statistics after the load")
     ld.add_argument("--rejects", help="Parquet folder that keeps the rejected rows")
+    ld.add_argument("--ledger", help="folder that records loaded files: only new ones are read; rejected rows stay below it")
     ld.add_argument("--limit-files", type=int, help="load only the first N files in name order")
     ld.set_defaults(fn=cmd_load)
     ls = sub.add_parser("load-stream", parents=[source])

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators.conform import UNFIT
+from orderlens.sources.store import exists
 
 # The declared constraints of the warehouse order tables
 # (name, predicate that must hold): key widths of VARCHAR(50), then the
@@ -90,18 +90,78 @@ def new_rows(batch: DataFrame, existing_keys: DataFrame, key: str = "order_id",
     return first_arrival(unseen, key, order)
 
 
+#: Bits of a sieve per key of the batch, and the most and least bits of one (32 MB and 128 kB).
+SIEVE_BITS_EACH = 16
+SIEVE_MOST = 1 << 28
+SIEVE_LEAST = 1 << 20
+#: Values of the partition columns that a predicate on a target lists at most.
+MOST_PARTITIONS = 10_000
+
+
+def key_sieve(batch: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """(bucket, bits) rows of a bitmap over the hashes of the batch's keys, and its number of bits.
+
+    Built by Spark from partial bitmaps; its size is bounded whatever the batch.
+    """
+    n = batch.select(key).count()
+    bits = SIEVE_LEAST
+    while bits < min(SIEVE_MOST, n * SIEVE_BITS_EACH):
+        bits *= 2
+    place = _place(key, bits)
+    rows = batch.filter(F.col(key).isNotNull()).select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
+    return rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), bits
+
+
+def _place(key: str, bits: int):
+    return F.xxhash64(key).bitwiseAND(bits - 1)
+
+
+def sieved_keys(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The existing keys that may be in the batch (all that are, few others).
+
+    The bitmap goes to the tasks that scan the keys, so that only what passes
+    is shuffled for the anti join: what is shuffled follows the batch, not the target.
+    """
+    sieve, bits = key_sieve(batch, key)
+    place = _place(key, bits)
+    byte, bit = F.shiftright(F.bitmap_bit_position(place), 3), F.bitmap_bit_position(place).bitwiseAND(7)
+    probe = existing.select(F.col(key), F.bitmap_bucket_number(place).alias("_bucket"), byte.cast("int").alias("_byte"), bit.cast("int").alias("_bit"))
+    hit = probe.join(F.broadcast(sieve), F.col("_bucket") == F.col("bucket"))
+    word = F.conv(F.hex(F.expr("substring(bits, _byte + 1, 1)")), 16, 10).cast("int")
+    return hit.filter(F.getbit(word, F.col("_bit")) == 1).select(key)
+
+
+def batch_partitions(batch: DataFrame, columns) -> object | None:
+    """A predicate that lists the batch's values of the partition columns; None if there are too many to list."""
+    values = batch.select(*columns).distinct().limit(MOST_PARTITIONS + 1).collect()
+    if len(values) > MOST_PARTITIONS:
+        return None
+    out = F.lit(False)
+    if len(columns) == 1:
+        listed = [v[0] for v in values if v[0] is not None]
+        out = F.col(columns[0]).isin(listed) if listed else out
+        return out | F.col(columns[0]).isNull() if any(v[0] is None for v in values) else out
+    for first in sorted({v[0] for v in values}, key=lambda x: (x is not None, x)):
+        rest = [v[1:] for v in values if v[0] == first]
+        inner = F.lit(False)
+        for v in rest:
+            here = F.lit(True)
+            for c, x in zip(columns[1:], v, strict=True):
+                here = here & F.col(c).eqNullSafe(F.lit(x))
+            inner = inner | here
+        out = out | (F.col(columns[0]).eqNullSafe(F.lit(first)) & inner)
+    return out
+
+
 def target_layout(spark: SparkSession, path: str) -> tuple | None:
     """Partition columns of the Parquet table at `path`; None if the path is missing.
 
     Taken from one of the table's own files; any other failure to read the
     target is the caller's error and is raised.
     """
-    try:
-        target = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not exists(spark, path):
+        return None
+    target = spark.read.parquet(path)
     one = target.select(F.col("_metadata.file_path")).first()
     if one is None:
         return ()
@@ -115,14 +175,19 @@ def target_layout(spark: SparkSession, path: str) -> tuple | None:
 
 
 def insert_if_absent(spark: SparkSession, batch: DataFrame, target_path: str,
-                     key: str = "order_id", order=ARRIVAL_ORDER, partition_by=None, drop=("row_index",)) -> int:
+                     key: str = "order_id", order=ARRIVAL_ORDER, partition_by=None, drop=("row_index",),
+                     key_in_one_partition: bool = False) -> int:
     """Append to the Parquet table at `target_path` the rows whose key is absent.
 
     Re-running the same batch inserts nothing. Only the key column of the
-    target is read (column pruning). The table owns its layout: an existing
+    target is read (column pruning), and only keys that pass a sieve of the
+    batch's keys are shuffled. The table owns its layout: an existing
     target keeps its partition columns, and a caller that names others is
     refused; `partition_by` counts for a new target. `drop` names columns
-    that order the arrivals and are not stored. Returns the number of rows
+    that order the arrivals and are not stored. With `key_in_one_partition`
+    the caller states that a key always comes with the same values of the
+    target's partition columns (an order keeps its day); then only the
+    batch's partitions are read. Returns the number of rows
     inserted. Single writer per target is assumed (no unique index to
     arbitrate).
     """
@@ -136,7 +201,7 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, target_path: str,
         target = spark.read.parquet(target_path)
         if key not in target.columns:
             raise ValueError(f"{target_path} has no column {key}")
-        existing = target.select(key)
+        existing = known_keys(target, batch, key, layout if key_in_one_partition else ())
     fresh = new_rows(batch, existing, key, order).drop(*drop)
     observed = Observation("insert_if_absent")
     writer = fresh.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("append")
@@ -146,6 +211,14 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, target_path: str,
     return int(observed.get.get("rows", 0))
 
 
+def known_keys(target: DataFrame, batch: DataFrame, key: str, same_partition=()) -> DataFrame:
+    """The target's keys that matter to the batch: of its partitions, if keys keep theirs, and through the sieve."""
+    if same_partition:
+        here = batch_partitions(batch, list(same_partition))
+        target = target if here is None else target.filter(here)
+    return sieved_keys(target.select(key), batch, key)
+
+
 def insert_if_absent_table(spark: SparkSession, batch: DataFrame, table: str, key: str = "order_id",
                            order=ARRIVAL_ORDER, buckets: int | None = None, partition_by=None,
                            drop=("row_index",)) -> int:

@@ -535,11 +535,49 @@ WHERE NOT (total_amount >= 0 AND total_amount <= 10000)"""
 _ON_TIME = """CAST(substr(order_id, 5) AS BIGINT) % 10 <> 0 OR time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes'
       > (SELECT max(event_time) FROM clean WHERE CAST(substr(order_id, 5) AS BIGINT) % 10 <> 0 AND event_time < TIMESTAMP '2024-01-20 00:00:00') - INTERVAL '10 minutes'"""
 SQL["stream_late_data"] = _WINDOW_SQL.replace("FROM clean GROUP BY", f"FROM clean WHERE {_ON_TIME} GROUP BY")
-SQL["stream_fanout"] = f"""WITH {F1_CTE}
-SELECT 'lake' AS output, count(*) AS rows FROM lake UNION ALL
-SELECT 'alerts', count(*) FROM flagged WHERE is_fraud UNION ALL
-SELECT 'windowed orders', count(*) FROM clean UNION ALL
-SELECT 'windows', count(DISTINCT (time_bucket(INTERVAL '5 minutes', event_time), product_category)) FROM clean"""
+SQL["stream_open_windows"] = f"""WITH {F1_CTE}
+SELECT DISTINCT time_bucket(INTERVAL '5 minutes', event_time) AS window_start,
+       time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' AS window_end, product_category
+FROM clean WHERE time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes'
+                 > (SELECT max(event_time) FROM clean) - INTERVAL '10 minutes'"""
+SQL["stream_fanout"] = f"""SELECT 'window' AS output, product_category AS key, window_start AS at, total_revenue AS amount, order_count AS orders
+FROM ({SQL["stream_late_data"]}) UNION ALL
+(WITH {F1_CTE}
+SELECT 'lake', order_id, event_time, amount, 1 FROM lake UNION ALL
+SELECT 'alert', order_id, date_trunc('millisecond', event_time), amount, 1 FROM flagged WHERE is_fraud UNION ALL
+SELECT 'late', NULL, NULL, NULL, count(*) FROM clean WHERE NOT ({_ON_TIME}))"""
+
+# Offsets of the topic in four partitions: dense, in the order of time and event.
+_TOPIC_CTE = f"""{F1_CTE}, topic AS (
+  SELECT f1.*, CAST(substr(customer_id, 6) AS BIGINT) % 4 AS part, CAST(substr(order_id, 5) AS BIGINT) AS event FROM f1
+)"""
+SQL["topic_peek"] = f"""WITH {_TOPIC_CTE}
+SELECT customer_id AS key, CAST(part AS INTEGER) AS partition,
+       row_number() OVER (PARTITION BY part ORDER BY event_time, event) - 1 AS "offset", order_id, amount
+FROM topic ORDER BY 2, 3 LIMIT 1000"""
+SQL["topic_from_latest"] = f"""WITH {_TOPIC_CTE}
+SELECT order_id, CAST(part AS INTEGER) AS partition, "offset" FROM (
+  SELECT *, row_number() OVER (PARTITION BY part ORDER BY event % 2, event_time, event) - 1 AS "offset" FROM topic
+) WHERE event % 2 = 1"""
+SQL["topic_batch_sizes"] = f"""WITH {_TOPIC_CTE}, n AS (SELECT count(*) AS n FROM topic WHERE event % 2 = 1)
+SELECT 1000 AS offsets, n // 1000 AS batches FROM n WHERE n >= 1000 UNION ALL SELECT n % 1000, 1 FROM n WHERE n % 1000 > 0"""
 SQL["load_batch_and_stream"] = f"""SELECT * EXCLUDE (source_file) FROM ({SQL["conform_columns"]}) c
 WHERE CAST(substr(order_id, 5) AS BIGINT) % 2 = 1 OR NOT is_fraud"""
-SQL["load_files"] = f"WITH {F1_CTE} SELECT count(*) AS rows, CAST(0 AS BIGINT) AS failed_files FROM lake"
+SQL["load_files"] = f"WITH {F1_CTE} SELECT count(*) AS rows, CAST(1 AS BIGINT) AS failed_files FROM lake"
+SQL["load_ledger"] = f"""WITH {F1_CTE}, took AS (
+  SELECT CASE WHEN CAST(substr(order_id, 5) AS BIGINT) % 3 = 0 THEN 1 ELSE 2 END AS load FROM lake
+)
+SELECT load, count(*) AS rows, CAST(load - 1 AS BIGINT) AS failed_files, count(*) AS inserted FROM took GROUP BY load UNION ALL
+SELECT 3, 0, 0, 0 UNION ALL SELECT 0, count(*), 0, 0 FROM took"""
+SQL["insert_if_absent_late_months"] = SQL["insert_if_absent"]
+SQL["hourly_rollup_new_rows"] = SQL["hourly_metrics"]
+SQL["model_views"] = f"""WITH {MIXED_STG_CTE},
+summary AS (
+  SELECT customer_id, {segment('max(customer_age_days)')} AS label, sum(total_amount) AS spent, count(DISTINCT order_id) AS total_orders
+  FROM stg GROUP BY customer_id
+)
+SELECT o.customer_id, label AS customer_segment, CAST(spent AS DOUBLE) AS lifetime_value, total_orders, count_if(o.is_fraud) AS fraud_orders,
+       {pct_2('count_if(o.is_fraud)', 'count(*)')} AS fraud_rate_pct,
+       CASE WHEN {pct_2('count_if(o.is_fraud)', 'count(*)')} > 10 THEN 'high_risk' WHEN {pct_2('count_if(o.is_fraud)', 'count(*)')} >= 5 THEN 'medium_risk'
+            ELSE 'low_risk' END AS risk_category
+FROM stg o LEFT JOIN summary c ON o.customer_id = c.customer_id GROUP BY o.customer_id, label, spent, total_orders"""

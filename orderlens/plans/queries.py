@@ -18,15 +18,19 @@ from orderlens.operators.decode import decode_orders
 from orderlens.operators.validate import rejected_orders, validate_orders
 from orderlens.plans import order_flow
 from orderlens.plans.edge import edge
-from orderlens.plans.load_job import file_totals, load_lake
+from orderlens.plans import sql_models
+from orderlens.plans.load_job import file_totals, load_lake, load_new_files
 from orderlens.schemas import ORDER_EVENT
 from orderlens.session import scratch_path
 from orderlens.sinks import writers
 from orderlens.sources import fixtures
 from orderlens.sources.files import scan_range, scan_valid
-from orderlens.sources.topic import file_topic_stream, stage_topic, stage_topic_in_order
-from orderlens.streaming import pipeline
-from orderlens.streaming.windows import latest_per_window, window_revenue
+from orderlens.sources.store import put_text
+from orderlens.sources.topic import file_topic_stream, peek_messages, stage_topic
+from orderlens.sources.topic_log import append_topic, drain, size, topic_records, topic_stream
+from orderlens.streaming import fanout, pipeline
+from orderlens.streaming.state import large_state, open_windows
+from orderlens.streaming.windows import window_revenue
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -311,32 +315,37 @@ def q_latest_orders(spark, sf_dir):
     return profile.latest_orders(_raw(spark, sf_dir))
 
 
-# --- streaming (file-staged topic, run to the end of the input) ----------------------
+# --- streaming (a topic of files with offsets, run to the end of the input) ----------
 
-def _staged_topic(spark, sf_dir):
-    """F1 topic records staged in time order: the offline stand-in of the input topic, one file per micro-batch."""
-    return stage_topic_in_order(_records(spark, sf_dir), scratch_path(spark, "orders_topic"))
+# Fixed values of the registered queries: micro-batches of a run over the whole
+# topic, the documented cap of offsets per micro-batch, messages that are looked at.
+MICRO_BATCHES = 4
+OFFSETS_PER_TRIGGER = 1000
+PEEKED = 1000
+
+
+def _topic(spark, sf_dir, checkpoint):
+    """F1 topic records, appended in time order, as a stream of MICRO_BATCHES micro-batches."""
+    path = append_topic(_records(spark, sf_dir), scratch_path(spark, "orders_topic"))
+    return topic_stream(spark, path, checkpoint, "earliest", max_offsets=-(-size(path) // MICRO_BATCHES))
 
 
 @register("stream_valid_parquet")
 def q_stream_valid_parquet(spark, sf_dir):
     """K1: the streaming lake sink, read back after the stream has drained."""
-    source = _staged_topic(spark, sf_dir)
-    return pipeline.run_valid_lake(spark, source, scratch_path(spark, "stream_lake"),
-                                   scratch_path(spark, "ckpt_valid"), F1_RULE, max_files_per_trigger=1)
+    checkpoint = scratch_path(spark, "ckpt_valid")
+    return pipeline.run_valid_lake(spark, _topic(spark, sf_dir, checkpoint), scratch_path(spark, "stream_lake"), checkpoint, F1_RULE)
 
 
 @register("stream_window_revenue")
 def q_stream_window_revenue(spark, sf_dir):
     """A1 on the stream (update mode, several micro-batches); final state equals the batch twin."""
-    source = _staged_topic(spark, sf_dir)
-    return pipeline.run_window_revenue(spark, source, scratch_path(spark, "window_log"),
-                                       scratch_path(spark, "ckpt_windows"), max_files_per_trigger=1)
+    checkpoint = scratch_path(spark, "ckpt_windows")
+    return pipeline.run_window_revenue(spark, _topic(spark, sf_dir, checkpoint), scratch_path(spark, "window_log"), checkpoint)
 
 
-@register("stream_late_data")
-def q_stream_late_data(spark, sf_dir):
-    """Every tenth event arrives after all others; those behind the watermark are dropped.
+def _late_topic(spark, sf_dir, checkpoint):
+    """Three appends, each a micro-batch: events before LATE_CUT, those after it, and last every tenth event.
 
     A micro-batch drops what lies behind the watermark that its predecessor
     began with, so the events before LATE_CUT set the one that counts here.
@@ -345,24 +354,89 @@ def q_stream_late_data(spark, sf_dir):
     records = _records(spark, sf_dir)
     early = F.col("timestamp") < F.to_timestamp(F.lit(LATE_CUT))
     for part in (early & F.expr("offset % 10 <> 0"), ~early & F.expr("offset % 10 <> 0"), F.expr("offset % 10 = 0")):
-        stage_topic_in_order(records.filter(part), path, slices=1)
-    return pipeline.run_window_revenue(spark, path, scratch_path(spark, "late_log"),
-                                       scratch_path(spark, "ckpt_late"), max_files_per_trigger=1)
+        append_topic(records.filter(part), path)
+    return topic_stream(spark, path, checkpoint, "earliest", max_appends=1)
+
+
+@register("stream_late_data")
+def q_stream_late_data(spark, sf_dir):
+    """Every tenth event arrives after all others; those behind the watermark are dropped."""
+    checkpoint = scratch_path(spark, "ckpt_late")
+    return pipeline.run_window_revenue(spark, _late_topic(spark, sf_dir, checkpoint), scratch_path(spark, "late_log"), checkpoint)
+
+
+@register("stream_open_windows")
+def q_stream_open_windows(spark, sf_dir):
+    """The windows left in the state store (RocksDB, changelog checkpoints) when late data has passed."""
+    checkpoint = scratch_path(spark, "ckpt_state")
+    with large_state(spark):
+        pipeline.run_window_revenue(spark, _late_topic(spark, sf_dir, checkpoint), scratch_path(spark, "state_log"), checkpoint)
+    return open_windows(spark, checkpoint)
 
 
 @register("stream_fanout")
 def q_stream_fanout(spark, sf_dir):
-    """The three queries over one staged topic; rows of the lake and the alerts, orders and windows of the rollup."""
-    root = scratch_path(spark, "fanout")
-    source = file_topic_stream(spark, _staged_topic(spark, sf_dir), max_files_per_trigger=2)
-    paths = pipeline.PipelinePaths(f"{root}/lake", f"{root}/alerts", f"{root}/log", f"{root}/checkpoints")
-    for q in pipeline.start_pipeline(source, paths, F1_RULE, available_now=True).values():
-        q.awaitTermination()
-    windows = latest_per_window(spark.read.parquet(paths.window_log))
-    return (spark.read.parquet(paths.lake).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("lake").alias("output"), "rows")
-            .unionByName(spark.read.text(paths.alerts).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("alerts").alias("output"), "rows"))
-            .unionByName(windows.agg(F.sum("order_count").alias("rows")).select(F.lit("windowed orders").alias("output"), "rows"))
-            .unionByName(windows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("windows").alias("output"), "rows")))
+    """Lake, alerts and windows from one read of a topic with late data; the rows of all three, and the late ones counted."""
+    paths = fanout.FanoutPaths.below(scratch_path(spark, "fanout"))
+    records = _late_topic(spark, sf_dir, paths.checkpoint)
+    drain(fanout.start_fanout(records, paths, F1_RULE, pipeline.no_pause(), merge_every=3))
+    lake = fanout.lake_orders(spark, paths)
+    alerts = fanout.alerts(spark, paths).select(F.from_json("value", lake.drop(*writers.PARTITION_COLUMNS, "batch_id").schema).alias("a")).select("a.*")
+    order = ("order_id AS key", "event_time AS at", "amount", "1L AS orders")
+    return (lake.selectExpr("'lake' AS output", *order)
+            .unionByName(alerts.selectExpr("'alert' AS output", *order))
+            .unionByName(fanout.window_totals(spark, paths).selectExpr(
+                "'window' AS output", "product_category AS key", "window_start AS at", "total_revenue AS amount", "order_count AS orders"))
+            .unionByName(fanout.marks(spark, paths).groupBy().agg(F.sum("late_rows").alias("orders")).selectExpr(
+                "'late' AS output", "CAST(NULL AS STRING) AS key", "CAST(NULL AS TIMESTAMP) AS at", "CAST(NULL AS DOUBLE) AS amount", "orders")))
+
+
+def _by_user(spark, sf_dir):
+    """F1 topic records in four topic partitions by the customer's number."""
+    customer = F.substring(F.col("key").cast("string"), 6, 20).cast("long")
+    return _records(spark, sf_dir).withColumn("partition", (customer % 4).cast("int"))
+
+
+@register("topic_peek")
+def q_topic_peek(spark, sf_dir):
+    """The first messages in (partition, offset) order by a bounded read that plans no others."""
+    path = append_topic(_by_user(spark, sf_dir), scratch_path(spark, "peek_topic"))
+    seen = peek_messages(topic_records(spark, path, max_messages=PEEKED), PEEKED)
+    return seen.select("key", "partition", "offset", "value.order_id", "value.amount")
+
+
+def _run_from_latest(spark, sf_dir):
+    """(batch, order_id, partition, offset) of a capped stream that starts at the latest offsets.
+
+    Even events are in the topic before the start, odd ones arrive after it.
+    """
+    path, checkpoint, out = (scratch_path(spark, x) for x in ("latest_topic", "ckpt_latest", "latest_rows"))
+    records = _by_user(spark, sf_dir)
+    append_topic(records.filter("offset % 2 = 0"), path)
+
+    def keep(batch, batch_id):
+        batch.select(F.lit(batch_id).cast("long").alias("batch"), F.from_json(F.col("value").cast("string"), ORDER_EVENT)["order_id"].alias("order_id"),
+                     "partition", "offset").write.mode("overwrite").parquet(f"{out}/run={batch_id}")
+
+    stream = topic_stream(spark, path, checkpoint, max_offsets=OFFSETS_PER_TRIGGER)
+    query = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
+    query.processAllAvailable()
+    append_topic(records.filter("offset % 2 = 1"), path)
+    drain(query)
+    return spark.read.parquet(out).drop("run")
+
+
+@register("topic_from_latest")
+def q_topic_from_latest(spark, sf_dir):
+    """What arrives after the start, at the topic's own offsets."""
+    return _run_from_latest(spark, sf_dir).drop("batch")
+
+
+@register("topic_batch_sizes")
+def q_topic_batch_sizes(spark, sf_dir):
+    """Offsets per micro-batch under the cap, full ones and the last."""
+    return _run_from_latest(spark, sf_dir).groupBy("batch").agg(F.count(F.lit(1)).alias("offsets")).groupBy("offsets").agg(
+        F.count(F.lit(1)).alias("batches"))
 
 
 @register("load_batch_and_stream")
@@ -379,14 +453,49 @@ def q_load_batch_and_stream(spark, sf_dir):
     return spark.read.parquet(f"{root}/raw").drop("loaded_at", "source_file")
 
 
+def _damaged(spark, lake):
+    """A file of the lake that is no Parquet file."""
+    put_text(spark, f"{lake}/year=2024/month=1/day=1/part-damaged.parquet", "not a Parquet file")
+
+
 @register("load_files")
 def q_load_files(spark, sf_dir):
-    """Rows of the files that loaded whole, and how many files failed."""
+    """Rows of the files that loaded whole, and how many files failed (one here)."""
     root = scratch_path(spark, "load_files")
     writers.write_partitioned(order_flow.lake_rows(_records(spark, sf_dir), F1_RULE), f"{root}/lake")
+    _damaged(spark, f"{root}/lake")
     return file_totals(load_lake(spark, f"{root}/lake", f"{root}/raw").files).select("rows", "failed_files")
 
 
+@register("load_ledger")
+def q_load_ledger(spark, sf_dir):
+    """Three loads of one lake; each reads the files that came since the one before, the third none."""
+    root = scratch_path(spark, "load_ledger")
+    records = _records(spark, sf_dir)
+    loads = []
+    for n, share in enumerate(("offset % 3 = 0", "offset % 3 <> 0", None), 1):
+        if share:
+            writers.write_partitioned(order_flow.lake_rows(records.filter(share), F1_RULE), f"{root}/lake", mode="append")
+        if n == 2:
+            _damaged(spark, f"{root}/lake")
+        load_ = load_new_files(spark, f"{root}/lake", f"{root}/ledger", f"{root}/raw")
+        loads.append(file_totals(load_.files).select(
+            F.lit(n).alias("load"), F.coalesce("rows", F.lit(0)).alias("rows"), "failed_files", F.lit(load_.inserted).cast("long").alias("inserted")))
+    stored = spark.read.parquet(f"{root}/raw").groupBy().agg(F.count(F.lit(1)).alias("rows"))
+    return loads[0].unionByName(loads[1]).unionByName(loads[2]).unionByName(stored.select(
+        F.lit(0).alias("load"), "rows", F.lit(0).cast("long").alias("failed_files"), F.lit(0).cast("long").alias("inserted")))
+
+
+@register("insert_if_absent_late_months")
+def q_insert_if_absent_late_months(spark, sf_dir):
+    """K5: a second batch of some months against a target by month; only its months and its keys are looked up."""
+    target = scratch_path(spark, "raw_by_month")
+    raw = fixtures.raw_orders(spark, sf_dir)
+    load.insert_if_absent(spark, raw.filter("month <= 8"), target, partition_by=("year", "month"))
+    load.insert_if_absent(spark, raw.filter("month >= 7"), target, key_in_one_partition=True)
+    return spark.read.parquet(target)
+
+
 # --- model-level data tests (declared on the staging models) ---------------------
 
 @register("test_unique_customers")
@@ -552,6 +661,31 @@ def q_hourly_rollup(spark, sf_dir):
     return spark.table(writers.refresh_rollup(spark, marts.hourly_metrics(_raw(spark, sf_dir)), name))
 
 
+@register("hourly_rollup_new_rows")
+def q_hourly_rollup_new_rows(spark, sf_dir):
+    """K9: the rollup of most rows, then refreshed for the months of rows that came later (some of March and June)."""
+    root, parts = scratch_path(spark, "rollup_parts"), ("year", "month")
+    raw, later = _raw(spark, sf_dir), "month IN (3, 6) AND order_id LIKE '%2'"
+
+    def store(rows):
+        rows.repartitionByRange("order_timestamp").write.mode("append").partitionBy(*parts).parquet(f"{root}/raw")
+        return spark.read.parquet(f"{root}/raw")
+
+    first = store(raw.filter(f"NOT ({later})"))
+    writers.refresh_rollup_parts(first, first, marts.hourly_metrics, f"{root}/rollup", parts=parts)
+    return writers.refresh_rollup_parts(store(raw.filter(later)), raw.filter(later), marts.hourly_metrics, f"{root}/rollup", parts=parts)
+
+
+@register("model_views")
+def q_model_views(spark, sf_dir):
+    """K8: customer 360 through views stored as SQL text, read by another session."""
+    mark = uuid.uuid4().hex[:12]
+    _mixed_raw(spark, sf_dir).write.format("parquet").saveAsTable(f"raw_orders_{mark}")
+    database = spark.catalog.currentDatabase()
+    views = sql_models.create_views(spark, f"{database}.raw_orders_{mark}", f"staging_{mark}", f"intermediate_{mark}")
+    return spark.newSession().table(views["int_customer_360"])
+
+
 @register("stored_failures")
 def q_stored_failures(spark, sf_dir):
     """Failing rows of a check kept in a table of the results schema, one run after the other."""

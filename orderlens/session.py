@@ -32,6 +32,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_statistics(spark: SparkSession) -> SparkSession:
+    """Let the optimizer plan by the statistics of analyzed tables (K17), join order included."""
+    for key in ("spark.sql.cbo.enabled", "spark.sql.cbo.planStats.enabled", "spark.sql.cbo.joinReorder.enabled"):
+        spark.conf.set(key, "true")
+    return spark
+
+
 def _let_workers_import(spark: SparkSession) -> None:
     """Python workers find this package where the driver found it, whatever their working folder.
 

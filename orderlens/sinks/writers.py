@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULT_TOPICS, DEFAULT_WINDOW, TopicSpec, WindowSpec
+from orderlens.functions import date_parts
+from orderlens.operators.load import batch_partitions
 from orderlens.schemas import (
     CUSTOMER_METRICS_TABLE,
     DAILY_REVENUE_TABLE,
@@ -22,6 +24,7 @@ from orderlens.schemas import (
     STAGING_ORDERS_TABLE,
     ddl,
 )
+from orderlens.sources.store import delete, names
 
 PARTITION_COLUMNS = ("year", "month", "day")
 
@@ -146,16 +149,28 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "errorifexists",
     return path
 
 
-def materialize_table(spark: SparkSession, df: DataFrame, name: str) -> str:
-    """K7: full refresh of a model table.
+def materialize_table(spark: SparkSession, df: DataFrame, name: str, keep: int = 2) -> str:
+    """K7: full refresh of a model table without a moment in which it is missing.
 
-    Written to a new table first and swapped in, so a model may read the
-    table it replaces and a failed run leaves the old table intact.
+    Every refresh is written to a version folder of its own beside the
+    database; then one catalog change names it (`CREATE OR REPLACE VIEW` over the
+    folder: sessions look a view up for every query, while the location of a
+    table stays in the cache of sessions that have read it). A model may read
+    the table it replaces, its columns may change, a failed run leaves the old
+    version in place, and a reader that began before the change finishes on its
+    version: `keep` former versions stay, older ones go.
     """
-    staging_name = f"{name}__new_{uuid.uuid4().hex[:8]}"
-    df.write.mode("overwrite").format("parquet").saveAsTable(staging_name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging_name} RENAME TO {name}")
+    database, _, table = name.rpartition(".")
+    where = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    folder = f"{where.rstrip('/')}/{table}__versions"
+    number = max((int(n) for n in names(spark, folder) if n.isdigit()), default=0) + 1
+    df.write.mode("overwrite").parquet(f"{folder}/{number}")
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")  # a table of an earlier layout, once
+    create_view(spark, name, f"SELECT * FROM parquet.`{folder}/{number}`")
+    for n in names(spark, folder):
+        if n.isdigit() and int(n) < number - keep:
+            delete(spark, f"{folder}/{n}")
     return name
 
 
@@ -165,6 +180,29 @@ def materialize_view(df: DataFrame, name: str) -> str:
     return name
 
 
+def create_view(spark: SparkSession, name: str, query: str) -> str:
+    """K8: a model as a lasting view of the catalog, for every session; replaced in one step."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    return name
+
+
+def refresh_rollup_parts(source: DataFrame, touched: DataFrame, rollup, path: str, hour: str = "hour",
+                         parts=PARTITION_COLUMNS) -> DataFrame:
+    """K9: refresh only what new rows change; returns the rollup as stored at `path`.
+
+    `source` (all rows) is partitioned by `parts` (year, month, day or the
+    first of them) of the rollup's time, `touched` are its new rows. Their
+    parts are read again, as a predicate on the folders, rolled up, and replace
+    those folders of the rollup; others are neither read nor written.
+    """
+    spark = source.sparkSession
+    here = batch_partitions(touched, list(parts))
+    rows = rollup(source if here is None else source.filter(here))
+    rows = rows.select("*", *date_parts(hour)).drop(*[c for c in PARTITION_COLUMNS if c not in parts])
+    rows.repartitionByRange(*parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    return spark.read.parquet(path).drop(*parts)
+
+
 def refresh_rollup(spark: SparkSession, df: DataFrame, name: str) -> str:
     """K9: refresh a rollup table (INSERT OVERWRITE; created on first refresh)."""
     if spark.catalog.tableExists(name):
@@ -255,8 +293,15 @@ def load_declared(df: DataFrame, table: str, overwrite: bool = True) -> str:
 
 
 def analyze(spark: SparkSession, name: str) -> None:
-    """Refresh table and column statistics for the cost-based optimizer."""
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+    """Refresh table and column statistics, histograms included, for the cost-based optimizer
+    (`session.use_statistics`)."""
+    key = "spark.sql.statistics.histogram.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+    finally:
+        spark.conf.set(key, before)
 
 
 def jdbc_writer(df: DataFrame, url: str, table: str, options: dict | None = None, batchsize: int = 10000):

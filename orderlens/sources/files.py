@@ -26,19 +26,20 @@ def _reader(spark: SparkSession, prefix: str, ignore_corrupt: bool):
 
 
 def scan_valid(spark: SparkSession, prefix: str, lineage: bool = False,
-               limit_files: int | None = None, ignore_corrupt: bool = False) -> DataFrame:
+               limit_files: int | None = None, ignore_corrupt: bool = False, files: list[str] | None = None) -> DataFrame:
     """S3: every `*.parquet` file below `prefix`, with year/month/day recovered
     from the folder names (S9).
 
     lineage (S4) adds `source_file` (the file each row came from),
     `row_index` (its place there) and `loaded_at`; `limit_files` (S6) reads
-    only the first N files in name order. A damaged file fails the scan;
+    only the first N files in name order, `files` the named ones. A damaged file fails the scan;
     `ignore_corrupt` (S5) reads what can be read of it, for callers that
     compare with `load_summary` and drop such files whole.
     """
     reader = _reader(spark, prefix, ignore_corrupt)
     if limit_files is not None:
         files = first_files(spark, prefix, limit_files)
+    if files is not None:
         df = reader.parquet(*files) if files else reader.parquet(prefix).limit(0)
     else:
         df = reader.parquet(prefix)
@@ -49,9 +50,9 @@ def scan_valid(spark: SparkSession, prefix: str, lineage: bool = False,
     return df
 
 
-def footer_counts(spark: SparkSession, prefix: str) -> DataFrame:
+def footer_counts(spark: SparkSession, prefix: str, files: list[str] | None = None) -> DataFrame:
     """(source_file, expected): rows that each file's footer promises; no column is read."""
-    df = _reader(spark, prefix, True).parquet(prefix)
+    df = _reader(spark, prefix, True).parquet(*(files or [prefix]))
     return df.groupBy(F.col("_metadata.file_path").alias("source_file")).agg(F.count(F.lit(1)).alias("expected"))
 
 

@@ -11,7 +11,7 @@ of the topic is rate-limited by maxFilesPerTrigger (W7).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from orderlens.plans.order_flow import alert_rows, clean_orders, flagged_orders,
 from orderlens.schemas import RAW_ORDERS
 from orderlens.sinks import writers
 from orderlens.sources.topic import file_topic_stream
+from orderlens.sources.topic_log import drain
 from orderlens.streaming.windows import latest_per_window, window_revenue
 
 
@@ -58,34 +59,53 @@ def start_pipeline(records: DataFrame, paths: PipelinePaths, rule: FraudRule = D
     return {"valid_orders": lake, "fraud_alerts": alerts, "aggregations": agg}
 
 
-def run_valid_lake(spark: SparkSession, source: str, lake: str, checkpoint: str,
+#: Triggers without a pause, for runs to the end of what a source holds.
+AT_ONCE = {"trigger": "0 seconds", "aggregate_trigger": "0 seconds"}
+
+
+def no_pause(spec: WindowSpec = DEFAULT_WINDOW) -> WindowSpec:
+    return replace(spec, **AT_ONCE)
+
+
+def _drained(q, available_now: bool, progress: list | None) -> None:
+    """Wait for the end of the input; a source with its own admission is drained and stopped."""
+    if available_now:
+        q.awaitTermination()
+        reports = q.recentProgress
+    else:
+        reports = drain(q)
+    if progress is not None:
+        progress += reports
+
+
+def run_valid_lake(spark: SparkSession, source: str | DataFrame, lake: str, checkpoint: str,
                    rule: FraudRule = DEFAULT_RULE, max_files_per_trigger: int | None = None,
                    progress: list | None = None) -> DataFrame:
-    """K1 alone, run to the end of the staged input; returns the lake as written.
+    """K1 alone, run to the end of the staged input (a folder of files, or a stream of records that
+    admits by itself); returns the lake as written.
 
     `progress` receives the progress reports of the micro-batches.
     """
-    stream = file_topic_stream(spark, source, max_files_per_trigger)
-    q = writers.valid_parquet_sink(lake_rows(stream, rule), lake, checkpoint, available_now=True)
-    q.awaitTermination()
-    if progress is not None:
-        progress += q.recentProgress
+    files = isinstance(source, str)
+    stream = file_topic_stream(spark, source, max_files_per_trigger) if files else source
+    q = writers.valid_parquet_sink(lake_rows(stream, rule), lake, checkpoint, no_pause(), available_now=files)
+    _drained(q, files, progress)
     return spark.read.parquet(lake)
 
 
-def run_window_revenue(spark: SparkSession, source: str, log: str, checkpoint: str,
+def run_window_revenue(spark: SparkSession, source: str | DataFrame, log: str, checkpoint: str,
                        spec: WindowSpec = DEFAULT_WINDOW, max_files_per_trigger: int | None = None,
                        progress: list | None = None) -> DataFrame:
-    """A1 on a stream, run to the end of the staged input; returns the final window state.
+    """A1 on a stream, run to the end of the staged input (as in `run_valid_lake`); returns the final window state.
 
     `progress` receives the progress reports of the micro-batches.
     """
-    stream = file_topic_stream(spark, source, max_files_per_trigger)
+    files = isinstance(source, str)
+    stream = file_topic_stream(spark, source, max_files_per_trigger) if files else source
+    spec = no_pause(spec)
     q = writers.window_sink(window_revenue(clean_orders(stream), spec), checkpoint, spec,
-                            foreach_batch=writers.update_log_writer(log), available_now=True)
-    q.awaitTermination()
-    if progress is not None:
-        progress += q.recentProgress
+                            foreach_batch=writers.update_log_writer(log), available_now=files)
+    _drained(q, files, progress)
     return latest_per_window(spark.read.parquet(log))
 
 

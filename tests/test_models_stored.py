@@ -1,0 +1,152 @@
+"""Tables replaced without a gap, lasting views, rollups by day, statistics that decide; W8: state."""
+
+import threading
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderlens.operators import marts, staging
+from orderlens.plans import sql_models
+from orderlens.session import use_statistics
+from orderlens.sinks import writers
+from orderlens.sources import fixtures
+from orderlens.sources.store import names
+from orderlens.sources.topic_log import append_topic, topic_stream
+from orderlens.streaming.pipeline import run_window_revenue
+from orderlens.streaming.state import late_groups, large_state, open_windows
+from tests.conftest import SF_SMALL
+
+
+@pytest.fixture()
+def database(spark):
+    name = f"db_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    return name
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_a_reader_never_misses_a_table_that_is_refreshed(spark, database):
+    name = f"{database}.mart"
+    frame = lambda n: spark.range(100).select("id", F.lit(n).alias("version"))
+    writers.materialize_table(spark, frame(0), name)
+    seen, errors, stop = set(), [], threading.Event()
+
+    def read():
+        session = spark.newSession()
+        while not stop.is_set():
+            try:
+                got = session.table(name).groupBy("version").count().collect()
+                assert len(got) == 1 and got[0]["count"] == 100
+                seen.add(got[0].version)
+            except Exception as e:  # whatever a reader would see
+                errors.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(1, 11):
+        writers.materialize_table(spark, frame(n), name)
+    stop.set()
+    reader.join()
+    assert not errors and len(seen) > 1
+    assert {r.version for r in spark.table(name).collect()} == {10}
+    folder = spark.catalog.getDatabase(database).locationUri
+    assert sorted(names(spark, f"{folder}/mart__versions"), key=int) == ["9", "10", "11"]
+
+
+def test_a_model_may_read_the_table_it_replaces_and_change_its_columns(spark, database):
+    name = f"{database}.sums"
+    spark.range(2).toDF("x").write.format("parquet").saveAsTable(name)  # as an earlier layout left it
+    writers.materialize_table(spark, spark.range(3).toDF("x"), name)
+    writers.materialize_table(spark, spark.table(name).withColumn("x", F.col("x") + 1), name)
+    assert rows(spark.table(name)) == [(1,), (2,), (3,)]
+    writers.materialize_table(spark, spark.table(name).withColumn("y", F.lit("new")), name)
+    assert rows(spark.newSession().table(name)) == [(1, "new"), (2, "new"), (3, "new")]
+
+
+def test_views_outlive_the_session_and_equal_the_frames(spark, database):
+    raw = fixtures.mixed_raw_orders(spark, SF_SMALL)
+    raw.write.format("parquet").saveAsTable(f"{database}.raw_orders")
+    views = sql_models.create_views(spark, f"{database}.raw_orders", f"{database}_s", f"{database}_i")
+    stg = staging.stg_orders(spark.table(f"{database}.raw_orders"))
+    other = spark.newSession()
+    for model, frame in {"stg_orders": stg, "stg_customers": staging.stg_customers(stg), "int_customer_360": marts.customer_360(stg)}.items():
+        view = other.table(views[model])
+        assert [(f.name, f.dataType) for f in view.schema] == [(f.name, f.dataType) for f in frame.schema], model
+        assert rows(view) == rows(frame), model
+
+
+def test_rollup_reads_and_writes_the_touched_days_only(spark, scratch):
+    raw = fixtures.raw_orders(spark, SF_SMALL).filter("year = 1995 AND month < 5")
+    later = "month = 3 AND order_id LIKE '%1'"
+    writers.write_partitioned(raw.filter(f"NOT ({later})"), f"{scratch}/raw", cluster_by="order_timestamp")
+    first = spark.read.parquet(f"{scratch}/raw")
+    writers.refresh_rollup_parts(first, first, marts.hourly_metrics, f"{scratch}/rollup")
+    stored = lambda: {r[0] for r in spark.read.parquet(f"{scratch}/rollup").select(F.col("_metadata.file_path")).distinct().collect()}
+    before = stored()
+    new = raw.filter(later)
+    writers.write_partitioned(new, f"{scratch}/raw", mode="append")
+    whole = spark.read.parquet(f"{scratch}/raw")
+    seen = {}
+
+    def rollup(rows_):
+        seen["plan"] = rows_._jdf.queryExecution().executedPlan().toString()
+        seen["files"] = rows_.select(F.col("_metadata.file_path")).distinct().count()
+        return marts.hourly_metrics(rows_)
+
+    got = writers.refresh_rollup_parts(whole, new, rollup, f"{scratch}/rollup")
+    assert rows(got) == rows(marts.hourly_metrics(raw))
+    assert "year" in seen["plan"].split("PartitionFilters: [")[1].split("]")[0]
+    assert seen["files"] < whole.select(F.col("_metadata.file_path")).distinct().count() / 3
+    day = lambda f: "/".join(f.split("/")[-4:-1])
+    changed = {day(f) for f in stored() ^ before}
+    assert changed == {f"year={r[0]}/month={r[1]}/day={r[2]}" for r in new.select("year", "month", "day").distinct().collect()}
+
+
+def test_statistics_change_the_join_of_a_mart(spark, database):
+    """Without statistics a filtered side is taken for as large as its table; with them it is broadcast."""
+    raw = fixtures.raw_orders(spark, SF_SMALL)
+    raw.write.format("parquet").saveAsTable(f"{database}.raw_orders")
+    raw.select("customer_id", F.repeat(F.col("product_name"), F.lit(20)).alias("note"), F.monotonically_increasing_id().alias("n")).write.format(
+        "parquet").saveAsTable(f"{database}.notes")
+    keep = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.cbo.enabled",
+                                                 "spark.sql.cbo.planStats.enabled", "spark.sql.cbo.joinReorder.enabled")}
+
+    def plan():
+        few = spark.table(f"{database}.notes").where("n < 20")
+        return spark.table(f"{database}.raw_orders").join(few, "customer_id")._jdf.queryExecution().executedPlan().toString()
+
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        use_statistics(spark)
+        assert "BroadcastHashJoin" not in plan()
+        for table in ("raw_orders", "notes"):
+            writers.analyze(spark, f"{database}.{table}")
+        assert "BroadcastHashJoin" in plan()
+    finally:
+        for k, v in keep.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    described = spark.sql(f"DESCRIBE EXTENDED {database}.notes n").collect()
+    assert any(r.info_name == "histogram" and r.info_value != "NULL" for r in described)
+
+
+def test_state_holds_the_open_windows_and_restarts(spark, scratch):
+    records = fixtures.order_topic(spark, SF_SMALL)
+    path, checkpoint, progress = f"{scratch}/t", f"{scratch}/c", []
+    append_topic(records.filter("offset % 10 <> 0 AND timestamp < '2024-01-20'"), path)
+    with large_state(spark):
+        run_window_revenue(spark, topic_stream(spark, path, checkpoint, "earliest", max_appends=1), f"{scratch}/log", checkpoint, progress=progress)
+        before = spark.read.parquet(f"{scratch}/log")
+        newest = records.filter("offset % 10 <> 0 AND timestamp < '2024-01-20'").agg(F.max("timestamp")).first()[0]
+        want = before.where(F.col("window_end") > F.lit(newest) - F.expr("INTERVAL 10 MINUTES")).select("window_start", "window_end", "product_category")
+        assert rows(open_windows(spark, checkpoint)) == rows(want.distinct()) and progress[0]["stateOperators"][0]["customMetrics"].keys() >= {"rocksdbGetCount"}
+        assert late_groups(progress) == 0
+        # the same checkpoint goes on with its state: the late rows are dropped and counted
+        append_topic(records.filter("offset % 10 = 0 AND timestamp < '2024-01-19'"), path)
+        run_window_revenue(spark, topic_stream(spark, path, checkpoint, "earliest", max_appends=1), f"{scratch}/log", checkpoint, progress=progress)
+    assert late_groups(progress) > 0
+    assert spark.read.parquet(f"{scratch}/log").count() == before.count()
