@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 import xxhash
@@ -35,6 +36,32 @@ def crc_mod(col: str, n: int):
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(n))
 
 
+#: Rows of a batch that are taken apart at once.
+SLICE_ROWS = 512
+
+_FORGET: dict[str, Callable[[], None]] = {}
+
+
+def keeps(owner: str, forget: Callable[[], None]) -> None:
+    """Names what frees the memory that an operator keeps in a worker between tasks."""
+    _FORGET[owner] = forget
+
+
+def slices(batches, owner: str, rows: int = SLICE_ROWS):
+    """The batches in slices of few rows, for the operator that the worker works for now.
+
+    Workers are used again by the next stage: what other operators keep in
+    this one is let go. Python objects are made of one slice at a time,
+    whatever the size of Spark's batches.
+    """
+    for other, forget in _FORGET.items():
+        if other != owner:
+            forget()
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 class ChunkCache(dict):
     """Bytes computed once per distinct chunk of text between white space.
 
@@ -59,6 +86,10 @@ class ChunkCache(dict):
         self[chunk] = got
         return got
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
     def join(self, text: str | None) -> bytes:
         if not text:
             return b""
@@ -72,6 +103,7 @@ def _word_bytes(chunk: str) -> bytes:
 
 
 _WORDS = ChunkCache(_word_bytes)
+keeps("words", _WORDS.forget)
 
 
 def word_hashes(text: str | None) -> np.ndarray:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import ChunkCache, _word_bytes, free_name, mix64, odd_constants, written
+from orderlens.llm.common import ChunkCache, _word_bytes, free_name, keeps, mix64, odd_constants, slices, written
 from orderlens.llm.sieve import Sieve
 
 #: Fixed masks: weight 6, from contiguous to 12 words wide.
@@ -58,6 +58,7 @@ def _chunk_bytes(chunk: str) -> bytes:
 
 
 _WORDS = ChunkCache(_chunk_bytes)
+keeps("benchmark-words", _WORDS.forget)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -171,7 +172,7 @@ def overlaps(
 
     def sift(batches):
         sieve = shared.value
-        for batch in batches:
+        for batch in slices(batches, "benchmark-words"):
             keep, words_, found = [], [], []
             for i, text in enumerate(batch.column(2).to_pylist()):
                 words = word_hashes(text)
@@ -209,7 +210,7 @@ def overlaps(
     item_type = items.schema["item"].dataType.simpleString()
 
     def verify(batches):
-        for batch in batches:
+        for batch in slices(batches, "benchmark-words", 64):
             keep, out = [], []
             for i, (words, item, shifts) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("words", "item_words", "shifts")), strict=True)):
                 doc, item = np.frombuffer(words, dtype="<u8"), np.frombuffer(item, dtype="<u8")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import free_name, mix64, odd_constants, word_hashes, written
+from orderlens.llm.common import free_name, mix64, odd_constants, slices, word_hashes, written
 from orderlens.llm.components import components
 from orderlens.llm.sieve import Sieve
 
@@ -101,7 +101,7 @@ def matching_depth(threshold: float, target: float = RECALL) -> int:
 def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, key, labels, row) per document; row is a hash of id and text, of the text alone without an id."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "words"):
             found = [shingles(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([set_key(x) for x in found], pa.binary()),
@@ -231,7 +231,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, targ
 
     def again(batches):
         seen: set[int] = set()
-        for batch in batches:
+        for batch in slices(batches, "words"):
             h = batch.column("h").to_numpy().view(np.uint64)
             at = []
             for i in wanted.value.passes(h).tolist():

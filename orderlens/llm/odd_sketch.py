@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import ChunkCache, mix64, odd_constants, written
+from orderlens.llm.common import ChunkCache, keeps, mix64, odd_constants, slices, written
 from orderlens.llm.components import components
 from orderlens.llm.sieve import Sieve
 
@@ -61,6 +61,7 @@ _SHINGLE = odd_constants(WORDS, 1303)
 _BAND = odd_constants(ROWS, 1404)
 _PLACE = np.arange(SAMPLES, dtype=np.uint64) << np.uint64(32)
 _HASHES = ChunkCache(lambda word: xxhash.xxh64_intdigest(word).to_bytes(8, "little"), 100_000)
+keeps("odd-words", _HASHES.forget)
 
 
 def shingles(text: bytes | None) -> np.ndarray:
@@ -135,19 +136,16 @@ def _row_hash(id_col: str, text_col: str):
 def _described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, h, key, n, nodes, sketch) per document; an empty one has no key."""
     def run(batches):
-        for batch in batches:
-            texts = batch.column("text")
-            for at in range(0, batch.num_rows, 512):
-                sets = [shingles(t.as_py()) for t in texts.slice(at, 512)]
-                lows = [samples(x) if len(x) else None for x in sets]
-                part = batch.slice(at, 512)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("id"), part.column("h"),
-                    pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets], pa.binary()),
-                    pa.array([len(x) for x in sets], pa.int64()),
-                    pa.array([None if s is None else band_nodes(s).view(np.int64) for s in lows], pa.list_(pa.int64())),
-                    pa.array([None if s is None else odd_sketch(s).view(np.int64) for s in lows], pa.list_(pa.int64()))],
-                    names=["id", "h", "key", "n", "nodes", "sketch"])
+        for batch in slices(batches, "odd-words"):
+            sets = [shingles(t) for t in batch.column("text").to_pylist()]
+            lows = [samples(x) if len(x) else None for x in sets]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("id"), batch.column("h"),
+                pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets], pa.binary()),
+                pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([None if s is None else band_nodes(s).view(np.int64) for s in lows], pa.list_(pa.int64())),
+                pa.array([None if s is None else odd_sketch(s).view(np.int64) for s in lows], pa.list_(pa.int64()))],
+                names=["id", "h", "key", "n", "nodes", "sketch"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), _row_hash(id_col, text_col).alias("h"), F.col(text_col).cast("binary").alias("text")).mapInArrow(
@@ -184,14 +182,15 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> Dat
     sieve = Sieve.share(wanted.select("h").distinct(), "h")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "odd-words"):
             at = sieve.value.passes(batch.column("h").to_numpy().view(np.uint64))
-            texts = batch.column("text")
-            for some in np.array_split(at, 1 + len(at) // 512):
-                found = [shingles(texts[int(i)].as_py()) for i in some]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("h").take(pa.array(some, pa.int64())), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in found], pa.binary()),
-                     pa.array([x.tobytes() for x in found], pa.binary())], names=["h", "key", "elements"])
+            if not len(at):
+                continue
+            rows = batch.take(pa.array(at, pa.int64()))
+            found = [shingles(t) for t in rows.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("h"), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in found], pa.binary()),
+                 pa.array([x.tobytes() for x in found], pa.binary())], names=["h", "key", "elements"])
 
     texts = docs.select(_row_hash(id_col, text_col).alias("h"), F.col(text_col).cast("binary").alias("text"))
     found = texts.mapInArrow(run, "h long, key binary, elements binary")

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from orderlens.llm.common import ChunkCache, written
+from orderlens.llm.common import ChunkCache, keeps, slices, written
 
 CAPACITY = 4096
 #: Most pieces that one task packs together.
@@ -116,6 +116,7 @@ def _little(ids) -> bytes:
 
 
 _TOKENIZERS: dict[str, TokenIds] = {}
+keeps("tokens", _TOKENIZERS.clear)
 
 
 def token_ids(path: str) -> TokenIds:
@@ -144,14 +145,14 @@ def pieces(
 
     def run(batches):
         encode = token_ids(tokenizer_path)
-        for batch in batches:
+        for batch in slices(batches, "tokens"):
             take, rows = [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 ids = encode(text) + end
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     take.append(i)
-                    rows.append((k, at // 4, len(part) // 4, zlib.crc32(part), part))
+                    rows.append((k, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
             columns = [batch.column(0).take(pa.array(take, pa.int64()))]
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             for j, kind in enumerate(kinds[: len(fields) - 1]):

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from orderlens.llm.common import free_name, mix64, written
+from orderlens.llm.common import free_name, mix64, slices, written
 from orderlens.llm.sieve import Sieve
 
 LENGTH = 100
@@ -110,7 +110,7 @@ def _anchor_rows(texts: DataFrame, length: int, survivors, contested=None, hot=N
     def run(batches):
         alive = survivors.value
         open_ = contested.value if contested else None
-        for batch in batches:
+        for batch in slices(batches, "bytes"):
             for i, text in enumerate(batch.column("text").to_pylist()):
                 if not text:
                     continue
@@ -135,14 +135,18 @@ def _anchor_rows(texts: DataFrame, length: int, survivors, contested=None, hot=N
     return texts.mapInArrow(_joined(run), _ANCHOR_COLUMNS.format(id=kind))
 
 
-def _joined(run, rows: int = 20_000):
+#: Bytes of the batches that are put together.
+JOINED_BYTES = 4 << 20
+
+
+def _joined(run, size: int = JOINED_BYTES):
     """The same function with its many small batches put together."""
     def bigger(batches):
         held, n = [], 0
         for b in run(batches):
             held.append(b)
-            n += b.num_rows
-            if n >= rows:
+            n += b.nbytes
+            if n >= size:
                 yield from pa.Table.from_batches(held).combine_chunks().to_batches()
                 held, n = [], 0
         if held:
@@ -153,7 +157,7 @@ def _joined(run, rows: int = 20_000):
 def _repeated_ranks(texts: DataFrame, length: int) -> DataFrame:
     """Anchor strings that occur twice or more."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "bytes"):
             found = [rank for text in batch.column("text").to_pylist() if text
                      for rank, *_ in anchors(text.encode("utf-8", "surrogatepass"), length)]
             if found:
@@ -271,7 +275,7 @@ def remove_repeats(
     where = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "bytes"):
             kept, sizes, removed, spans = [], [], [], []
             ranges = batch.column(batch.num_columns - 1)
             for text, found in zip(batch.column(where).to_pylist(), ranges, strict=True):
