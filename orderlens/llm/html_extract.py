@@ -6,14 +6,16 @@
 2. The best container's generalised path (tags with their classes, digits
    made ``#``) is the page's vote. Spark counts votes per host and path with
    map-side partial counts, so a hot host costs one row per path and task.
-3. Each page is joined with its host's winning paths (those with at least
+3. Each page is put beside its host's winning paths (those with at least
    ``MIN_SHARE`` of the host's votes, most votes first, so at most
-   1 / MIN_SHARE of them) and the text of all its elements on the first
+   1 / MIN_SHARE of them; broadcast up to a measured size, else joined with
+   salted hosts, so that no host's pages meet in one task) and the text of all its elements on the first
    winning path that it has is extracted again. A page that has none of them
    is extracted by its own best container.
 
 Left out below a container: menus, sidebars, adverts, notices, forms,
-comments and the like, by tag, role or name; scripts, styles, drawings and
+comments and the like, by tag, role or name (a form not when it holds most of
+the page's text); scripts, styles, drawings and
 markup; headers but for their headings; footers. A class or id counts when it
 is such a name itself, ends in one (``site-footer``) or is made of one and words
 for a part of a page (``ad-slot``), but not when it tells a state
@@ -32,6 +34,8 @@ table gives an empty result; extra columns pass through.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from hashlib import md5
 from html import unescape
 
 import pyarrow as pa
@@ -39,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from orderlens.llm.common import free_name
+from orderlens.llm.common import free_name, slices, written
 
 #: Share of a host's votes that makes a path a winning one.
 MIN_SHARE = 0.1
@@ -53,7 +57,11 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
-_ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+#: A whole attribute: its name and, quotes included, its value.
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?|"[^"]*"|'[^']*'""")
+#: Characters of a path that is written out; a longer one is named by a hash.
+PATH_CHARS = 512
+_NAMES = frozenset(("class", "id", "role", "hidden", "aria-hidden"))
 _DIGITS = re.compile(r"\d+")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
@@ -68,7 +76,9 @@ INLINE = frozenset(
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
             "th": {"td", "th", "tr"}, "option": {"option"}}
 CONTAINERS = frozenset("html body article main section div td blockquote form ul ol table tbody tr center header footer aside nav dl figure".split())
-SKIPPED_TAGS = frozenset("nav aside footer form button menu dialog head fieldset input".split())
+SKIPPED_TAGS = frozenset("nav aside footer button menu dialog head input".split())
+#: Skipped like parts by name: not when they hold most of the page's text.
+FORM_TAGS = frozenset(("form", "fieldset"))
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu form".split())
 SKIPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies "
@@ -87,10 +97,16 @@ ARTICLE_WORDS = frozenset("article content entry main post story text body".spli
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "skip", "first", "last", "bonus", "own", "linked", "hard", "number", "before")
+    __slots__ = ("tag", "path", "parent", "skip", "first", "last", "bonus", "own", "linked", "hard", "number", "before", "link", "holder", "ends")
 
     def __init__(self, tag, path, parent, skip, first, bonus, hard=False, number=None, before=0):
         self.tag, self.path, self.parent, self.skip, self.first, self.bonus = tag, path, parent, skip, first, bonus
+        inline = tag in INLINE
+        self.link = inline and (tag == "a" or parent.link)  # its text is a link's
+        # the container that a block's text is credited to
+        self.holder = self if parent is None or tag in CONTAINERS else parent.holder
+        # whether it or an open element up to the next container ends where some other begins
+        self.ends = tag == "p" or tag in ENDED_BY or (tag not in CONTAINERS and parent is not None and parent.ends)
         self.last = -1  # end of its runs of text
         self.own = 0  # characters of its blocks and of runs directly in it
         self.linked = 0
@@ -119,6 +135,7 @@ class Page:
         self.runs: list[str | None] = []
         root = Node("", "", None, False, 0, 1.0)
         stack = [root]
+        self.open: Counter = Counter()
         self.nodes.append(root)
         at = 0
         for m in _TOKEN.finditer(html):
@@ -142,7 +159,7 @@ class Page:
         self._cut(stack, 0)
 
     def _open(self, tag: str, attrs: str, stack: list[Node]) -> None:
-        if tag not in INLINE:
+        if tag not in INLINE and stack[-1].ends:
             for k in range(len(stack) - 1, 0, -1):
                 x = stack[k].tag
                 if x == "p" or tag in ENDED_BY.get(x, ()):
@@ -154,11 +171,17 @@ class Page:
         classes, hard, number, bonus = "", parent.hard, None, ARTICLE_TAGS.get(tag, 1.0)
         if tag in SKIPPED_TAGS or tag == "header":
             hard = True
+        if tag in FORM_TAGS:
+            number = len(self.nodes)
         if attrs and not attrs.isspace():
             words: set[str] = set()
             names: list[str] = []
+            seen: set[str] = set()
             for a in _ATTR.finditer(attrs):
-                name, value = a[1].lower(), (a[2] or "").strip("\"'").lower()
+                name, value = (a[1] or "").lower(), (a[2] or "").strip("\"'").lower()
+                if name not in _NAMES or name in seen:  # the first of a name counts
+                    continue
+                seen.add(name)
                 if name == "class":
                     classes = "." + ".".join(sorted({_DIGITS.sub("#", x) for x in value.split()})) if value.split() else ""
                 if name in ("class", "id"):
@@ -166,7 +189,7 @@ class Page:
                     names += value.split()
                 elif name == "role":
                     hard = hard or value in SKIPPED_ROLES
-                elif name == "hidden" or value == "true":
+                elif name == "hidden" or value == "true":  # hidden as such, or aria-hidden
                     hard = True
             if words & SKIPPED_WORDS and tag not in ("html", "body", "article", "main") and any(map(_skipped_name, names)):
                 number = len(self.nodes)
@@ -176,12 +199,19 @@ class Page:
         if tag in HEADINGS and parent.tag == "header" and not _skipped_above_header(parent):
             skip = hard = False
             number = None
-        path = f"{parent.path}/{tag}{classes}" if tag not in INLINE else parent.path
+        path = parent.path
+        if tag not in INLINE:
+            path = f"{path}/{tag}{classes}"
+            if len(path) > PATH_CHARS:
+                path = f"#{md5(path.encode()).hexdigest()}"
         node = Node(tag, path, parent, skip, len(self.runs), bonus, hard, number, self.unlinked)
         self.nodes.append(node)
         stack.append(node)
+        self.open[tag] += 1
 
     def _close(self, tag: str, stack: list[Node]) -> None:
+        if not self.open[tag]:
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag == tag:
                 self._cut(stack, k)
@@ -192,6 +222,7 @@ class Page:
 
     def _cut(self, stack: list[Node], k: int) -> None:
         for node in stack[k:]:
+            self.open[node.tag] -= 1
             node.last = len(self.runs)
             if node.number is not None:
                 self.named.append((node.number, node.before, self.unlinked))
@@ -209,21 +240,14 @@ class Page:
             self.runs.append(text)
         n = len(text) if not text.isspace() else 0
         if n:
-            link = False
-            while node.tag in INLINE:
-                link |= node.tag == "a"
-                node = node.parent
-            if not link:
+            if not node.link:
                 self.unlinked += n
             if skip:
                 return
-            # a block's text is credited to the container that holds the block
-            while node.tag not in CONTAINERS and node.parent is not None:
-                node = node.parent
-            if link:
-                node.linked += n
+            if node.link:
+                node.holder.linked += n
             else:
-                node.own += n
+                node.holder.own += n
 
     def best(self) -> Node:
         """The container with the best score; the first of equals, the root of an empty page."""
@@ -236,9 +260,8 @@ class Page:
         total = dict(score)
         for i, s in score.items():
             up = self.nodes[i].parent
-            while up is not None and up.tag not in CONTAINERS:
-                up = up.parent
-            if up is not None and not up.skip:
+            up = up.holder if up is not None else None
+            if up is not None and up.tag in CONTAINERS and not up.skip:
                 j = index[id(up)]
                 total[j] = total.get(j, 0.0) + s / 2 * up.bonus
         return self.nodes[min(total, key=lambda i: (-total[i], i))] if total else self.nodes[0]
@@ -300,7 +323,7 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", m
     """(host, paths): each host's winning paths, most votes first."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "pages", 64):
             hosts, paths = [], []
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if path := best_path(html):
@@ -320,6 +343,23 @@ def _host(url_col: str):
     return F.lower(F.coalesce(F.regexp_extract(F.col(url_col), _HOST, 1), F.lit("")))
 
 
+#: Most bytes of winning paths that are broadcast; beyond, hosts are salted.
+BROADCAST_BYTES = 32 << 20
+SALTS = 16
+
+
+def _with_paths(pages: DataFrame, winners: DataFrame, host: str) -> DataFrame:
+    """The pages beside their host's winning paths. A hot host's pages stay where they are or go to SALTS tasks."""
+    winners = written(winners, "host-paths")
+    paths = next(c for c in winners.columns if c != host)
+    size = winners.agg(F.sum(F.octet_length(host) + F.octet_length(F.array_join(paths, "")) + 64)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        return pages.join(F.broadcast(winners), host, "left")
+    salt = free_name([*pages.columns, *winners.columns], "_salt")
+    pages = pages.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    return pages.join(winners.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), [host, salt], "left")
+
+
 def extract(
     pages: DataFrame,
     url_col: str = "url",
@@ -332,12 +372,12 @@ def extract(
         raise ValueError(f"the input has a column named {text_col}")
     host, paths = free_name(pages.columns, "_host"), free_name(pages.columns, "_paths")
     winners = host_paths(pages, url_col, html_col, min_share).select(F.col("host").alias(host), F.col("paths").alias(paths))
-    joined = pages.withColumn(host, _host(url_col)).join(winners, host, "left").select(*pages.columns, paths)
+    joined = _with_paths(pages.withColumn(host, _host(url_col)), winners, host).select(*pages.columns, paths)
     schema = StructType([*pages.schema.fields, StructField(text_col, StringType())])
     where = pages.columns.index(html_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "pages", 64):
             texts = [main_text(h, p) for h, p in zip(batch.column(where).to_pylist(), batch.column(len(pages_columns)).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=schema.names)
 
