@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULT_TOPICS, TopicSpec
 from orderlens.schemas import ORDER_EVENT, TOPIC_RECORD
+from orderlens.sources.store import date_in_order, names
 
 
 def topic_stream_reader(spark: SparkSession, bootstrap_servers: str, spec: TopicSpec = DEFAULT_TOPICS,
@@ -53,21 +54,16 @@ def stage_topic(records: DataFrame, path: str, files: int | None = None) -> str:
 
 
 def stage_topic_in_order(records: DataFrame, path: str, slices: int = 6) -> str:
-    """Stage topic records in event-time order: one file per time slice, written one after the other.
+    """Stage topic records in event-time order, one file per time slice, written side by side by one range sort.
 
-    The file source takes files by their time, so with `maxFilesPerTrigger=1`
-    each slice is a micro-batch and rows arrive as a topic would deliver them.
+    The file source takes files by their time, so the files are dated in the
+    order of their slices: with `maxFilesPerTrigger=1` each slice is a
+    micro-batch and rows arrive as a topic would deliver them. For input of any
+    size use `topic_log`, which cuts micro-batches by offsets.
     """
-    cuts = records.select(F.percentile_approx(F.unix_micros("timestamp"), [i / slices for i in range(1, slices)], 10_000)).first()[0] or []
-    bounds = [None, *sorted(set(cuts)), None]
-    at = F.unix_micros("timestamp")
-    for lo, hi in zip(bounds, bounds[1:]):
-        keep = F.lit(True)
-        if lo is not None:
-            keep = keep & (at >= lo)
-        if hi is not None:
-            keep = keep & (at < hi)
-        records.filter(keep).coalesce(1).write.mode("append").parquet(path)
+    spark = records.sparkSession
+    records.repartitionByRange(slices, "timestamp").write.mode("append").parquet(path)
+    date_in_order(spark, path, [n for n in names(spark, path) if n.endswith(".parquet")])
     return path
 
 

@@ -53,8 +53,8 @@ def append_topic(records: DataFrame, path: str, segment_rows: int = SEGMENT_ROWS
     """
     spark = records.sparkSession
     index_path = f"{path}/index"
-    known = spark.read.schema(_INDEX).parquet(index_path) if exists(spark, index_path) else spark.createDataFrame([], _INDEX)
-    number = (known.agg(F.max("append")).first()[0] or 0) + 1
+    known = spark.read.schema(_INDEX).parquet(index_path) if exists(spark, index_path) else None
+    number = known.agg(F.max("append")).first()[0] + 1 if known is not None else 1
     by = ("partition", "timestamp", "offset")
     spread = records.repartitionByRange(files, *by) if files else records.repartitionByRange(*by)
     segments = f"{path}/segments/append={number}"
@@ -67,10 +67,11 @@ def append_topic(records: DataFrame, path: str, segment_rows: int = SEGMENT_ROWS
     # files are numbered by task, then by file of the task
     task, chunk = (F.regexp_extract("name", x, 1).cast("long") for x in (r"^part-(\d+)", r"-c(\d+)\."))
     before = Window.partitionBy("partition").orderBy(task, chunk).rowsBetween(Window.unboundedPreceding, -1)
-    ends = known.groupBy("partition").agg(F.max(F.col("first_offset") + F.col("rows")).alias("next"))
-    index = slices.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))).join(ends, "partition", "left").select(
-        "file", "partition", "first_row", "rows", (F.coalesce("next", F.lit(0)) + F.col("before")).alias("first_offset"),
-        F.lit(number).cast("long").alias("append"))
+    slices = slices.withColumn("first_offset", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    if known is not None:
+        ends = known.groupBy("partition").agg(F.max(F.col("first_offset") + F.col("rows")).alias("next"))
+        slices = slices.join(ends, "partition", "left").withColumn("first_offset", F.col("first_offset") + F.coalesce("next", F.lit(0)))
+    index = slices.select("file", "partition", "first_row", "rows", "first_offset", F.lit(number).cast("long").alias("append"))
     index.coalesce(1).write.mode("append").parquet(index_path)  # one row per segment and partition
     return path
 
