@@ -511,6 +511,9 @@ SQL["insert_if_absent_mixed"] = f"""WITH {MIXED_RAW_CTE}
 SELECT DISTINCT order_id FROM raw WHERE {_GATE} IS NULL"""
 for _name in ("check_nulls", "check_ranges", "check_fraud_logic"):
     SQL[f"{_name}_mixed"] = f"WITH {MIXED_RAW_CTE} {_CHECK_BODIES[_name]}"
+SQL["check_row_counts_rejects"] = f"WITH {RAW_CTE} {_CHECK_BODIES['check_row_counts']} WHERE price < 0 OR quantity <= 0 OR amount < 0 OR customer_age_days < 0"
+SQL["check_partitions_unfilled"] = f"""WITH {MIXED_RAW_CTE}
+SELECT count(DISTINCT year) AS years, count(DISTINCT month) AS months, CAST(0 AS BIGINT) AS days, false AS passed, CAST(1 AS BIGINT) AS n_failed FROM raw"""
 SQL["check_duplicates_mixed"] = f"WITH {MIXED_RAW_CTE} SELECT order_id, count(*) AS cnt FROM raw GROUP BY order_id HAVING count(*) > 1"
 SQL["test_not_null_mixed"] = f"WITH {MIXED_RAW_CTE} " + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, product_id, category, year FROM raw WHERE {c} IS NULL"
@@ -535,6 +538,7 @@ WHERE NOT (total_amount >= 0 AND total_amount <= 10000)"""
 _ON_TIME = """CAST(substr(order_id, 5) AS BIGINT) % 10 <> 0 OR time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes'
       > (SELECT max(event_time) FROM clean WHERE CAST(substr(order_id, 5) AS BIGINT) % 10 <> 0 AND event_time < TIMESTAMP '2024-01-20 00:00:00') - INTERVAL '10 minutes'"""
 SQL["stream_late_data"] = _WINDOW_SQL.replace("FROM clean GROUP BY", f"FROM clean WHERE {_ON_TIME} GROUP BY")
+SQL["stream_restart"] = _WINDOW_SQL
 SQL["stream_open_windows"] = f"""WITH {F1_CTE}
 SELECT DISTINCT time_bucket(INTERVAL '5 minutes', event_time) AS window_start,
        time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' AS window_end, product_category

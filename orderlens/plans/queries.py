@@ -344,6 +344,18 @@ def q_stream_window_revenue(spark, sf_dir):
     return pipeline.run_window_revenue(spark, _topic(spark, sf_dir, checkpoint), scratch_path(spark, "window_log"), checkpoint)
 
 
+@register("stream_restart")
+def q_stream_restart(spark, sf_dir):
+    """A stopped window query goes on from its checkpoint, state included, when more has arrived."""
+    path, log, checkpoint = (scratch_path(spark, x) for x in ("restart_topic", "restart_log", "ckpt_restart"))
+    records = _records(spark, sf_dir)
+    early = F.col("timestamp") < F.to_timestamp(F.lit(LATE_CUT))
+    for part in (early, ~early):
+        append_topic(records.filter(part), path)
+        windows = pipeline.run_window_revenue(spark, topic_stream(spark, path, checkpoint, "earliest", max_appends=1), log, checkpoint)
+    return windows
+
+
 def _late_topic(spark, sf_dir, checkpoint):
     """Three appends, each a micro-batch: events before LATE_CUT, those after it, and last every tenth event.
 
@@ -637,6 +649,19 @@ for _name, _check in {
     register(_name)(lambda spark, sf_dir, check=_check: check(_mixed_stg(spark, sf_dir)))
 
 
+@register("check_row_counts_rejects")
+def q_check_row_counts_rejects(spark, sf_dir):
+    """Q1 failing: the table of rows that the gate rejects is empty for clean input."""
+    _, rejected = load.split_gate(_raw(spark, sf_dir))
+    return quality.check_row_counts(rejected)
+
+
+@register("check_partitions_unfilled")
+def q_check_partitions_unfilled(spark, sf_dir):
+    """Q6 failing: files read one by one lose their folder's day, as a loader that opens single objects does."""
+    return quality.check_partitions(_mixed_raw(spark, sf_dir).withColumn("day", F.lit(None).cast("int")))
+
+
 @register("not_null_models_mixed")
 def q_not_null_models_mixed(spark, sf_dir):
     return _not_null_models(spark, _mixed_stg(spark, sf_dir))
