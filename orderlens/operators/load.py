@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators.conform import UNFIT
+from orderlens.session import scratch_path
 from orderlens.sources.store import exists
 
 # The declared constraints of the warehouse order tables
@@ -90,10 +91,10 @@ def new_rows(batch: DataFrame, existing_keys: DataFrame, key: str = "order_id",
     return first_arrival(unseen, key, order)
 
 
-#: Bits of a sieve per key of the batch, and the most and least bits of one (32 MB and 128 kB).
+#: Bits of a sieve per key of the batch, and the most and least bits of one (32 MB and 512 kB).
 SIEVE_BITS_EACH = 16
 SIEVE_MOST = 1 << 28
-SIEVE_LEAST = 1 << 20
+SIEVE_LEAST = 1 << 22
 #: Values of the partition columns that a predicate on a target lists at most.
 MOST_PARTITIONS = 10_000
 
@@ -101,15 +102,25 @@ MOST_PARTITIONS = 10_000
 def key_sieve(batch: DataFrame, key: str) -> tuple[DataFrame, int]:
     """(bucket, bits) rows of a bitmap over the hashes of the batch's keys, and its number of bits.
 
-    Built by Spark from partial bitmaps; its size is bounded whatever the batch.
+    Built by Spark from partial bitmaps; its size is bounded whatever the
+    batch. The batch is read once if the least size does for it, else twice.
     """
-    n = batch.select(key).count()
-    bits = SIEVE_LEAST
-    while bits < min(SIEVE_MOST, n * SIEVE_BITS_EACH):
+    bits, seen = min(SIEVE_LEAST, SIEVE_MOST), Observation("key_sieve")
+    least = _bitmap(batch.observe(seen, F.count(F.lit(1)).alias("rows")), key, bits)
+    path = scratch_path(batch.sparkSession, "key_sieve")
+    least.write.parquet(path)
+    wanted = min(SIEVE_MOST, SIEVE_BITS_EACH * int(seen.get.get("rows", 0)))
+    if wanted <= bits:
+        return batch.sparkSession.read.schema(least.schema).parquet(path), bits
+    while bits < wanted:
         bits *= 2
+    return _bitmap(batch, key, bits), bits
+
+
+def _bitmap(batch: DataFrame, key: str, bits: int) -> DataFrame:
     place = _place(key, bits)
     rows = batch.filter(F.col(key).isNotNull()).select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
-    return rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), bits
+    return rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def _place(key: str, bits: int):
