@@ -1,7 +1,10 @@
+import math
 import random
 import re
+from itertools import combinations
 
 import numpy as np
+import pytest
 
 from orderlens.llm import decontaminate as dc
 from orderlens.llm.common import word_hashes
@@ -109,3 +112,47 @@ def test_seed_reads_only_its_mask():
         assert mine[0] == other[0]
         y[0] += np.uint64(1)
         assert mine[0] != dc.seeds(y)[dc.MASKS.index(mask)][0]
+
+
+def allowed_substitutions(n):
+    """Sets of places in an item of n words that may differ: as many as the identity allows, not at the ends."""
+    return list(combinations(range(1, n - 1), n - math.ceil(dc.IDENTITY * n - 1e-9)))
+
+
+def seeds_hit(words_, copy, n):
+    mine, other = (dc.seeds(x) if n >= dc.MIN_WORDS else dc.short_seeds(x, n) for x in (words_, copy))
+    return any((a == b).any() for a, b in zip(mine, other, strict=True))
+
+
+@pytest.mark.parametrize("n", range(1, 17))
+def test_recall_over_all_allowed_substitutions(n):
+    item = word_hashes(" ".join(f"w{k}" for k in range(n)))
+    tried = found = 0
+    for places in allowed_substitutions(n):
+        copy = item.copy()
+        copy[list(places)] += np.uint64(1)
+        tried += 1
+        found += seeds_hit(item, copy, n)
+    assert tried and found >= (1 if n <= 14 else 0.98) * tried, (found, tried)
+
+
+def test_short_items_with_substitutions_are_found(spark):
+    rng = random.Random(8)
+    filler = lambda: " ".join(f"f{rng.randrange(900)}" for _ in range(12))
+    items, data, planted, clean = [], [], {}, set()
+    for n in range(1, 13):
+        item = [f"item{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        for places in allowed_substitutions(n):
+            copy = [f"o{rng.randrange(999)}" if k in places else w for k, w in enumerate(item)]
+            # the same seeds before it, in a window that lies one substitution too far
+            worse = [f"o{rng.randrange(999)}" if k in places or k == n - 1 else w for k, w in enumerate(item)]
+            planted[len(data)] = n
+            data.append((len(data), " ".join([filler(), *worse, filler(), *copy, filler()]), None))
+            clean.add(len(data))
+            data.append((len(data), " ".join([filler(), *worse, filler()]), None))
+    docs = spark.createDataFrame(data, DOCS)
+    got = dc.overlaps(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: r.item_id for r in got} == planted and len(got) == len(planted)
+    assert all(r.words == r.item_id and r.equal_words >= dc.IDENTITY * r.words - 1e-9 for r in got)
+    assert clean.isdisjoint(r.doc_id for r in got)
