@@ -5,16 +5,22 @@ Spark tokenises every document into pieces of at most ``capacity`` tokens
 dealt at random into groups of a bounded number of rows; each group is packed
 by itself by bin completion. Full sequences are final; the pieces of the
 others meet again in the next, smaller round, until one bounded group is left.
-So no task ever holds more than ``GROUP_ROWS`` pieces, and what the groups
-waste is packed together at the end.
+Once a round fills little, only the least filled sequences meet again: those at
+most half full, of which best fit leaves one a group, and as many of the next
+fuller ones as one group has room for. So no task ever holds more than about
+``GROUP_ROWS`` pieces (small groups may grow to the pieces of two sequences),
+and what the groups waste is packed together at the end.
 
 Bin completion (one group): the best-fit-decreasing solution is the first
 incumbent. While it has more sequences than the total length demands, a
 depth-first search takes the largest piece left, enumerates the undominated
-fillings of the space beside it (fullest first; a single piece that fills the
-space exactly dominates all others) and prunes a branch once its waste exceeds
-what one sequence fewer than the incumbent could leave over. The search has a
-node budget per group; without a better solution the incumbent stands.
+fillings of the space beside it and prunes a branch once its waste exceeds
+what one sequence fewer than the incumbent could leave over. A filling is
+dominated if a piece left out can stand for one or two of its pieces that take
+no more space; a single piece that fills the space exactly dominates all
+others. A first search tries the ``WIDTH`` fullest fillings that begin with the
+largest pieces, a second one all undominated fillings: it is complete. Both
+share a node budget per group; without a better solution the incumbent stands.
 
 Defined cases: a null or empty text is a document of its end id alone (one
 piece of length 1); a very long text gives as many pieces as it needs;
@@ -30,6 +36,8 @@ import unicodedata
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter, defaultdict
+from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
@@ -44,7 +52,7 @@ CAPACITY = 4096
 GROUP_ROWS = 20_000
 #: Search nodes of bin completion per piece of a group.
 NODES_PER_PIECE = 4
-#: Fillings tried beside one largest piece.
+#: Fillings that the first search tries beside one largest piece.
 WIDTH = 6
 
 #: Characters that Python splits at and the tokenizers do not.
@@ -188,6 +196,10 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+#: No filling is left.
+_END = object()
+
+
 class _Pool:
     """The lengths not yet packed, with counts."""
 
@@ -251,18 +263,80 @@ def _fillings(pool: _Pool, space: int) -> list[tuple[int, ...]]:
     return out
 
 
+def _dominated(chosen: list[int], outside: list[int], left: int) -> bool:
+    """Whether a piece left out (sizes ascending) can stand for one or two chosen ones that take no more space."""
+    distinct = sorted(set(chosen))
+    for y in distinct:
+        k = bisect_right(outside, y)
+        if k < len(outside) and outside[k] <= y + left:
+            return True
+    for i, y in enumerate(distinct):
+        for z in distinct[i:]:
+            if y == z and chosen.count(y) < 2:
+                continue
+            k = bisect_left(outside, y + z)
+            if k < len(outside) and outside[k] <= y + z + left:
+                return True
+    return False
+
+
+def _all_fillings(pool: _Pool, space: int, spare: int):
+    """Every undominated filling that leaves at most ``spare``, larger pieces first; None for a step without one."""
+    sizes = pool.sizes[:pool.below(space)]
+    if sizes and sizes[-1] == space:
+        yield (space,)
+        return
+    counts = [pool.count[x] for x in sizes]
+    sums = [0, *accumulate(x * n for x, n in zip(sizes, counts, strict=True))]
+    used = [0] * len(sizes)
+    path: list[int] = []  # indices, falling
+    left, j, entered = space, len(sizes) - 1, True
+    while True:
+        if entered:
+            entered = False
+            smallest = next((x for x, n, u in zip(sizes, counts, used, strict=True) if u < n), space + 1)
+            if smallest > left:  # nothing fits any more
+                chosen = [sizes[i] for i in path]
+                outside = [x for x, n, u in zip(sizes, counts, used, strict=True) if u < n]
+                yield tuple(chosen) if left <= spare and not _dominated(chosen, outside, left) else None
+                j = -1
+        j = min(j, bisect_right(sizes, left) - 1)
+        while j >= 0 and used[j] == counts[j]:
+            j -= 1
+        if j >= 0 and left - sums[j + 1] <= spare:
+            path.append(j)
+            used[j] += 1
+            left -= sizes[j]
+            entered = True
+        elif path:
+            j = path.pop()
+            used[j] -= 1
+            left += sizes[j]
+            j -= 1
+            yield None
+        else:
+            return
+
+
 def bin_completion(lengths: list[int], capacity: int, nodes: int | None = None) -> list[list[int]]:
-    """As few bins as the search finds, as lists of lengths."""
+    """As few bins as the search finds, as lists of lengths; the fewest there are if the nodes suffice."""
+    best = best_fit(lengths, capacity)
+    nodes = NODES_PER_PIECE * len(lengths) + 1000 if nodes is None else nodes
+    for complete in (False, True):
+        best, nodes = _search(lengths, capacity, best, nodes, complete)
+    return best
+
+
+def _search(lengths: list[int], capacity: int, best: list[list[int]], nodes: int, complete: bool) -> tuple[list[list[int]], int]:
+    """The incumbent or a better solution, and the nodes that are left."""
     total = sum(lengths)
     least = -(-total // capacity)
-    best = best_fit(lengths, capacity)
     if len(best) <= least:
-        return best
-    nodes = NODES_PER_PIECE * len(lengths) + 1000 if nodes is None else nodes
+        return best, nodes
     pool = _Pool(lengths)
     bins: list[tuple[int, ...]] = []
     waste = 0
-    open_nodes: list[tuple[int, list[tuple[int, ...]]]] = []  # largest piece, fillings still to try
+    open_nodes: list[tuple[int, Iterator]] = []  # largest piece, fillings still to try
 
     def spare() -> int:
         """Waste that a solution with one bin fewer than the incumbent can have."""
@@ -271,7 +345,8 @@ def bin_completion(lengths: list[int], capacity: int, nodes: int | None = None)
     def enter():
         largest = pool.sizes[-1]
         pool.take(largest)
-        open_nodes.append((largest, _fillings(pool, capacity - largest)[::-1]))
+        space = capacity - largest
+        open_nodes.append((largest, _all_fillings(pool, space, spare() - waste) if complete else iter(_fillings(pool, space))))
 
     enter()
     while open_nodes and nodes > 0 and len(best) > least:
@@ -281,15 +356,18 @@ def bin_completion(lengths: list[int], capacity: int, nodes: int | None = None)
             waste -= capacity - sum(done)
             for x in done[1:]:
                 pool.give(x)
-        if not todo:
+        filling = next(todo, _END)
+        if filling is _END:
             open_nodes.pop()
             pool.give(largest)
             continue
-        filling = todo.pop()
         nodes -= 1
+        if filling is None:
+            continue
         left = capacity - largest - sum(filling)
         if waste + left > spare():
-            todo.clear()  # the others waste more
+            if not complete:  # fullest first: the others waste more
+                open_nodes[-1] = (largest, iter(()))
             continue
         for x in filling:
             pool.take(x)
@@ -299,15 +377,15 @@ def bin_completion(lengths: list[int], capacity: int, nodes: int | None = None)
             best = [list(b) for b in bins]
         else:
             enter()
-    return best
+    return best, nodes
 
 
 # --- all groups --------------------------------------------------------------
 
-_ASSIGNED = "row long, sequence_id long, offset long, length long, open boolean"
+_ASSIGNED = "row long, sequence_id long, offset long, length long, filled int"
 
 
-def _pack_group(capacity: int, rnd: int, last: bool):
+def _pack_group(capacity: int, rnd: int):
     def run(key, frame):
         import pandas as pd
 
@@ -319,16 +397,29 @@ def _pack_group(capacity: int, rnd: int, last: bool):
         out = []
         for b, lengths in enumerate(bin_completion(frame["length"].tolist(), capacity)):
             seq = (rnd << 56) | (int(key[0]) << 24) | b
-            again = not last and sum(lengths) < capacity
-            at = 0
+            at, filled = 0, sum(lengths)
             for x in lengths:
-                out.append((rows[x].pop(), seq, at, x, again))
+                out.append((rows[x].pop(), seq, at, x, filled))
                 at += x
-        return pd.DataFrame(out, columns=["row", "sequence_id", "offset", "length", "open"])
+        return pd.DataFrame(out, columns=["row", "sequence_id", "offset", "length", "filled"])
 
     return run
 
 
+def _least_filled(fills, capacity: int, group_rows: int) -> tuple[int, int]:
+    """(fill up to which sequences are packed again, their pieces), from the pieces by fill, ascending.
+
+    All up to one half, and fuller ones while one group holds them.
+    """
+    cutoff, n = capacity // 2, sum(r.n for r in fills if r.filled <= capacity // 2)
+    for r in fills:
+        if cutoff < r.filled < capacity:
+            if n + r.n > group_rows:
+                break
+            cutoff, n = r.filled, n + r.n
+    return cutoff, n
+
+
 def packed(
     docs: DataFrame,
     tokenizer_path: str,
@@ -344,22 +435,25 @@ def packed(
     table = written(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
     todo = table.select("row", "length")
     left = todo.count()
-    final, rnd = [], 0
+    final, rnd, settling = [], 0, False
     while True:
         groups = max(1, math.ceil(left / group_rows))
-        last = groups == 1
         dealt = todo.withColumn("g", F.pmod(F.xxhash64(F.lit(rnd), F.col("row")), F.lit(groups)))
-        done = dealt.groupBy("g").applyInPandas(_pack_group(capacity, rnd, last), _ASSIGNED)
-        if last:
+        done = dealt.groupBy("g").applyInPandas(_pack_group(capacity, rnd), _ASSIGNED)
+        if groups == 1:
             final.append(done)
             break
         done = written(done, f"packed-{rnd}")
-        todo = done.where("open").select("row", "length")
-        before, left = left, todo.count()
-        if left > 0.9 * before:  # nothing gained: pieces that leave no room for others
-            final.append(done)
-            break
-        final.append(done.where("not open"))
+        fills = done.groupBy("filled").agg(F.count(F.lit(1)).alias("n")).orderBy("filled").collect()  # at most capacity rows
+        cutoff = capacity - 1
+        settling = settling or sum(r.n for r in fills if r.filled < capacity) > 0.9 * left
+        if settling:
+            cutoff, n = _least_filled(fills, capacity, group_rows)
+            if n > group_rows:  # a group has to hold the pieces of more than one sequence to gain
+                group_rows = max(group_rows, min(2 * group_rows, 2 * capacity))
+        final.append(done.where(F.col("filled") > cutoff))
+        todo = done.where(F.col("filled") <= cutoff).select("row", "length")
+        left = sum(r.n for r in fills if r.filled <= cutoff)
         rnd += 1
     placed = final[0]
     for x in final[1:]:

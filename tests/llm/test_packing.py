@@ -1,6 +1,7 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from itertools import combinations
 
 import pytest
 from tokenizers import Tokenizer
@@ -107,3 +108,43 @@ def test_token_ids_equal_the_tokenizer():
     for _ in range(500):
         text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
         assert encode(text) == encode.encode(text), text
+
+
+def test_unlimited_search_is_complete():
+    # the fewest needs a filling without the largest second piece
+    lists = [[13, 19, 20, 21, 23, 31, 34, 37, 43, 57]]
+    rng = random.Random(11)
+    lists += [[rng.randint(8, 60) for _ in range(rng.randint(8, 12))] for _ in range(400)]
+    for lengths in lists:
+        bins = packing.bin_completion(lengths, 100, nodes=10**6)
+        assert sorted(x for b in bins for x in b) == sorted(lengths) and all(sum(b) <= 100 for b in bins)
+        assert len(bins) == fewest(lengths, 100), lengths
+
+
+def test_all_fillings_are_the_undominated_ones():
+    rng = random.Random(3)
+    for _ in range(200):
+        lengths = [rng.randint(3, 30) for _ in range(rng.randint(1, 9))]
+        got = [f for f in packing._all_fillings(packing._Pool(lengths), 50, 50) if f is not None]
+        want = set()
+        for c in {tuple(sorted(c, reverse=True)) for n in range(len(lengths) + 1) for c in combinations(lengths, n) if sum(c) <= 50}:
+            rest, left = Counter(lengths) - Counter(c), 50 - sum(c)
+            swaps = [part for n in (1, 2) for part in combinations(c, n)]
+            if not any(x <= left or any(sum(part) + (len(part) == 1) <= x <= sum(part) + left for part in swaps) for x in rest):
+                want.add(c)
+        assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("group_rows", [7, 20])
+def test_part_filled_sequences_meet_again(spark, monkeypatch, group_rows):
+    """60 pieces of which two fit together, dealt into small groups: no group's odd one is left alone."""
+    lengths = spark.range(60).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "1501L AS length", "0L AS ids_crc32")
+    monkeypatch.setattr(packing, "pieces", lambda *args: lengths)
+    assert check_packed(packing.packed(lengths, "", group_rows=group_rows).collect(), 4096) == 30
+
+
+def test_many_small_pieces_in_small_groups(spark, monkeypatch):
+    """A sequence holds more pieces than a group at first: groups grow until they gain."""
+    lengths = spark.range(600).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "10L AS length", "0L AS ids_crc32")
+    monkeypatch.setattr(packing, "pieces", lambda *args: lengths)
+    assert check_packed(packing.packed(lengths, "", group_rows=5).collect(), 4096) == 2
