@@ -36,6 +36,11 @@ def crc_mod(col: str, n: int):
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(n))
 
 
+def held_out(col: str, n: int, remainder: int):
+    """Whether that remainder keeps a row out of training. A row without id has none: it isn't held out, nor learned from."""
+    return F.coalesce(crc_mod(col, n) == remainder, F.lit(False))
+
+
 #: Rows of a batch that are taken apart at once.
 SLICE_ROWS = 512
 

@@ -11,7 +11,7 @@ from orderlens.llm import (
     decontaminate, html_extract, language_id, line_dedup, merkle, ngram_join, odd_sketch, packing, prefix_trie, quality, sharding,
     substring_dedup, topk_search,
 )
-from orderlens.llm.common import crc_mod, read_table
+from orderlens.llm.common import crc_mod, held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -91,7 +91,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = language_id.identify(docs, crc_mod("doc_id", 5) != 0)
-    return out.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+    return out.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 # --- 9: HTML extraction ------------------------------------------------------
@@ -110,7 +110,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels")
     out = quality.score_quality(docs, labels, crc_mod("doc_id", 4) != 2)
-    return out.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score",
+    return out.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score",
                       (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 

@@ -1,6 +1,7 @@
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderlens.llm.queries import QUERIES
 from orderlens.llm.sharding import shuffled_shards, write_shards
@@ -55,3 +56,29 @@ def test_query_and_written_files(spark, scratch, documents):
     back = spark.read.parquet(f"{scratch}/shards")
     assert rows(back.select("doc_id", "text")) == rows(documents.select("doc_id", "text"))
     check_law([(r.shard, r.slot) for r in back.select("shard", "slot").collect()], 8)
+
+
+def test_passes_against_a_plain_version(spark, odd):
+    """Buckets end to end, each row in the shard and slot of its place; every bucket in an order of its own."""
+    n, shards = 997, 8
+    docs = spark.createDataFrame([(i, f"text {i % 300}", None) for i in range(n)], odd.schema)
+    out = shuffled_shards(docs, shards, bucket_bytes=8_000).collect()
+    place = lambda shard, slot: -(-shard * n // shards) + slot
+    order = {place(r.shard, r.slot): r.doc_id for r in out}
+    assert sorted(order) == list(range(n)) and sorted(order.values()) == list(range(n))
+    assert all(g * shards // n == r.shard for r in out for g in [place(r.shard, r.slot)])
+    ids = [order[g] for g in range(n)]
+    # pass one by hand: the rows' hashed places give their buckets, which lie end to end
+    buckets = -(-sum(len(r.text) + 64 for r in docs.collect()) // 8_000)
+    placed = docs.select("doc_id", F.monotonically_increasing_id().alias("rid")).selectExpr("doc_id", f"pmod(xxhash64(42, rid), {buckets}L) AS bucket")
+    members = defaultdict(set)
+    for r in placed.collect():
+        members[r.bucket].add(r.doc_id)
+    at = 0
+    for b in sorted(members):
+        assert set(ids[at:at + len(members[b])]) == members[b]
+        at += len(members[b])
+    assert buckets > 5 and len(members) == buckets
+    # a shuffled sequence rises at about half of its steps and leaves few rows where they were
+    rises = sum(a < b for a, b in zip(ids, ids[1:], strict=False))
+    assert 0.4 * n < rises < 0.6 * n and sum(i == g for g, i in enumerate(ids)) < 15
