@@ -18,8 +18,8 @@ a greedy cover finds, such that every choice of substituted words that the
 identity allows (the ends stay equal) lies under the 0s of some mask. Such items
 are found with certainty; up to four words no substitution is allowed and the
 only mask reads them all. Longer items are found by the four common masks: with
-certainty at 13 and 14 words, from 15 on the tests count the accepted
-substitutions that are found (over 0.98).
+certainty at 13 and 14 words; at 15 and 16 words over 0.98 of the accepted
+choices of substituted places (counted by the tests).
 
 Words are ``\w+`` of the lower-cased text; in scripts written without spaces
 (Chinese, Japanese, Thai and the like) each letter is a word.
