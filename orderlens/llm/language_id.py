@@ -13,7 +13,7 @@ text is rejected is decided on windows of ``WINDOW`` letters or so: a window
 fits a language if its cross-entropy is at most ``REJECT_Z`` standard
 deviations above the mean of the language's own training windows; the deviation
 has a part between windows and a part that falls with a window's length, both
-measured on a bounded sample of distinct training texts. A text with more than
+measured on all distinct training texts. A text with more than
 ``REJECT_SHARE`` of its letters in windows that fit no language is rejected, so
 texts in several known languages stay and texts half in none go.
 
@@ -37,7 +37,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
@@ -48,8 +48,6 @@ ORDER = 4
 MAX_CELLS = 8_000_000
 #: Discount of every order.
 DISCOUNT = 0.75
-#: Training texts on which the rejection is calibrated, per language at most.
-CALIBRATION_TEXTS = 1000
 REJECT_Z = 8.0
 #: Letters (and spaces) in a window.
 WINDOW = 64
@@ -395,35 +393,33 @@ def train(texts: DataFrame, max_cells: int = MAX_CELLS) -> Parts | None:
 
 # --- prediction --------------------------------------------------------------
 
+_SUMS = ("n", "k", "entropy", "entropy2", "square")
+
+
 def _windows(texts: DataFrame, model: Parts) -> DataFrame:
-    """(lang, n, k, entropy, entropy2, square): sums over the windows of each text under its own language."""
+    """(lang, key, n, k, entropy, entropy2, square): sums over the windows of each text under its own language."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "languages"):
             lang = batch.column(0).to_pylist()
             sums = np.zeros((batch.num_rows, 5))
-            for owner, n, total, squares in model.blocks(batch.column(1).to_pylist(), squared=True):
+            for owner, n, total, squares in model.blocks(batch.column(2).to_pylist(), squared=True):
                 at = np.arange(len(n)), np.array([model.langs.index(lang[i]) for i in owner])
                 np.add.at(sums, owner, np.stack([n, np.ones(len(n)), -total[at], total[at] ** 2 / n, squares[at]], axis=1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, sums.T)], names=["lang", "n", "k", "entropy", "entropy2", "square"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, sums.T)], names=["lang", "key", *_SUMS])
 
-    return texts.select("lang", "text").mapInArrow(run, "lang string, n double, k double, entropy double, entropy2 double, square double")
+    return texts.select("lang", "key", "text").mapInArrow(run, "lang string, key long, " + ", ".join(f"{c} double" for c in _SUMS))
 
 
-def calibrate(texts: DataFrame, model: Parts, limit: int = CALIBRATION_TEXTS) -> dict[str, tuple[float, float, float]]:
+def calibrate(texts: DataFrame, model: Parts) -> dict[str, tuple[float, float, float]]:
     """By language: mean entropy, variance between windows, variance of one character.
 
-    From ``limit`` distinct texts with a letter each, those of the least hashes (all if there are fewer).
+    From all distinct texts with a letter. Only their sums are shuffled; as
+    decimals these add up to the same in any order.
     """
-    key = F.xxhash64("text")
-    texts = texts.where(F.col("text").rlike(r"\p{L}")).withColumn("key", key)
-    distinct = {r["lang"]: max(1, r["n"]) for r in texts.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).collect()}
-    # about three times as many as wanted are ranked
-    share = F.create_map(*[F.lit(x) for lang, n in distinct.items() for x in (lang, int((1 << 30) * min(1.0, 3 * limit / n)))])
-    some = texts.where(F.pmod("key", F.lit(1 << 30)) < share[F.col("lang")]).groupBy("lang", "key").agg(F.first("text").alias("text"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 30)), "key"))
-    found = _windows(some.withColumn("rank", rank).where(F.col("rank") <= limit), model).groupBy("lang").agg(
-        *[F.sum(c).alias(c) for c in ("n", "k", "entropy", "entropy2", "square")])
+    texts = texts.where(F.col("text").rlike(r"\p{L}")).withColumn("key", F.xxhash64("text"))
+    distinct = _windows(texts, model).groupBy("lang", "key").agg(*[F.max(F.col(c).cast("decimal(38,6)")).alias(c) for c in _SUMS])
+    found = distinct.groupBy("lang").agg(*[F.sum(c).cast("double").alias(c) for c in _SUMS])
     out = {}
     for r in found.where("n > 0").collect():
         mean = r["entropy"] / r["n"]

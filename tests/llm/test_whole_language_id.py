@@ -64,3 +64,13 @@ def test_calibration_is_bounded_and_not_swayed_by_copies(spark, documents):
     model = li.train(texts)
     copies = texts.unionByName(texts.limit(1).crossJoin(spark.range(500)).select("lang", "text"))
     assert li.calibrate(texts, model) == li.calibrate(copies, model)
+
+
+def test_every_distinct_text_calibrates(spark):
+    """1,500 texts of one language, more than the 1,000 that once were taken."""
+    texts = spark.range(1500).selectExpr("'en' lang", "concat('the weather of day ', translate(cast(id as string), '0123456789', 'abcdefghij'), ' was fine') text")
+    model = li.train(texts)
+    entropy, n = 0.0, 0
+    for _, size, total, _ in model.blocks([r.text for r in texts.select("text").collect()]):
+        entropy, n = entropy - total[:, 0].sum(), n + size.sum()
+    assert abs(li.calibrate(texts, model)["en"][0] - entropy / n) < 1e-6
