@@ -36,6 +36,8 @@ from orderlens.schemas import TOPIC_RECORD
 from orderlens.sources.store import exists
 
 SEGMENT_ROWS = 1_000_000
+#: Bytes of a segment's row groups: a range decodes the groups it touches, and a capped stream's ranges are small.
+GROUP_BYTES = 1 << 20
 ROWS_PER_TASK = 250_000
 _INDEX = "file string, partition int, first_row long, rows long, first_offset long, append long"
 _ARROW = pa.schema([("key", pa.binary()), ("value", pa.binary()), ("topic", pa.string()), ("partition", pa.int32()),
@@ -58,7 +60,8 @@ def append_topic(records: DataFrame, path: str, segment_rows: int = SEGMENT_ROWS
     by = ("partition", "timestamp", "offset")
     spread = records.repartitionByRange(files, *by) if files else records.repartitionByRange(*by)
     segments = f"{path}/segments/append={number}"
-    spread.sortWithinPartitions(*by).drop("offset").write.option("maxRecordsPerFile", segment_rows).mode("overwrite").parquet(segments)
+    spread.sortWithinPartitions(*by).drop("offset").write.option("maxRecordsPerFile", segment_rows).option(
+        "parquet.block.size", GROUP_BYTES).mode("overwrite").parquet(segments)
 
     written = spark.read.parquet(segments).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"),
@@ -174,6 +177,8 @@ def read_range(part: OffsetRange | None):
             if lo < hi:
                 yield _records(batch.slice(lo, hi - lo), part.first_offset + row + lo - part.first_row)
             row += batch.num_rows
+            if row >= stop:
+                return
 
 
 def _records(batch: pa.RecordBatch, offset: int) -> pa.RecordBatch:

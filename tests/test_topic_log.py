@@ -2,6 +2,7 @@
 
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +125,15 @@ def test_a_capped_stream_needs_its_checkpoint(spark, records, scratch):
 def test_an_empty_topic_streams_nothing(spark, scratch):
     drain(_sink(topic_stream(spark, f"{scratch}/none", f"{scratch}/c", "earliest"), f"{scratch}/out", f"{scratch}/c"))
     assert size(f"{scratch}/none") == 0 and topic_records(spark, f"{scratch}/none").count() == 0
+
+
+def test_a_small_range_decodes_few_rows(spark, scratch):
+    """Row groups are small and reading ends with the range; a large group was decoded whole for every micro-batch."""
+    rows = spark.range(60_000).selectExpr("cast(cast(id as string) as binary) key", "cast(repeat(sha2(cast(id as string), 256), 4) as binary) value", "'t' topic",
+                                          "0 partition", "id offset", "timestamp_seconds(id) timestamp", "0 timestampType")
+    path = append_topic(rows, f"{scratch}/t", files=1)
+    file = _index(path)[0]["file"].removeprefix("file:")
+    meta = pq.ParquetFile(file).metadata
+    assert meta.num_row_groups > 4 and max(meta.row_group(g).num_rows for g in range(meta.num_row_groups)) < 20_000
+    some = topic_records(spark, path, json.dumps({"0": 31_000}), json.dumps({"0": 32_000}))
+    assert sorted(r.offset for r in some.collect()) == list(range(31_000, 32_000))
