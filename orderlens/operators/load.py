@@ -192,7 +192,7 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, target_path: str,
 
     Re-running the same batch inserts nothing. Only the key column of the
     target is read (column pruning), and only keys that pass a sieve of the
-    batch's keys are shuffled. The table owns its layout: an existing
+    batch's keys are shuffled; the batch's rows are only if some are new. The table owns its layout: an existing
     target keeps its partition columns, and a caller that names others is
     refused; `partition_by` counts for a new target. `drop` names columns
     that order the arrivals and are not stored. With `key_in_one_partition`
@@ -205,15 +205,18 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, target_path: str,
     layout = target_layout(spark, target_path)
     if layout is None:
         layout = tuple(partition_by or ())
-        existing = spark.createDataFrame([], batch.select(key).schema)
+        fresh = new_rows(batch, spark.createDataFrame([], batch.select(key).schema), key, order)
     else:
         if partition_by is not None and tuple(partition_by) != layout:
             raise ValueError(f"{target_path} is partitioned by {list(layout)}, not by {list(partition_by)}")
         target = spark.read.parquet(target_path)
         if key not in target.columns:
             raise ValueError(f"{target_path} has no column {key}")
-        existing = known_keys(target, batch, key, layout if key_in_one_partition else ())
-    fresh = new_rows(batch, existing, key, order).drop(*drop)
+        unseen = unseen_rows(target, batch, key, layout if key_in_one_partition else ())
+        if unseen is None:
+            return 0
+        fresh = first_arrival(unseen, key, order)
+    fresh = fresh.drop(*drop)
     observed = Observation("insert_if_absent")
     writer = fresh.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("append")
     if layout:
@@ -222,6 +225,29 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, target_path: str,
     return int(observed.get.get("rows", 0))
 
 
+def unseen_rows(target: DataFrame, batch: DataFrame, key: str, same_partition=()) -> DataFrame | None:
+    """The batch's rows whose key is not in the target; None if it has none.
+
+    The batch's keys are written to the work folder, so its own plan runs once
+    for all lookups; its whole rows are read only if there are new keys, and
+    joined with those only if there are known ones too.
+    """
+    spark = batch.sparkSession
+    rows = batch.filter(F.col(key).isNotNull())
+
+    def keep(df, name):
+        path, seen = scratch_path(spark, name), Observation(name)
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), int(seen.get.get("rows", 0))
+
+    keys, n = keep(rows.select(key, *[c for c in same_partition if c != key]), "batch_keys")
+    known = known_keys(target, keys, key, same_partition)
+    new, n_new = keep(keys.select(key).join(known, key, "left_anti"), "new_keys")
+    if not n_new:
+        return None
+    return rows if n_new == n else rows.join(new, key, "left_semi").select(*batch.columns)
+
+
 def known_keys(target: DataFrame, batch: DataFrame, key: str, same_partition=()) -> DataFrame:
     """The target's keys that matter to the batch: of its partitions, if keys keep theirs, and through the sieve."""
     if same_partition:

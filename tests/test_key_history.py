@@ -85,3 +85,23 @@ def test_too_many_partitions_give_no_predicate(spark, monkeypatch):
 def test_a_new_target_is_no_error(spark, scratch, capfd):
     assert load.target_layout(spark, f"{scratch}/none") is None
     assert "Exception" not in capfd.readouterr().err
+
+
+def test_a_known_batch_is_not_read_again_and_new_keys_are_found(spark, scratch):
+    """The batch's plan runs once for its keys; whole rows are read only for new ones."""
+    def counted(df):
+        seen = spark.sparkContext.accumulator(0)
+
+        def run(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+        return seen, df.mapInArrow(run, df.schema)
+
+    target = spark.range(0, 400_000).selectExpr("concat('k', id) AS order_id", "1 AS amount")
+    load.insert_if_absent(spark, target, f"{scratch}/raw")
+    seen, again = counted(target)
+    assert load.insert_if_absent(spark, again, f"{scratch}/raw") == 0 and seen.value == 400_000
+    mixed = spark.createDataFrame([("k1", 2), ("x", 2), ("x", 1), (None, 3)], "order_id string, amount int")
+    assert load.insert_if_absent(spark, mixed, f"{scratch}/raw") == 1
+    assert [tuple(r) for r in spark.read.parquet(f"{scratch}/raw").filter("order_id = 'x'").collect()] == [("x", 1)]
