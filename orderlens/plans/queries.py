@@ -29,7 +29,7 @@ from orderlens.sources.store import put_text
 from orderlens.sources.topic import file_topic_stream, peek_messages, stage_topic
 from orderlens.sources.topic_log import append_topic, drain, size, topic_records, topic_stream
 from orderlens.streaming import fanout, pipeline
-from orderlens.streaming.state import large_state, open_windows
+from orderlens.streaming.state import large_state, open_windows, quick_checkpoints
 from orderlens.streaming.windows import window_revenue
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -426,16 +426,18 @@ def _run_from_latest(spark, sf_dir):
     records = _by_user(spark, sf_dir)
     append_topic(records.filter("offset % 2 = 0"), path)
 
+    kept = (F.from_json(F.col("value").cast("string"), ORDER_EVENT)["order_id"].alias("order_id"), F.col("partition"), F.col("offset"))
+
     def keep(batch, batch_id):
-        batch.select(F.lit(batch_id).cast("long").alias("batch"), F.from_json(F.col("value").cast("string"), ORDER_EVENT)["order_id"].alias("order_id"),
-                     "partition", "offset").write.mode("overwrite").parquet(f"{out}/run={batch_id}")
+        batch.select(*kept).write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{out}/batch={batch_id}")
 
-    stream = topic_stream(spark, path, checkpoint, max_offsets=OFFSETS_PER_TRIGGER)
-    query = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
+    stream = topic_stream(spark, path, checkpoint, max_offsets=OFFSETS_PER_TRIGGER, small=True)
+    with quick_checkpoints(spark, checkpoint):
+        query = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
     query.processAllAvailable()
     append_topic(records.filter("offset % 2 = 1"), path)
     drain(query)
-    return spark.read.parquet(out).drop("run")
+    return spark.read.parquet(out).withColumn("batch", F.col("batch").cast("long"))
 
 
 @register("topic_from_latest")

@@ -11,6 +11,11 @@ def _at(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+def scheme(spark: SparkSession, path: str) -> str:
+    """Scheme of the file system that holds a path."""
+    return _at(spark, path)[0].getUri().getScheme()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, at = _at(spark, path)
     return fs.exists(at)

@@ -14,8 +14,11 @@ partition. `StagedTopic` is Spark's Python data-source interface over it:
 
 Every micro-batch and every read is cut into input partitions of offset ranges
 (`rowsPerTask` rows at most), which tasks read as Arrow batches. Planning reads
-the index, never the data. One producer at a time; an append is visible when its
-index rows are.
+the index, never the data, but for streams of very many small micro-batches
+(`readWhenAdmitted`, with a cap of `PLANNED_ROWS` offsets or fewer): those read a
+micro-batch when they admit it and hand Spark the records, which saves a call of a
+Python worker each. One producer at a time; an append is visible when its index
+rows are.
 """
 
 from __future__ import annotations
@@ -28,9 +31,10 @@ import pyarrow.compute as pc
 import pyarrow.dataset as ds
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+from pyspark.errors import PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition, SimpleDataSourceStreamReader
 
 from orderlens.schemas import TOPIC_RECORD
 from orderlens.sources.store import exists
@@ -39,6 +43,8 @@ SEGMENT_ROWS = 1_000_000
 #: Bytes of a segment's row groups: a range decodes the groups it touches, and a capped stream's ranges are small.
 GROUP_BYTES = 1 << 20
 ROWS_PER_TASK = 250_000
+#: The most offsets of a micro-batch that is read where it is planned.
+PLANNED_ROWS = 10_000
 _INDEX = "file string, partition int, first_row long, rows long, first_offset long, append long"
 _ARROW = pa.schema([("key", pa.binary()), ("value", pa.binary()), ("topic", pa.string()), ("partition", pa.int32()),
                     ("offset", pa.int64()), ("timestamp", pa.timestamp("us", "UTC")), ("timestampType", pa.int32())])
@@ -244,8 +250,10 @@ class _Stream(DataSourceStreamReader):
 
     def latestOffset(self):
         start = self._logged()
-        if start is None:
-            start = self.initialOffset()
+        return self.admit(self.initialOffset() if start is None else start)
+
+    def admit(self, start: dict[str, int]) -> dict[str, int]:
+        """End offsets of the micro-batch from start."""
         index = _index(self.options["path"])
         appends = int(self.options.get("maxAppendsPerTrigger", 0))
         if appends:
@@ -276,9 +284,27 @@ class _Stream(DataSourceStreamReader):
         return read_range(partition)
 
 
+class _SmallBatches(SimpleDataSourceStreamReader):
+    """The same micro-batches, read when they are admitted; Spark says from where, and replays one by its offsets."""
+
+    def __init__(self, options):
+        self.stream = _Stream(options)
+
+    def initialOffset(self):
+        return self.stream.initialOffset()
+
+    def read(self, start):
+        end = self.stream.admit(start)
+        return self.readBetweenOffsets(start, end), end
+
+    def readBetweenOffsets(self, start, end):
+        # of a list, as Spark copies the iterator
+        return iter([batch for part in self.stream.partitions(start, end) for batch in read_range(part)])
+
+
 class StagedTopic(DataSource):
     """Format `staged_topic`; options path, startingOffsets, endingOffsets, maxOffsetsPerTrigger, maxAppendsPerTrigger,
-    maxMessages, checkpointLocation (needed by a capped stream), sourceIndex, rowsPerTask."""
+    maxMessages, checkpointLocation (needed by a capped stream), sourceIndex, rowsPerTask, readWhenAdmitted."""
 
     @classmethod
     def name(cls):
@@ -294,19 +320,25 @@ class StagedTopic(DataSource):
         capped = int(self.options.get("maxOffsetsPerTrigger", 0)) or int(self.options.get("maxAppendsPerTrigger", 0))
         if capped and not self.options.get("checkpointLocation"):
             raise ValueError("a capped stream needs the option checkpointLocation, the checkpoint of its query")
+        if self.options.get("readWhenAdmitted") == "true" and 0 < int(self.options.get("maxOffsetsPerTrigger", 0)) <= PLANNED_ROWS:
+            raise PySparkNotImplementedError(errorClass="NOT_IMPLEMENTED", messageParameters={"feature": "streamReader"})  # simpleStreamReader
         return _Stream(self.options)
 
+    def simpleStreamReader(self, schema):
+        return _SmallBatches(self.options)
+
 
 def topic_stream(spark: SparkSession, path: str, checkpoint: str | None = None, starting: str = "latest",
-                 max_offsets: int = 0, max_appends: int = 0) -> DataFrame:
+                 max_offsets: int = 0, max_appends: int = 0, small: bool = False) -> DataFrame:
     """The topic as a stream of records, at most `max_offsets` and `max_appends` (0: no cap) a micro-batch.
 
-    `checkpoint` is the checkpoint of the query that will read it.
+    `checkpoint` is the checkpoint of the query that will read it; `small` micro-batches are read when they are admitted.
     """
     spark.dataSource.register(StagedTopic)
     reader = spark.readStream.format("staged_topic").option("path", path).option("startingOffsets", starting)
     if checkpoint:
         reader = reader.option("checkpointLocation", checkpoint)
+    reader = reader.option("readWhenAdmitted", str(small).lower())
     return reader.option("maxOffsetsPerTrigger", str(max_offsets)).option("maxAppendsPerTrigger", str(max_appends)).load()
 
 

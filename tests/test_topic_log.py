@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orderlens.schemas import TOPIC_RECORD
 from orderlens.sources import fixtures
 from orderlens.sources.topic_log import _index, _ranges, admitted, append_topic, drain, size, topic_records, topic_stream
+from orderlens.streaming.state import quick_checkpoints
 from tests.conftest import SF_SMALL
 
 
@@ -122,6 +123,53 @@ def test_a_capped_stream_needs_its_checkpoint(spark, records, scratch):
         topic_stream(spark, path, max_offsets=5).writeStream.format("noop").option("checkpointLocation", f"{scratch}/c").start().processAllAvailable()
 
 
+def test_small_micro_batches_start_no_python_worker(spark, records, scratch):
+    from orderlens.sources.topic_log import PLANNED_ROWS, StagedTopic, _SmallBatches, _Stream
+    from pyspark.sql.datasource_internal import _SimpleStreamReaderWrapper, _streamReader
+
+    path = append_topic(records, f"{scratch}/t")
+    options = {"path": path, "startingOffsets": "earliest", "checkpointLocation": f"{scratch}/c"}
+    reader = lambda most, small: _streamReader(StagedTopic({**options, "maxOffsetsPerTrigger": str(most), "readWhenAdmitted": small}), TOPIC_RECORD)
+    small = reader(30, "true")
+    assert isinstance(small, _SimpleStreamReaderWrapper) and isinstance(small.simple_reader, _SmallBatches)
+    assert all(isinstance(x, _Stream) for x in (reader(30, "false"), reader(0, "true"), reader(PLANNED_ROWS + 1, "true")))
+    at, seen = small.initialOffset(), []
+    for _ in range(3):
+        end = small.latestOffset()
+        small.partitions(at, end)
+        rows = [(r["partition"], r["offset"]) for b in small.getCache(at, end) for r in b.to_pylist()]
+        assert len(rows) == 30 and rows == [(r["partition"], r["offset"]) for b in small.simple_reader.readBetweenOffsets(at, end) for r in b.to_pylist()]
+        seen += rows
+        small.commit(end)
+        at = end
+    assert len(set(seen)) == 90
+
+
+def test_an_unfinished_small_micro_batch_is_done_again(spark, records, scratch):
+    path, checkpoint = append_topic(records, f"{scratch}/t"), f"{scratch}/c"
+    fails = [True]
+
+    def keep(batch, batch_id):
+        if batch_id == 2 and fails:
+            fails.pop()
+            raise RuntimeError("once")
+        batch.write.mode("overwrite").parquet(f"{scratch}/out/batch={batch_id}")
+
+    def start():
+        with quick_checkpoints(spark, checkpoint):
+            return topic_stream(spark, path, checkpoint, "earliest", max_offsets=30, small=True).writeStream.foreachBatch(keep).option(
+                "checkpointLocation", checkpoint).start()
+
+    with pytest.raises(Exception, match="once"):
+        drain(start())
+    drain(start())
+    got, total = spark.read.parquet(f"{scratch}/out"), records.count()
+    assert got.count() == total == got.select("partition", "offset").distinct().count()
+    sizes = {r["batch"]: r["count"] for r in got.groupBy("batch").count().collect()}
+    assert sizes == {k: min(30, total - 30 * k) for k in range(-(-total // 30))}
+    assert spark.conf.get("spark.sql.streaming.checkpointFileManagerClass", None) is None
+
+
 def test_an_empty_topic_streams_nothing(spark, scratch):
     drain(_sink(topic_stream(spark, f"{scratch}/none", f"{scratch}/c", "earliest"), f"{scratch}/out", f"{scratch}/c"))
     assert size(f"{scratch}/none") == 0 and topic_records(spark, f"{scratch}/none").count() == 0
