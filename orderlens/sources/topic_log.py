@@ -108,9 +108,11 @@ def _open(uri: str):
 def _index(path: str) -> list[dict]:
     """The index rows in (partition, offset) order; none before the first append."""
     fs, at = _open(f"{path}/index")
-    if fs.get_file_info(at).type == pafs.FileType.NotFound:
+    # not below the folder, where an append that is under way makes and deletes folders of its own
+    there = [f.path for f in fs.get_file_info(pafs.FileSelector(at, allow_not_found=True)) if f.is_file and f.base_name.endswith(".parquet") and f.base_name[0] not in "._"]
+    if not there:
         return []
-    rows = ds.dataset(at, filesystem=fs, format="parquet", exclude_invalid_files=False).to_table().to_pylist()
+    rows = ds.dataset(there, filesystem=fs, format="parquet", exclude_invalid_files=False).to_table().to_pylist()
     return sorted(rows, key=lambda r: (r["partition"], r["first_offset"]))
 
 

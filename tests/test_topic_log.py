@@ -1,6 +1,9 @@
 """The topic of files: offsets, bounded reads, admission by offsets, resuming."""
 
 import json
+import os
+import shutil
+import threading
 
 import pyarrow.parquet as pq
 import pytest
@@ -123,6 +126,25 @@ def test_a_capped_stream_needs_its_checkpoint(spark, records, scratch):
         topic_stream(spark, path, max_offsets=5).writeStream.format("noop").option("checkpointLocation", f"{scratch}/c").start().processAllAvailable()
 
 
+def test_the_index_is_read_while_an_append_is_under_way(spark, records, scratch):
+    path, done = append_topic(records, f"{scratch}/t"), threading.Event()
+    want = _index(path)
+
+    def come_and_go():
+        while not done.is_set():
+            for k in range(20):
+                os.makedirs(f"{path}/index/_temporary/0/{k}")
+            shutil.rmtree(f"{path}/index/_temporary")
+
+    other = threading.Thread(target=come_and_go)
+    other.start()
+    try:
+        assert all(_index(path) == want for _ in range(300))
+    finally:
+        done.set()
+        other.join()
+
+
 def test_small_micro_batches_start_no_python_worker(spark, records, scratch):
     from orderlens.sources.topic_log import PLANNED_ROWS, StagedTopic, _SmallBatches, _Stream
     from pyspark.sql.datasource_internal import _SimpleStreamReaderWrapper, _streamReader
